@@ -47,7 +47,9 @@ SELECT f.code_insee AS insee_com, substr(f.code_insee,1,2) AS code_insee_dep,
  CAST(CAST(round(abs(c.c_acctbal)*100) AS BIGINT)%8192 AS DOUBLE)/1024 AS ift_t_hbc,
  CASE WHEN f.k%17=0 THEN NULL ELSE CAST(f.k%40 AS DOUBLE)/8 END AS ift_hh_hbc,
  CASE WHEN f.k%13=0 THEN CAST(0 AS DOUBLE) ELSE CAST(f.k%24 AS DOUBLE)/8 END AS ift_h,
- CAST(f.k%500 AS DOUBLE) AS sau, f.k
+ CAST(f.k%500 AS DOUBLE) AS sau, CAST(f.k%100 AS DOUBLE) AS sau_bio,
+ concat('C', CAST(f.k%12 AS STRING)) AS cod_c_maj, concat('C', CAST(f.k%7 AS STRING)) AS cod_c_hbc,
+ CASE WHEN f.k%43=0 THEN NULL ELSE concat('C', CAST(f.k%5 AS STRING)) END AS cod_c_h, f.k
 FROM {{fx_communes}} f JOIN {{customer}} c ON f.k=c.c_custkey WHERE f.k%23<>0"""
 
 FX["fx_calendrier"] = """
@@ -85,6 +87,25 @@ SELECT CAST(l_orderkey*10+l_linenumber AS STRING) AS id_parcel, f.code_insee, f.
  concat('C',CAST(l_partkey%12 AS STRING)) AS code_cultu, concat('G',CAST(l_partkey%4 AS STRING)) AS code_group, l_quantity AS surf_parc
 FROM {lineitem} JOIN {fx_communes} f ON l_suppkey=f.k"""
 
+# Communes with their EPCI link, postcode and area (own extension).
+FX["fx_communes_epci"] = """
+SELECT code_insee, nom_commune, code_insee_dep, code_insee_reg,
+ concat(code_insee_dep, lpad(CAST(k%1000 AS STRING),3,'0')) AS code_postal,
+ CASE WHEN k%37=0 THEN NULL ELSE concat('E', CAST(k%40 AS STRING)) END AS codes_siren_des_epci,
+ CAST(k%5000 AS BIGINT) AS population, CAST((k%300)*64 AS DOUBLE) AS superficie_cadastrale, k
+FROM {fx_communes}"""
+
+FX["fx_epci"] = """
+SELECT DISTINCT concat('E', CAST(k%40 AS STRING)) AS code_siren,
+ concat('EPCI ', CAST(k%40 AS STRING)) AS nom_officiel,
+ CASE WHEN k%40 < 4 THEN 'CA' ELSE 'CC' END AS nature
+FROM {fx_communes}"""
+
+# Crop nomenclature (annex A): one label per code, from the part table.
+FX["fx_nomenclature"] = """
+SELECT concat('C', CAST(p_partkey%12 AS STRING)) AS code_culture, min(p_type) AS libelle_culture
+FROM {part} GROUP BY concat('C', CAST(p_partkey%12 AS STRING))"""
+
 _PLACEHOLDER = re.compile(r"(?<!\{)\{([a-z_0-9]+)\}(?!\})")
 
 
