@@ -167,3 +167,21 @@ WEATHER_COLUMNS: tuple[str, ...] = (
 # Broadcast guard: a side is broadcast only when its counted rows stay
 # below this bound; above it the join stays a shuffle join.
 BROADCAST_MAX_ROWS = 2_000_000
+
+# FIXED VALUES — measurement sheet header -> column name
+MEASURE_RENAME: dict[str, str] = {
+    "AASQA": "reseau",
+    "Commune": "nom_commune",
+    "Code INSEE": "code_insee",
+    "xlamb93": "x_lamb93",
+    "ylamb93": "y_lamb93",
+    "Debut prelevement": "debut_prelevement",
+    "Fin prelevement": "fin_prelevement",
+    "Annee": "annee",
+    "Semaine": "semaine",
+    "jours de prelevement": "nb_jours_prelevement",
+    "Coupure PM": "type_filtre",
+    "prelevement": "nb_prelevement",
+    "substance active": "substance",
+    "Concentration (ng/m3)": "concentration_ng_m3",
+}

@@ -106,6 +106,39 @@ FX["fx_nomenclature"] = """
 SELECT concat('C', CAST(p_partkey%12 AS STRING)) AS code_culture, min(p_type) AS libelle_culture
 FROM {part} GROUP BY concat('C', CAST(p_partkey%12 AS STRING))"""
 
+# Raw measurement sheet (internal names; ``sources.sheets`` puts the sheet
+# headers back): short commune codes, missing coordinates and codes, '<'
+# values, timestamps.
+FX["fx_mesures_brut"] = """
+SELECT concat('R', CAST(f.k%6 AS STRING)) AS aasqa, f.nom_commune AS commune,
+ CASE WHEN e.event_id%7=0 THEN CAST(f.k%1000 AS STRING) WHEN e.event_id%61=0 THEN NULL ELSE f.code_insee END AS code_insee_txt,
+ CASE WHEN e.event_id%53=0 THEN NULL ELSE f.x_l93 END AS xlamb93,
+ CASE WHEN e.event_id%53=0 THEN NULL ELSE f.y_l93 END AS ylamb93,
+ CAST(CAST(e.ts AS DATE) AS TIMESTAMP) AS debut_ts, CAST(CAST(e.ts AS DATE) + 7 AS TIMESTAMP) AS fin_ts,
+ CAST(year(e.ts) AS INT) AS annee, CAST(weekofyear(e.ts) AS INT) AS semaine, CAST(7 AS INT) AS jours,
+ 'PM10' AS coupure, CAST(1 AS INT) AS prelevement, concat('S', CAST(e.event_id%20 AS STRING)) AS substance,
+ CASE WHEN e.event_id%4=0 THEN '<0.05' WHEN e.event_id%41=0 THEN NULL ELSE CAST(CAST(round(e.value*100) AS BIGINT) AS STRING) END AS concentration_txt,
+ CAST(e.event_id%4+1 AS DOUBLE)/16 AS lq, e.event_id
+FROM {events} e JOIN {fx_communes} f ON e.user_id=f.k"""
+
+# Targeted daily weather (rich variables) for the communes with measurements,
+# covering every sampling window +-15 days.
+FX["fx_meteo_jour"] = """
+SELECT f.code_insee, d.jour AS time,
+ CAST((f.k*3+day(d.jour)*5)%64 AS DOUBLE)/4 AS temperature_2m_max,
+ CAST((f.k*3+day(d.jour)*5)%64 AS DOUBLE)/4 - 8 AS temperature_2m_min,
+ CAST((f.k*3+day(d.jour)*5)%64 AS DOUBLE)/4 - 4 AS temperature_2m_mean,
+ CASE WHEN (f.k+day(d.jour))%29=0 THEN NULL ELSE CAST((f.k*13+day(d.jour)*7)%40 AS DOUBLE)/16 END AS precipitation_sum,
+ CAST((f.k*31+day(d.jour)*17)%160 AS DOUBLE)/8 AS wind_speed_10m_max,
+ CAST((f.k*31+day(d.jour)*17)%160 AS DOUBLE)/16 AS wind_speed_10m_mean,
+ CAST(50+(f.k+day(d.jour))%50 AS DOUBLE) AS relative_humidity_2m_max,
+ CAST(20+(f.k+day(d.jour))%30 AS DOUBLE) AS relative_humidity_2m_min,
+ CAST(35+(f.k+day(d.jour))%40 AS DOUBLE) AS relative_humidity_2m_mean,
+ CAST(((f.k+day(d.jour))%12)*3600 AS DOUBLE) AS sunshine_duration
+FROM {fx_communes} f JOIN (SELECT DISTINCT user_id FROM {events}) u ON u.user_id=f.k
+CROSS JOIN (SELECT DISTINCT CAST(e.ts AS DATE) - 25 + o.p_size AS jour FROM {events} e
+ CROSS JOIN (SELECT DISTINCT p_size FROM {part}) o) d"""
+
 _PLACEHOLDER = re.compile(r"(?<!\{)\{([a-z_0-9]+)\}(?!\})")
 
 
