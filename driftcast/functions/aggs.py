@@ -15,3 +15,15 @@ def n_unique(c: str) -> Column:
 
 def n_unique_sql(c: str) -> str:
     return f"CAST(count(DISTINCT {c}) + max(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END) AS BIGINT)"
+
+
+def ordered_sum(c: str) -> Column:
+    """Sum of a bounded group (e.g. the days of one commune-year) added in
+    ascending order, so the double result does not depend on how rows were
+    split over tasks. Nulls are skipped, an empty group sums to 0."""
+    return F.aggregate(F.array_sort(F.collect_list(F.col(c))), F.lit(0.0), lambda a, v: a + v)
+
+
+def ordered_sum_sql(c: str) -> str:
+    return (f"coalesce(list_reduce(list_sort(list({c}) FILTER (WHERE {c} IS NOT NULL)), "
+            f"lambda a, v: a + v), 0)")

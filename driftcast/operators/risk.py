@@ -274,10 +274,93 @@ def quartile_cuts(risk: DataFrame, col: str = "risque_brut") -> Column:
                                    F.col("_n")).alias("q")).scalar()
 
 
-def levels_by_quartiles(risk: DataFrame, col: str = "risque_brut") -> DataFrame:
+def levels_by_quartiles(risk: DataFrame, col: str = "risque_brut",
+                        materialize: bool = True) -> DataFrame:
     """Level 0–4 against the quartiles of the positive values; when no
-    value is positive every non-null level is 0 (the notebook's rule)."""
+    value is positive every non-null level is 0 (the notebook's rule).
+
+    The table is read twice (cuts, then levels), so it is first checkpointed
+    to the shared checkpoint folder: the year plan runs once and the lineage
+    is cut (a lost executor re-reads the files instead of recomputing).
+    """
+    if materialize:
+        risk = risk.checkpoint(eager=True)
     q = quartile_cuts(risk, col)
     lvl = F.when(q.isNull(), F.when(F.col(col).isNotNull(), F.lit(0)).cast("int")) \
            .otherwise(level_0_4(col, q))
     return risk.withColumn("risque_0_4", lvl)
+
+
+def weather_indicator(weather: DataFrame, th: Thresholds = DEFAULT_THRESHOLDS) -> DataFrame:
+    """E3 on a weather table (rows kept, five columns added)."""
+    return weather.select("*", *weather_indicator_cols(th=th))
+
+
+def neutral_days(weather: DataFrame | None, annee: int) -> DataFrame:
+    """Every day of the year with ``neutre`` = no weather row for any
+    commune that day (all days when there is no weather)."""
+    spark = weather.sparkSession
+    days = spark.range(1).select(F.explode(year_spine(annee)).alias("date"))
+    cov = bounded_broadcast(weather.select(F.col("time").alias("date")).distinct()
+                            .withColumn("_c", F.lit(True)))
+    return days.join(cov, "date", "left").select("date", F.col("_c").isNull().alias("neutre"))
+
+
+def ift_split(inp: RiskInputs) -> DataFrame:
+    """Per commune and configuration: calendar crop, yearly IFT (null
+    as 0), number of periods of that type in the departement (0 when none),
+    IFT per period (0 when no period), and whether it is included (R5)."""
+    den = denominators(inp.cal)
+    hd = F.coalesce(F.col("c_ift_hbc_cal") != F.col("c_maj_cal"), F.lit(True))
+    h2 = F.coalesce(F.col("c_ift_h_cal") != F.col("c_maj_cal"), F.lit(True))
+    rows = F.array(*[F.struct(F.lit(cfg).alias("config"), F.col(cul).alias("culture"),
+                              F.coalesce(F.col(ic), F.lit(0.0)).alias("ift_annuel"),
+                              F.lit(nb).alias("nb_col"),
+                              (F.lit(True) if cfg == "maj" else hd if cfg == "hbc" else h2).alias("inclus"))
+                     for cfg, cul, ic, nb in CONFIGS])
+    long = inp.ift.select("insee_com", "code_insee_dep", F.inline(rows))
+    d = F.broadcast(den.select(F.col("departement_code").alias("_dep"), F.col("culture").alias("_cul"),
+                               F.map_from_arrays(
+                                   F.array(*[F.lit(nb) for *_, nb in CONFIGS]),
+                                   F.array(*[F.col(nb) for *_, nb in CONFIGS])).alias("_nbs")))
+    j = long.join(d, (F.col("code_insee_dep") == F.col("_dep")) & (F.col("culture") == F.col("_cul")), "left")
+    nb = F.when(F.col("culture").isNull(), F.lit(None).cast("bigint")) \
+          .otherwise(F.coalesce(F.col("_nbs")[F.col("nb_col")], F.lit(0)).cast("bigint"))
+    return j.select("insee_com", "config", "culture", "ift_annuel", nb.alias("nb_periodes"),
+                    F.when(F.col("culture").isNull(), F.lit(None).cast("double"))
+                     .when(nb > 0, F.col("ift_annuel") / nb).otherwise(F.lit(0.0)).alias("ift_par_periode"),
+                    "inclus")
+
+
+def period_detail(inp: RiskInputs, th: Thresholds = DEFAULT_THRESHOLDS) -> DataFrame:
+    """Every calendar period of each commune's three crops (its
+    departement) with its flags and the commune's daily IFT on the day after
+    the period start. The daily IFT is computed only for those days (at
+    most one per day of the year), then joined on (commune, day)."""
+    crops = inp.ift.select("insee_com", "code_insee_dep",
+                           F.explode(F.array_distinct(F.array("c_maj_cal", "c_ift_hbc_cal", "c_ift_h_cal")))
+                           .alias("culture")).where(F.col("culture").isNotNull())
+    cal = inp.cal.select(F.col("departement_code").alias("_dep"), F.col("culture").alias("_cul"),
+                         "debut_de_periode", "fin_de_periode", "herbicides", "fongicides", "insecticides",
+                         F.date_add("debut_de_periode", 1).alias("jour_test"))
+    per = crops.join(F.broadcast(cal), (F.col("code_insee_dep") == F.col("_dep"))
+                     & (F.col("culture") == F.col("_cul")), "inner").drop("_dep", "_cul")
+    days = cal.where(F.col("jour_test").isNotNull()).select(
+        F.array_sort(F.collect_set("jour_test"))).scalar()
+    base = commune_base(inp)
+    daily = daily_contributions(spine(base, days), activity_table(inp)).select(
+        F.col("insee_com").alias("_c"), F.col("date").alias("_d"), "ift_journalier_total")
+    return per.join(daily, (F.col("insee_com") == F.col("_c")) & (F.col("jour_test") == F.col("_d")),
+                    "left").drop("_c", "_d")
+
+
+def calendar_of_communes(inp: RiskInputs) -> DataFrame:
+    """E21 (every commune): rebased calendar rows of the commune's
+    departement restricted to its three calendar crops, with the R1 counts."""
+    from driftcast.operators.calendar import period_counts
+    cal = period_counts(inp.cal)
+    crops = inp.ift.select("insee_com", "code_insee_dep",
+                           F.explode(F.array_distinct(F.array("c_maj_cal", "c_ift_hbc_cal", "c_ift_h_cal")))
+                           .alias("_cul")).where(F.col("_cul").isNotNull())
+    return crops.join(cal, (F.col("code_insee_dep") == cal.departement_code)
+                      & (F.col("_cul") == cal.culture), "inner").drop("_cul", "code_insee_dep")
