@@ -48,6 +48,7 @@ SELECT f.code_insee AS insee_com, substr(f.code_insee,1,2) AS code_insee_dep,
  CASE WHEN f.k%17=0 THEN NULL ELSE CAST(f.k%40 AS DOUBLE)/8 END AS ift_hh_hbc,
  CASE WHEN f.k%13=0 THEN CAST(0 AS DOUBLE) ELSE CAST(f.k%24 AS DOUBLE)/8 END AS ift_h,
  CAST(f.k%500 AS DOUBLE) AS sau, CAST(f.k%100 AS DOUBLE) AS sau_bio,
+ CAST(f.k%64 AS DOUBLE)/64 AS p_bio, CAST(f.k%32 AS DOUBLE)/32 AS p_sau, CAST(f.k%48 AS DOUBLE)/16 AS iftbc,
  concat('C', CAST(f.k%12 AS STRING)) AS cod_c_maj, concat('C', CAST(f.k%7 AS STRING)) AS cod_c_hbc,
  CASE WHEN f.k%43=0 THEN NULL ELSE concat('C', CAST(f.k%5 AS STRING)) END AS cod_c_h, f.k
 FROM {{fx_communes}} f JOIN {{customer}} c ON f.k=c.c_custkey WHERE f.k%23<>0"""
@@ -139,6 +140,72 @@ FROM {fx_communes} f JOIN (SELECT DISTINCT user_id FROM {events}) u ON u.user_id
 CROSS JOIN (SELECT DISTINCT CAST(e.ts AS DATE) - 25 + o.p_size AS jour FROM {events} e
  CROSS JOIN (SELECT DISTINCT p_size FROM {part}) o) d"""
 
+# Raw IFT CSV: file order ``id``; some communes appear twice (the second
+# copy must be dropped, first in file order wins).
+FX["fx_ift_csv"] = """
+SELECT CAST(k*2 AS BIGINT) AS id, insee_com, sau, sau_bio, p_bio, CAST(k%16 AS DOUBLE)/16 AS p_bc, p_sau, c_maj, c_ift_hbc, c_ift_h,
+ cod_c_maj, cod_c_hbc, cod_c_h, ift_t, ift_t_hbc, ift_h, CAST(k%40 AS DOUBLE)/4 AS ift_t_hh, ift_hh_hbc, iftbc
+FROM {fx_ift}
+UNION ALL
+SELECT CAST(k*2+1 AS BIGINT) AS id, insee_com, sau + 1, sau_bio, p_bio, CAST(k%16 AS DOUBLE)/16, p_sau, c_maj, c_ift_hbc, c_ift_h,
+ cod_c_maj, cod_c_hbc, cod_c_h, ift_t, ift_t_hbc, ift_h, CAST(k%40 AS DOUBLE)/4, ift_hh_hbc, iftbc
+FROM {fx_ift} WHERE k%10=0"""
+
+# Raw calendar sheet: text flags in mixed case, a comment column.
+FX["fx_calendrier_brut"] = """
+SELECT departement_code, culture, debut_de_periode AS debut_txt_date, fin_de_periode AS fin_txt_date,
+ CASE WHEN herbicides THEN 'Oui' ELSE 'non' END AS herbicides_txt,
+ CASE WHEN fongicides THEN 'OUI' ELSE 'Non' END AS fongicides_txt,
+ CASE WHEN insecticides THEN 'oui' WHEN departement_code%7=0 THEN NULL ELSE 'NON' END AS insecticides_txt,
+ CASE WHEN departement_code%5=0 THEN 'période indicative' END AS commentaires
+FROM {fx_calendrier}"""
+
+# Île-de-France calendar (';' CSV in the reference): one row per month.
+FX["fx_calendrier_idf"] = """
+SELECT CAST(75 + p_partkey%4 AS INT) AS departement_code,
+ CASE p_partkey%3 WHEN 0 THEN 'Blé tendre' WHEN 1 THEN 'Maïs' ELSE 'Colza' END AS culture,
+ CASE p_size%12 WHEN 0 THEN 'Janvier' WHEN 1 THEN 'février' WHEN 2 THEN 'MARS' WHEN 3 THEN 'avril' WHEN 4 THEN 'Mai'
+  WHEN 5 THEN 'juin' WHEN 6 THEN 'Juillet' WHEN 7 THEN 'août' WHEN 8 THEN 'septembre' WHEN 9 THEN 'Octobre'
+  WHEN 10 THEN 'novembre' ELSE 'décembre' END AS periode,
+ CASE p_partkey%4 WHEN 0 THEN 'Herbicides' WHEN 1 THEN 'Fongicides et Insecticides' WHEN 2 THEN 'herbicides, Fongicides'
+  ELSE 'Insecticides' END AS type
+FROM {part} WHERE p_partkey < 40"""
+
+# ERA5-like history with a lag: rain unknown after the 26th (to be cut).
+FX["fx_meteo_era5"] = """
+SELECT code_insee, time, wind_speed_10m_mean,
+ CASE WHEN day(time) > 26 THEN NULL ELSE precipitation_sum END AS precipitation_sum
+FROM {fx_meteo}"""
+
+# Remote archive covering the last days for every commune.
+FX["fx_meteo_archive"] = """
+SELECT f.code_insee, d.jour AS time,
+ CAST((f.k*29+day(d.jour)*3)%160 AS DOUBLE)/10 AS wind_speed_10m_mean,
+ CAST((f.k*11+day(d.jour)*5)%40 AS DOUBLE)/16 AS precipitation_sum
+FROM {fx_communes} f CROSS JOIN (SELECT DISTINCT CAST(ts AS DATE) AS jour FROM {events} WHERE day(CAST(ts AS DATE)) > 19) d"""
+
+# Square commune outlines (half side 2048 m around the planar point; some
+# communes have no outline) and square parcels scattered around their
+# commune (some straddle the outline). Only numbers here: rings are built
+# from them (``operators.geo``).
+FX["fx_communes_geo"] = """
+SELECT code_insee, x_l93, y_l93, CASE WHEN k%17=0 THEN CAST(0 AS DOUBLE) ELSE CAST(2048 AS DOUBLE) END AS half, k
+FROM {fx_communes}"""
+
+FX["fx_parcelles_geo"] = """
+SELECT CAST(l_orderkey*10+l_linenumber AS STRING) AS id_parcel, f.code_insee AS code_insee_source,
+ f.x_l93 + CAST((l_orderkey*37+l_linenumber*101)%4200 AS DOUBLE) - 2100 AS cx,
+ f.y_l93 + CAST((l_orderkey*53+l_linenumber*67)%4200 AS DOUBLE) - 2100 AS cy,
+ CAST(16*(1+l_linenumber) AS DOUBLE) AS half, concat('C',CAST(l_partkey%12 AS STRING)) AS code_cultu, l_quantity AS surf_parc
+FROM {lineitem} JOIN {fx_communes} f ON l_suppkey=f.k"""
+
+# Regular 0.25 degree weather grid (values carried, no arithmetic).
+FX["fx_grille"] = """
+SELECT CAST(p_partkey%64 AS INT) AS gi, CAST(floor(p_partkey/64)%64 AS INT) AS gj,
+ -6.0 + CAST(p_partkey%64 AS DOUBLE)*0.25 AS lon, 40.0 + CAST(floor(p_partkey/64)%64 AS DOUBLE)*0.25 AS lat,
+ p_retailprice AS valeur
+FROM {part} WHERE p_partkey < 4096"""
+
 _PLACEHOLDER = re.compile(r"(?<!\{)\{([a-z_0-9]+)\}(?!\})")
 
 

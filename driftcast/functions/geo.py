@@ -61,16 +61,22 @@ def _edges(ring: Column) -> Column:
 
 
 def ring_area_centroid(ring: str | Column) -> list[Column]:
-    """L1: signed shoelace area and centroid of a closed ring."""
-    e = _edges(col_or(ring))
-    cross = lambda s: s["a"]["x"] * s["b"]["y"] - s["b"]["x"] * s["a"]["y"]
+    """L1: signed shoelace area and centroid of a closed ring, computed in
+    coordinates relative to the first vertex (keeps the products small, so
+    planar metres stay exact)."""
+    r = col_or(ring)
+    x0, y0 = r[0]["x"], r[0]["y"]
+    e = _edges(r)
+
+    def cross(s):
+        return ((s["a"]["x"] - x0) * (s["b"]["y"] - y0) - (s["b"]["x"] - x0) * (s["a"]["y"] - y0))
+
     a2 = F.aggregate(F.transform(e, cross), F.lit(0.0), lambda acc, v: acc + v)
-    cx = F.aggregate(F.transform(e, lambda s: (s["a"]["x"] + s["b"]["x"]) * cross(s)),
+    cx = F.aggregate(F.transform(e, lambda s: (s["a"]["x"] + s["b"]["x"] - 2 * x0) * cross(s)),
                      F.lit(0.0), lambda acc, v: acc + v)
-    cy = F.aggregate(F.transform(e, lambda s: (s["a"]["y"] + s["b"]["y"]) * cross(s)),
+    cy = F.aggregate(F.transform(e, lambda s: (s["a"]["y"] + s["b"]["y"] - 2 * y0) * cross(s)),
                      F.lit(0.0), lambda acc, v: acc + v)
-    area = a2 / 2
-    return [area.alias("area"), (cx / (3 * a2)).alias("cx"), (cy / (3 * a2)).alias("cy")]
+    return [(a2 / 2).alias("area"), (x0 + cx / (3 * a2)).alias("cx"), (y0 + cy / (3 * a2)).alias("cy")]
 
 
 def point_in_ring(px: Column, py: Column, ring: str | Column) -> Column:

@@ -86,27 +86,37 @@ def map_join(ref: DataFrame, risk_day: DataFrame) -> DataFrame:
 
 
 def pick_source(history: DataFrame, forecast: DataFrame | None, day: Column,
-                prefer: str = "forecast") -> DataFrame:
+                prefer: str = "forecast", history_days: DataFrame | None = None,
+                forecast_days: DataFrame | None = None) -> DataFrame:
     """E16 source choice, decided per day (not per commune): the preferred
-    table when it has any row for the day, else the other one. Done as a
-    union with a priority and a scalar ``min`` — no driver-side branch."""
-    first, second = (forecast, history) if prefer == "forecast" else (history, forecast)
-    parts = []
-    for prio, t in ((1, first), (2, second)):
-        if t is not None:
-            parts.append(t.where(F.col("date") == day).select("*", F.lit(prio).alias("_prio"),
-                                                              F.lit(t is forecast).alias("is_forecast")))
-    u = parts[0]
-    for p in parts[1:]:
-        u = u.unionByName(p)
-    best = u.select(F.min("_prio")).scalar()
-    return u.where(F.col("_prio") == best).drop("_prio")
+    table when it has rows for the day, else the other one.
+
+    Whether a table covers the day is read from its day list (the forecast
+    file's days, the days of the stored year), a small table, through a
+    scalar subquery — the risk tables themselves are scanned once, no
+    driver-side branch.
+    """
+    def covers(days):
+        if days is None:
+            return F.lit(True)
+        return days.where(F.col("date") == day).select(F.count(F.lit(1)) > 0).scalar()
+
+    if forecast is None:
+        return history.where(F.col("date") == day).withColumn("is_forecast", F.lit(False))
+    h = history.where(F.col("date") == day).withColumn("is_forecast", F.lit(False))
+    f = forecast.where(F.col("date") == day).withColumn("is_forecast", F.lit(True))
+    if prefer == "forecast":
+        use_f = covers(forecast_days)
+        return f.where(use_f).unionByName(h.where(~use_f))
+    use_h = covers(history_days)
+    return h.where(use_h).unionByName(f.where(~use_h))
 
 
 def map_snapshot(ref: DataFrame, history: DataFrame, forecast: DataFrame | None, day: Column,
-                 prefer: str = "forecast") -> DataFrame:
+                 prefer: str = "forecast", history_days: DataFrame | None = None,
+                 forecast_days: DataFrame | None = None) -> DataFrame:
     """Communes with the day's risk (C15) and their display state."""
-    src = pick_source(history, forecast, day, prefer)
+    src = pick_source(history, forecast, day, prefer, history_days, forecast_days)
     return with_state(map_join(ref, src))
 
 
@@ -186,10 +196,9 @@ def commune_series(history: DataFrame, forecast: DataFrame | None, keep: str = "
     f = forecast.withColumn("is_forecast", F.lit(True))
     if keep == "both":
         return h.unionByName(f)
-    fdays = forecast.select("insee_com", F.col("date").alias("_fd")).distinct()
+    fdays = forecast.select(F.col("insee_com").alias("_fc"), F.col("date").alias("_fd")).distinct()
     u = h.withColumn("_p", F.lit(0)).unionByName(f.withColumn("_p", F.lit(1)))
     w = Window.partitionBy("insee_com", "date").orderBy("_p")
     kept = u.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn", "_p")
-    kept = kept.join(fdays, (kept.insee_com == fdays.insee_com) & (kept.date == fdays._fd), "left") \
-               .drop(fdays.insee_com)
-    return kept.withColumn("is_forecast", F.col("_fd").isNotNull()).drop("_fd")
+    kept = kept.join(fdays, (F.col("insee_com") == F.col("_fc")) & (F.col("date") == F.col("_fd")), "left")
+    return kept.withColumn("is_forecast", F.col("_fd").isNotNull()).drop("_fd", "_fc")

@@ -30,7 +30,7 @@ from driftcast.functions.columns import (days_in_year, level_0_4, map_crop, safe
 from driftcast.operators.calendar import (CONFIGS, active_days, activity_by_bridge,
                                           denominators, dep_region_bridge, rebase_calendar,
                                           regional_denominators)
-from driftcast.operators.sizing import bounded_broadcast, checked_broadcast
+from driftcast.operators.sizing import bounded_broadcast
 
 RISK_COLUMNS = (
     "insee_com", "date", "ift_journalier_total", "indicateur_meteo", "interdiction_pulv",
@@ -82,7 +82,22 @@ def load_inputs(ift_enrichi: DataFrame, calendar: DataFrame, weather: DataFrame
     return RiskInputs(ift=ift, cal=cal, weather=weather, annee=annee)
 
 
-def commune_base(inp: RiskInputs) -> DataFrame:
+def calendar_is_small(inp: RiskInputs, max_rows: int | None = None) -> bool:
+    """One count of the calendar bounds every table derived from it:
+    denominators <= rows, activity <= rows x 366 days x 3 configurations x
+    2 regions per departement (a departement may also carry a null region).
+    Those tables are broadcast only under that proven bound."""
+    from driftcast.config import BROADCAST_MAX_ROWS
+    limit = max_rows or BROADCAST_MAX_ROWS
+    cap = limit // (366 * 3 * 2)
+    return inp.cal.limit(cap + 1).count() <= cap
+
+
+def _maybe_broadcast(df: DataFrame, small: bool) -> DataFrame:
+    return F.broadcast(df) if small else df
+
+
+def commune_base(inp: RiskInputs, small: bool | None = None) -> DataFrame:
     """Day-independent part of R3–R5 per commune.
 
     For each configuration: the denominator (departement, else regional
@@ -91,11 +106,13 @@ def commune_base(inp: RiskInputs) -> DataFrame:
     ratio used on active days. The denominator tables are bounded by the
     calendar, so they are broadcast behind a count.
     """
+    if small is None:
+        small = calendar_is_small(inp)
     den = denominators(inp.cal)
     bridge = dep_region_bridge(inp.ift)
     den_reg = regional_denominators(den, bridge)
-    den_b = checked_broadcast(den, name="denominators")
-    den_reg_b = checked_broadcast(den_reg, name="regional denominators")
+    den_b = _maybe_broadcast(den, small)
+    den_reg_b = _maybe_broadcast(den_reg, small)
     df = inp.ift
     for cfg, cul, ift_col, nb_col in CONFIGS:
         d = den_b.select(F.col("departement_code").alias(f"_dep_{cfg}"),
@@ -123,11 +140,13 @@ def commune_base(inp: RiskInputs) -> DataFrame:
         F.coalesce(F.col("code_insee_reg"), F.lit("")).alias("reg_key"))
 
 
-def activity_table(inp: RiskInputs) -> DataFrame:
-    """Active (cfg, departement, region, culture, day) rows, broadcast after
-    a count (bounded by calendar periods × days × regions per departement)."""
+def activity_table(inp: RiskInputs, small: bool | None = None) -> DataFrame:
+    """Active (cfg, departement, region, culture, day) rows, broadcast under
+    the calendar bound (see ``calendar_is_small``)."""
+    if small is None:
+        small = calendar_is_small(inp)
     act = activity_by_bridge(active_days(inp.cal), dep_region_bridge(inp.ift))
-    return checked_broadcast(act, name="activity")
+    return _maybe_broadcast(act, small)
 
 
 def daily_contributions(spine: DataFrame, act: DataFrame) -> DataFrame:
@@ -225,8 +244,9 @@ def risk_days(inp: RiskInputs, days: Column, d0: dt.date | None = None,
               weather: DataFrame | None = None, neutral_days: bool = True,
               partitions: int | None = None) -> DataFrame:
     """Risk rows for every commune and each day of ``days`` (array Column)."""
-    base = commune_base(inp)
-    act = activity_table(inp)
+    small = calendar_is_small(inp)
+    base = commune_base(inp, small)
+    act = activity_table(inp, small)
     df = daily_contributions(spine(base, days, partitions), act)
     df = attach_weather(df, weather if weather is not None else inp.weather, d0, d1, th,
                         neutral_days=neutral_days)
@@ -347,8 +367,9 @@ def period_detail(inp: RiskInputs, th: Thresholds = DEFAULT_THRESHOLDS) -> DataF
                      & (F.col("culture") == F.col("_cul")), "inner").drop("_dep", "_cul")
     days = cal.where(F.col("jour_test").isNotNull()).select(
         F.array_sort(F.collect_set("jour_test"))).scalar()
-    base = commune_base(inp)
-    daily = daily_contributions(spine(base, days), activity_table(inp)).select(
+    small = calendar_is_small(inp)
+    base = commune_base(inp, small)
+    daily = daily_contributions(spine(base, days), activity_table(inp, small)).select(
         F.col("insee_com").alias("_c"), F.col("date").alias("_d"), "ift_journalier_total")
     return per.join(daily, (F.col("insee_com") == F.col("_c")) & (F.col("jour_test") == F.col("_d")),
                     "left").drop("_c", "_d")

@@ -14,14 +14,13 @@ log = logging.getLogger(__name__)
 
 def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
                       name: str = "side") -> DataFrame:
-    """Persist a small derived table, count it, and broadcast it only when
-    the count stays under ``max_rows``; otherwise it is returned as is and
-    the join stays a shuffle join (AQE may still convert it at run time).
+    """Count a small derived table and broadcast it only when the count
+    stays under ``max_rows``; otherwise it is returned as is and the join
+    stays a shuffle join (AQE may still convert it at run time).
 
     The count stops at ``max_rows + 1`` rows so an unexpectedly large side
     is never scanned whole just to be rejected.
     """
-    df = df.persist()
     n = df.limit(max_rows + 1).count()
     if n <= max_rows:
         return F.broadcast(df)

@@ -46,7 +46,7 @@ def weather_cols(w: str = "wind_speed_10m_mean", r: str = "precipitation_sum") -
 
 def risk_sql(annee: int, ndays: int | None = None, days_sql: str | None = None,
              weather: str = "fx_meteo", neutral: bool = True, region_code: str | None = None,
-             extra_where: str = "") -> str:
+             extra_where: str = "", extra_ctes: str | None = None) -> str:
     """Oracle of E2–E6 for the given days (whole year by default)."""
     if days_sql is None:
         ndays = ndays or (366 if annee % 4 == 0 else 365)
@@ -66,8 +66,9 @@ def risk_sql(annee: int, ndays: int | None = None, days_sql: str | None = None,
     contribs = ", ".join(f"{contribution(f'nb_{c}', f'ift_{c}', f'act_{c}')} AS j_{c}" for c in cfgs)
     cover_join = (" LEFT JOIN cover cv ON cv.day = t.day" if neutral else "")
     cov = "cv.day IS NOT NULL" if neutral else "TRUE"
+    pre = f"{extra_ctes},\n" if extra_ctes else ""
     return f"""
-WITH {CROP_MAP_CTE},
+WITH {pre}{CROP_MAP_CTE},
 ift AS (
  SELECT i.insee_com, i.code_insee_dep AS dep, i.code_insee_reg AS reg,
   i.ift_t_hbc AS ift_maj, i.ift_hh_hbc AS ift_hbc, i.ift_h AS ift_h,

@@ -25,10 +25,10 @@ def norm(v):
         return repr(round(v, 9)) if abs(v) != math.inf else repr(v)
     if hasattr(v, "tolist"):
         v = v.tolist()
+    if isinstance(v, dict):  # struct: values in field order (like a Spark Row)
+        v = list(v.values())
     if isinstance(v, (list, tuple)):
         return repr([norm(x) for x in v])
-    if isinstance(v, dict):
-        return repr({k: norm(x) for k, x in sorted(v.items())})
     return repr(v)
 
 
