@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 from driftcast import fixtures
-from driftcast.plans import crops_q, measures_q, misc_q, risk_extra_q, risk_q, sources_q, surface_q
+from driftcast.plans import coverage_q, crops_q, measures_q, misc_q, risk_extra_q, risk_q, sources_q, surface_q
 
-FAMILIES = (risk_q, risk_extra_q, crops_q, measures_q, surface_q, sources_q, misc_q)
+FAMILIES = (risk_q, risk_extra_q, crops_q, measures_q, surface_q, sources_q, misc_q, coverage_q)
 
 
 def registry() -> dict:

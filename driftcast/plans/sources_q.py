@@ -103,7 +103,8 @@ def q_union_forecasts(s, sf):
     f = fixture(s, sf, "fx_meteo_prev").join(
         fixture(s, sf, "fx_communes").select("code_insee", F.col("code_insee_reg").alias("region")), "code_insee")
     f.write.partitionBy("region").parquet(f"{p}/indicateurs_previsions")
-    return TB.union_forecasts(s, p)
+    return TB.union_forecasts(s, p, "code_insee string, time date, wind_speed_10m_mean double, "
+                                    "precipitation_sum double, region string")
 
 
 def q_register_and_count(s, sf, counts: bool):

@@ -71,21 +71,23 @@ def read_partitioned(spark: SparkSession, path: str, hive: bool = True) -> DataF
     return spark.read.option("recursiveFileLookup", "true").parquet(path)
 
 
-YEAR_FILE = r"indicateurs_meteo_(\d{4})\.parquet$"
+YEAR_PATH = r"indicateurs_meteo_(\d{4})\.parquet(/|$)"
 
 
 def union_years(spark: SparkSession, folder: str) -> DataFrame:
-    """A5/H2: every ``indicateurs_meteo_YYYY`` file (exactly four digits),
-    one read, the year taken from the file name — no loop of unions."""
-    df = spark.read.option("pathGlobFilter", "indicateurs_meteo_*.parquet").parquet(folder)
-    name = F.col("_metadata.file_name")
-    df = df.where(name.rlike(r"^indicateurs_meteo_\d{4}\.parquet$"))
-    return df.withColumn("annee", F.regexp_extract(name, YEAR_FILE, 1).cast("int"))
-
-
-def union_forecasts(spark: SparkSession, folder: str) -> DataFrame:
-    """Union all of the forecast files of every region (one read)."""
-    return spark.read.option("pathGlobFilter", "indicateurs_previsions*.parquet").parquet(folder)
+    """A5/H2: every ``indicateurs_meteo_YYYY`` file or folder (exactly four
+    digits, by the glob itself), one read, the year taken from the path —
+    no loop of unions."""
+    df = spark.read.parquet(f"{folder.rstrip('/')}/indicateurs_meteo_[0-9][0-9][0-9][0-9].parquet")
+    return df.withColumn("annee", F.regexp_extract(F.col("_metadata.file_path"), YEAR_PATH, 1).cast("int"))
+
+
+def union_forecasts(spark: SparkSession, folder: str, schema: T.StructType | str | None = None) -> DataFrame:
+    """Union all of the forecast files of every region (one read of
+    the ``indicateurs_previsions*`` glob). Pass a schema when a partition
+    column holds codes: inference would turn "01" into 1."""
+    r = spark.read if schema is None else spark.read.schema(schema)
+    return r.parquet(f"{folder.rstrip('/')}/indicateurs_previsions*")
 
 
 def register_views(spark: SparkSession, paths: dict[str, str]) -> DataFrame:

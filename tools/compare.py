@@ -51,8 +51,9 @@ def main():
         t0 = time.time()
         try:
             df = fn(spark, sf)
-            srows = [tuple(r) for r in df.collect()]
             scols = df.columns
+            tbl = df.toArrow()
+            srows = [tuple(r[c] for c in tbl.column_names) for r in tbl.to_pylist()]
         except Exception as e:  # noqa: BLE001
             print(f"FAIL {name}: spark error {type(e).__name__}: {str(e)[:400]}")
             bad += 1
