@@ -55,9 +55,12 @@ def ring_bbox(ring: str | Column) -> list[Column]:
 def _edges(ring: Column) -> Column:
     """Edges (p_i, p_{i+1}) of a closed ring (last point == first point)."""
     n = F.size(ring)
-    return F.transform(F.sequence(F.lit(1), n - 1),
-                       lambda i: F.struct(F.element_at(ring, i).alias("a"),
-                                          F.element_at(ring, i + 1).alias("b")))
+    edges = F.transform(F.sequence(F.lit(1), n - 1),
+                        lambda i: F.struct(F.element_at(ring, i).alias("a"),
+                                           F.element_at(ring, i + 1).alias("b")))
+    # fewer than two points: no edge (and no backwards sequence)
+    return F.when(n >= 2, edges).otherwise(F.array().cast(
+        "array<struct<a:struct<x:double,y:double>,b:struct<x:double,y:double>>>"))
 
 
 def ring_area_centroid(ring: str | Column) -> list[Column]:
@@ -65,7 +68,8 @@ def ring_area_centroid(ring: str | Column) -> list[Column]:
     coordinates relative to the first vertex (keeps the products small, so
     planar metres stay exact)."""
     r = col_or(ring)
-    x0, y0 = r[0]["x"], r[0]["y"]
+    first = F.try_element_at(r, F.lit(1))
+    x0, y0 = first["x"], first["y"]
     e = _edges(r)
 
     def cross(s):

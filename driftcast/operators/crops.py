@@ -194,8 +194,8 @@ def match_rate_by_crop(cmp: DataFrame, top: int = 30) -> DataFrame:
 
 def admin_hierarchy(communes: DataFrame, deps: DataFrame, regions: DataFrame) -> DataFrame:
     """C11: departement -> region, commune -> departement (inner joins)."""
-    d = deps.join(regions, deps.code_insee_reg == regions.code_insee_reg, "inner") \
-            .select(deps.code_insee_dep, deps.nom_dep, regions.code_insee_reg, regions.nom_reg)
+    d = deps.select("code_insee_dep", "nom_dep", "code_insee_reg").join(
+        regions.select("code_insee_reg", "nom_reg"), "code_insee_reg", "inner")
     return communes.join(d, "code_insee_dep", "inner")
 
 

@@ -14,7 +14,8 @@ REG = registry()
 def test_query_matches_oracle(spark, duck, name):
     fn, sql = REG[name]
     df = fn(spark, SF_SMALL)
-    srows = [tuple(r) for r in df.collect()]
+    tbl = df.toArrow()
+    srows = [tuple(r[c] for c in tbl.column_names) for r in tbl.to_pylist()]
     if sql is None:
         assert srows is not None
         return
