@@ -227,10 +227,84 @@ def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return _fixture_cached(spark, sf_dir.rstrip("/"), name)
 
 
+def _event_days(spark, sf_dir, min_day: int = 0):
+    """Sorted distinct event days (at most one per day of the data) from the
+    ``min_day``-th day of the month on, as a scalar subquery array."""
+    from pyspark.sql import functions as F
+    d = F.to_date("ts")
+    return (fixture(spark, sf_dir, "events").where(F.dayofmonth(d) > min_day)
+            .select(F.array_sort(F.collect_set(d))).scalar())
+
+
+def _spark_meteo(spark, sf_dir):
+    from pyspark.sql import functions as F
+    f = fixture(spark, sf_dir, "fx_communes").where("k % 11 <> 0")
+    d = f.select("code_insee", "k", F.explode(_event_days(spark, sf_dir)).alias("jour")).where("day(jour) % 9 <> 0")
+    return d.select("code_insee", F.col("jour").alias("time"), F.expr(
+        "CASE WHEN k%19=0 THEN NULL ELSE CAST((k*31+day(jour)*17)%160 AS DOUBLE)/10 END").alias("wind_speed_10m_mean"),
+        F.expr("CASE WHEN (k+day(jour))%37=0 THEN NULL ELSE CAST((k*13+day(jour)*7)%40 AS DOUBLE)/16 END")
+        .alias("precipitation_sum"))
+
+
+def _spark_meteo_prev(spark, sf_dir):
+    from pyspark.sql import functions as F
+    f = fixture(spark, sf_dir, "fx_communes").where("k % 11 <> 0")
+    d = f.select("code_insee", "k", F.explode(_event_days(spark, sf_dir, 23)).alias("jour"))
+    return d.select("code_insee", F.col("jour").alias("time"), F.expr(
+        "CASE WHEN k%19=0 THEN NULL ELSE CAST((k*7+day(jour)*11)%160 AS DOUBLE)/10 END").alias("wind_speed_10m_mean"),
+        F.expr("CAST((k*5+day(jour)*3)%40 AS DOUBLE)/16").alias("precipitation_sum"))
+
+
+def _spark_meteo_archive(spark, sf_dir):
+    from pyspark.sql import functions as F
+    f = fixture(spark, sf_dir, "fx_communes")
+    d = f.select("code_insee", "k", F.explode(_event_days(spark, sf_dir, 19)).alias("jour"))
+    return d.select("code_insee", F.col("jour").alias("time"),
+                    F.expr("CAST((k*29+day(jour)*3)%160 AS DOUBLE)/10").alias("wind_speed_10m_mean"),
+                    F.expr("CAST((k*11+day(jour)*5)%40 AS DOUBLE)/16").alias("precipitation_sum"))
+
+
+def _spark_meteo_jour(spark, sf_dir):
+    from pyspark.sql import functions as F
+    ev = fixture(spark, sf_dir, "events").agg(F.collect_set(F.to_date("ts")).alias("d"), F.lit(1).alias("_one"))
+    sz = fixture(spark, sf_dir, "part").agg(F.collect_set("p_size").alias("s"), F.lit(1).alias("_one"))
+    days = ev.join(sz, "_one").select(F.array_sort(F.array_distinct(F.flatten(F.transform(
+        "d", lambda x: F.transform("s", lambda y: F.date_add(x, y - 25))))))).scalar()
+    users = fixture(spark, sf_dir, "events").select(F.col("user_id").alias("k")).distinct()
+    f = fixture(spark, sf_dir, "fx_communes").join(users, "k", "left_semi")
+    d = f.select("code_insee", "k", F.explode(days).alias("jour"))
+    e = {
+        "temperature_2m_max": "CAST((k*3+day(jour)*5)%64 AS DOUBLE)/4",
+        "temperature_2m_min": "CAST((k*3+day(jour)*5)%64 AS DOUBLE)/4 - 8",
+        "temperature_2m_mean": "CAST((k*3+day(jour)*5)%64 AS DOUBLE)/4 - 4",
+        "precipitation_sum": "CASE WHEN (k+day(jour))%29=0 THEN NULL ELSE CAST((k*13+day(jour)*7)%40 AS DOUBLE)/16 END",
+        "wind_speed_10m_max": "CAST((k*31+day(jour)*17)%160 AS DOUBLE)/8",
+        "wind_speed_10m_mean": "CAST((k*31+day(jour)*17)%160 AS DOUBLE)/16",
+        "relative_humidity_2m_max": "CAST(50+(k+day(jour))%50 AS DOUBLE)",
+        "relative_humidity_2m_min": "CAST(20+(k+day(jour))%30 AS DOUBLE)",
+        "relative_humidity_2m_mean": "CAST(35+(k+day(jour))%40 AS DOUBLE)",
+        "sunshine_duration": "CAST(((k+day(jour))%12)*3600 AS DOUBLE)",
+    }
+    return d.select("code_insee", F.col("jour").alias("time"), *[F.expr(v).alias(k) for k, v in e.items()])
+
+
+# Spark-side builders for the fixtures whose shared SQL text is a cross
+# product of communes and days: the same rows, built by exploding a bounded
+# day array next to each commune (no cross join in Spark plans).
+SPARK_BUILDERS = {
+    "fx_meteo": _spark_meteo,
+    "fx_meteo_prev": _spark_meteo_prev,
+    "fx_meteo_archive": _spark_meteo_archive,
+    "fx_meteo_jour": _spark_meteo_jour,
+}
+
+
 @lru_cache(maxsize=256)
 def _fixture_cached(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     if name in BASE_TABLES:
         return base_table(spark, sf_dir, name)
+    if name in SPARK_BUILDERS:
+        return SPARK_BUILDERS[name](spark, sf_dir)
     text = FX[name]
     args = {d: fixture(spark, sf_dir, d) for d in deps_of(text)}
     return spark.sql(text, **args)

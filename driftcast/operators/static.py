@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from driftcast.functions.columns import dep_of_insee
@@ -14,14 +14,18 @@ IFT_COLUMNS = ("id", "insee_com", "sau", "sau_bio", "p_bio", "p_bc", "p_sau", "c
 
 
 def dedupe_keep_first(df: DataFrame, key: str, order: str) -> tuple[DataFrame, DataFrame]:
-    """One row per ``key``, the first in file order (``order``);
-    plus a one-row table with the number of dropped rows. ``row_number``
-    over an explicit order (``dropDuplicates`` alone keeps an arbitrary row);
-    each window group holds the copies of one key."""
-    w = Window.partitionBy(key).orderBy(F.col(order))
-    ranked = df.withColumn("_rn", F.row_number().over(w))
-    kept = ranked.where(F.col("_rn") == 1).drop("_rn")
-    dropped = ranked.agg(F.count_if(F.col("_rn") > 1).alias("doublons_supprimes"))
+    """One row per ``key``, the first in file order (``order``); plus a
+    one-row table with the number of dropped rows.
+
+    ``min_by(struct(row), order)`` is an aggregate with map-side partial
+    aggregation: even a key holding a third of the rows is reduced to one
+    row per task before the shuffle (``dropDuplicates`` alone would keep an
+    arbitrary row)."""
+    cols = [c for c in df.columns if c != key]
+    g = df.groupBy(key).agg(F.min_by(F.struct(*cols), F.col(order)).alias("_r"),
+                            F.count(F.lit(1)).alias("_n"))
+    kept = g.select(key, "_r.*").select(*df.columns)
+    dropped = g.agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("bigint").alias("doublons_supprimes"))
     return kept, dropped
 
 

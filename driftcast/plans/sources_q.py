@@ -158,7 +158,7 @@ def q_ingest(s, sf):
         "code_insee", F.lit(3).cast("long").alias("fetched_at")))).write.text(f"{land}/fetch=3")
     ingest_landed_weather(s, land, table, ck, files_per_batch=4)
     ingest_landed_weather(s, land, table, ck, files_per_batch=4)  # rerun: nothing new, same table
-    return s.read.parquet(table).drop("annee")
+    return s.read.parquet(table).drop("annee", "mois")
 
 
 def q_landed(s, sf):

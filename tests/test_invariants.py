@@ -9,10 +9,11 @@ from driftcast.operators.risk import risk_days, risk_year
 from driftcast.plans.registry import registry
 from driftcast.plans.risk_q import inputs
 from tests.conftest import SF_SMALL
+from tests.helpers import rows_of
 
 
 def _rows(df):
-    return sorted(tuple(r) for r in df.collect())
+    return rows_of(df.columns, [tuple(r) for r in df.collect()])
 
 
 def test_region_run_equals_full_run_restricted(spark):

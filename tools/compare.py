@@ -7,9 +7,12 @@ Usage: python tools/compare.py [sf_dir] [name-substring ...]
 from __future__ import annotations
 
 import math
+import os
 import sys
 import time
 
+EXACT = os.environ.get("EXACT") == "1"
+
 import duckdb
 
 sys.path.insert(0, ".")
@@ -22,7 +25,9 @@ def norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return "NaN"
-        return repr(round(v, 9)) if abs(v) != math.inf else repr(v)
+        if EXACT or abs(v) == math.inf:
+            return repr(v)
+        return repr(round(v, 9))
     if hasattr(v, "tolist"):
         v = v.tolist()
     if isinstance(v, dict):  # struct: values in field order (like a Spark Row)
