@@ -13,6 +13,7 @@ from driftcast.fixtures import fixture
 from driftcast.functions.geo import lambert93_sql
 from driftcast.operators import display as D
 from driftcast.operators import static as ST
+from driftcast.operators import measures as M
 from driftcast.operators import weather as W
 from driftcast.operators.calendar import build_calendar
 from driftcast.operators.risk import risk_forecast, risk_year
@@ -20,6 +21,7 @@ from driftcast.plans.risk_q import ANNEE, inputs
 from driftcast.plans.sqlparts import level, risk_sql
 from driftcast.session import shared_path
 from driftcast.sources import tables as TB
+from driftcast.plans.measures_q import SQL_CLEAN, clean
 from driftcast.sources.sheets import measurement_sheet
 from driftcast.streaming.incremental import ingest_landed_weather, late_weather_repair
 
@@ -220,6 +222,14 @@ b AS (SELECT n.*, CAST(floor((rn - 1) / 100) AS BIGINT) AS batch FROM n)
 SELECT batch, count(*) AS n_communes, string_agg(code_insee, ',' ORDER BY rn) AS codes,
  string_agg(CAST(lat AS VARCHAR), ',' ORDER BY rn) AS latitude, string_agg(CAST(lon AS VARCHAR), ',' ORDER BY rn) AS longitude
 FROM b GROUP BY batch"""),
+    "a11_window_request_plan": (
+        lambda s, sf: W.window_request_plan(M.sampling_windows(clean(s, sf)), 100),
+        f"""WITH {SQL_CLEAN},
+w AS (SELECT DISTINCT code_insee, debut_prelevement - 15 AS start_date, fin_prelevement + 15 AS end_date FROM clean
+ WHERE latitude IS NOT NULL),
+n AS (SELECT w.*, CAST(floor((row_number() OVER (PARTITION BY start_date, end_date ORDER BY code_insee) - 1) / 100) AS BIGINT) AS batch FROM w)
+SELECT start_date, end_date, batch, count(*) AS n_communes, string_agg(code_insee, ',' ORDER BY code_insee) AS codes
+FROM n GROUP BY start_date, end_date, batch"""),
     "a12_upsert_risk": (
         q_upsert,
         f"""WITH risk AS ({risk_sql(ANNEE)}),

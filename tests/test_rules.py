@@ -134,13 +134,14 @@ D1, D2, D3 = dt.date(2024, 3, 1), dt.date(2024, 3, 2), dt.date(2024, 3, 3)
 def test_contribution_branches(spark):
     # dep 10 has 2 periods of crop A (one active on D1..D2, both counted);
     # commune 1: active A -> 4/2; commune 2: crop unknown & ift 0 -> 0;
-    # commune 3: ift null -> 0; commune 4: crop unknown & ift 3 -> null;
+    # commune 3: ift null -> 0; commune 4: every config undetermined -> null;
     # commune 5: dep 11 absent, region mean of dep 10 -> 2.0 and regional activity
     cal = [("10", "A", D1, D2, False, True, False), ("10", "A", dt.date(2024, 6, 1), dt.date(2024, 6, 2), True, False, False)]
     ift = [("c1", "10", "R", "a", 4.0, "a", None, "a", None, "A", "A", "A"),
            ("c2", "10", "R", "z", 0.0, "z", 0.0, "z", 0.0, None, None, None),
            ("c3", "10", "R", "a", None, "a", None, "a", None, "A", "A", "A"),
-           ("c4", "10", "R", "z", 3.0, "z", None, "z", None, None, None, None),
+           ("c4", "10", "R", "z", 3.0, "z", 1.0, "z", 2.0, None, None, None),
+           ("c6", "10", "R", "z", 3.0, "z", None, "z", None, None, None, None),
            ("c5", "11", "R", "a", 8.0, "a", None, "a", None, "A", "A", "A")]
     inp = _inputs(spark, ift, cal, None)
     days = F.array(F.lit(D1), F.lit(D3))
@@ -149,6 +150,8 @@ def test_contribution_branches(spark):
     assert got[("c2", D1)]["ift_journalier_total"] == 0.0
     assert got[("c3", D1)]["ift_journalier_total"] == 0.0
     assert got[("c4", D1)]["ift_journalier_total"] is None and got[("c4", D1)]["risque_0_4"] is None
+    # maj undetermined, but hbc/h have no IFT: they contribute 0, so the total is 0
+    assert got[("c6", D1)]["ift_journalier_total"] == 0.0
     assert got[("c5", D1)]["ift_journalier_total"] == 4.0
     # no weather at all: neutral indicator 1 everywhere
     assert got[("c1", D1)]["indicateur_meteo"] == 1 and got[("c1", D1)]["risque_dispersion"] is True
