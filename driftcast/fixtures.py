@@ -222,9 +222,30 @@ def base_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+# (sf_dir, name) -> Parquet path of a stored copy (see ``materialize``)
+_STORED: dict[tuple[str, str], str] = {}
+
+
 def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The Spark DataFrame of a fixture view (or a base table)."""
-    return _fixture_cached(spark, sf_dir.rstrip("/"), name)
+    """The Spark DataFrame of a fixture view (or a base table); a stored
+    copy when one was materialized for this scale factor."""
+    key = (sf_dir.rstrip("/"), name)
+    if key in _STORED:
+        return spark.read.parquet(_STORED[key])
+    return _fixture_cached(spark, key[0], name)
+
+
+def materialize(spark: SparkSession, sf_dir: str, out_dir: str, names=None) -> dict[str, str]:
+    """Store fixture views as Parquet tables (the reference likewise reads
+    the tables its static ETL wrote) and serve them from there afterwards."""
+    sf = sf_dir.rstrip("/")
+    done = {}
+    for name in (names or list(FX)):
+        path = f"{out_dir.rstrip('/')}/{name}"
+        _fixture_cached(spark, sf, name).write.mode("overwrite").parquet(path)
+        _STORED[(sf, name)] = path
+        done[name] = path
+    return done
 
 
 def _event_days(spark, sf_dir, min_day: int = 0):

@@ -83,6 +83,8 @@ def active_days(cal: DataFrame) -> DataFrame:
     Each period of each configuration is exploded to its days
     (``sequence``), giving (cfg, departement, culture, date) — bounded by the
     calendar size times the period lengths, independent of the commune data.
+    Overlapping periods give repeated rows; consumers de-duplicate once, at
+    the end (``activity_by_bridge``, ``distinct_active_days``).
     Periods with start > end (year-crossing after rebasing, quirk Q4) or a
     null bound are never active; they are dropped before ``sequence``, which
     would otherwise run backwards.
@@ -93,16 +95,21 @@ def active_days(cal: DataFrame) -> DataFrame:
                        F.explode(cfgs).alias("cfg"))
                .where(F.col("cfg").isNotNull())
                .select("cfg", "departement_code", "culture",
-                       F.explode(F.sequence("debut_de_periode", "fin_de_periode")).alias("date"))
-               .distinct())
+                       F.explode(F.sequence("debut_de_periode", "fin_de_periode")).alias("date")))
 
 
-def region_active_days(act: DataFrame, bridge: DataFrame) -> DataFrame:
+def distinct_active_days(cal: DataFrame) -> DataFrame:
+    """C3 as a set: distinct active (cfg, departement, culture, day)."""
+    return active_days(cal).distinct()
+
+
+def region_active_days(act: DataFrame, bridge: DataFrame, dedupe: bool = True) -> DataFrame:
     """A (region, culture, day) is active when any departement of the
     region (through the bridge) is."""
-    return (act.join(bridge, act.departement_code == bridge.code_insee_dep, "inner")
-               .where(F.col("code_insee_reg").isNotNull())
-               .select("cfg", "code_insee_reg", "culture", "date").distinct())
+    r = (act.join(bridge, act.departement_code == bridge.code_insee_dep, "inner")
+            .where(F.col("code_insee_reg").isNotNull())
+            .select("cfg", "code_insee_reg", "culture", "date"))
+    return r.distinct() if dedupe else r
 
 
 def activity_by_bridge(act: DataFrame, bridge: DataFrame) -> DataFrame:
@@ -114,7 +121,7 @@ def activity_by_bridge(act: DataFrame, bridge: DataFrame) -> DataFrame:
     reg_key = F.coalesce(F.col("code_insee_reg"), F.lit(""))
     dep_part = (bridge.join(act, bridge.code_insee_dep == act.departement_code, "inner")
                       .select("cfg", "code_insee_dep", reg_key.alias("reg_key"), "culture", "date"))
-    reg_act = region_active_days(act, bridge)
+    reg_act = region_active_days(act, bridge, dedupe=False)  # one distinct at the end
     reg_part = (bridge.where(F.col("code_insee_reg").isNotNull()).alias("b")
                 .join(reg_act.alias("r"), F.col("b.code_insee_reg") == F.col("r.code_insee_reg"), "inner")
                 .select("cfg", "code_insee_dep", F.col("b.code_insee_reg").alias("reg_key"),

@@ -115,16 +115,17 @@ def commune_base(inp: RiskInputs, small: bool | None = None) -> DataFrame:
     den_reg_b = _maybe_broadcast(den_reg, small)
     df = inp.ift
     for cfg, cul, ift_col, nb_col in CONFIGS:
-        d = den_b.select(F.col("departement_code").alias(f"_dep_{cfg}"),
-                         F.col("culture").alias(f"_cul_{cfg}"),
-                         F.col(nb_col).alias(f"_nbd_{cfg}"))
-        r = den_reg_b.select(F.col("code_insee_reg").alias(f"_reg_{cfg}"),
-                             F.col("culture").alias(f"_culr_{cfg}"),
-                             F.col(nb_col + "_reg").alias(f"_nbr_{cfg}"))
-        df = (df.join(d, (F.col("code_insee_dep") == F.col(f"_dep_{cfg}"))
-                      & (F.col(cul) == F.col(f"_cul_{cfg}")), "left")
-                .join(r, (F.col("code_insee_reg") == F.col(f"_reg_{cfg}"))
-                      & (F.col(cul) == F.col(f"_culr_{cfg}")), "left"))
+        # the same broadcast table (aliased) for the three configurations:
+        # one exchange, reused, instead of one per join
+        d, r = den_b.alias(f"d_{cfg}"), den_reg_b.alias(f"r_{cfg}")
+        cols = df.columns
+        df = (df.alias("b").join(d, (F.col("b.code_insee_dep") == F.col(f"d_{cfg}.departement_code"))
+                                 & (F.col(f"b.{cul}") == F.col(f"d_{cfg}.culture")), "left")
+                .join(r, (F.col("b.code_insee_reg") == F.col(f"r_{cfg}.code_insee_reg"))
+                      & (F.col(f"b.{cul}") == F.col(f"r_{cfg}.culture")), "left")
+                .select(*[F.col(f"b.{c}") for c in cols],
+                        F.col(f"d_{cfg}.{nb_col}").alias(f"_nbd_{cfg}"),
+                        F.col(f"r_{cfg}.{nb_col}_reg").alias(f"_nbr_{cfg}")))
         nb = F.coalesce(F.col(f"_nbd_{cfg}").cast("double"), F.col(f"_nbr_{cfg}"))
         ift = F.col(ift_col)
         df = df.select(

@@ -9,7 +9,7 @@ from driftcast.fixtures import fixture
 from driftcast.functions.aggs import n_unique
 from driftcast.functions.columns import level_0_4, region_name
 from driftcast.operators import crops as CR
-from driftcast.operators.calendar import active_days, dep_region_bridge
+from driftcast.operators.calendar import dep_region_bridge, distinct_active_days
 from driftcast.operators.risk import commune_base, daily_contributions, risk_year, spine, activity_table, \
     calendar_is_small
 from driftcast.functions.columns import year_spine
@@ -50,7 +50,7 @@ QUERIES = {
 FROM fx_calendrier c JOIN (SELECT DISTINCT code_insee_dep, code_insee_reg FROM fx_ift WHERE ift_t IS NOT NULL) b
  ON CAST(c.departement_code AS STRING) = b.code_insee_dep"""),
     "c3_active_periods": (
-        lambda s, sf: active_days(inputs(s, sf).cal),
+        lambda s, sf: distinct_active_days(inputs(s, sf).cal),
         f"""WITH {CAL_CTE},
 days AS (SELECT CAST(DATE '{ANNEE}-01-01' + CAST(i AS INTEGER) AS DATE) AS day FROM range(366) t(i))
 SELECT DISTINCT 'maj' AS cfg, c.departement_code, c.culture, d.day AS date FROM cal c JOIN days d ON d.day BETWEEN c.debut_de_periode AND c.fin_de_periode

@@ -12,7 +12,7 @@ from driftcast.functions import columns as C
 from driftcast.functions.geo import lambert93_sql, ring_within
 from driftcast.operators import analytics as AN
 from driftcast.operators import geo as G
-from driftcast.operators.calendar import (active_days, denominators, dep_region_bridge, rebase_calendar,
+from driftcast.operators.calendar import (denominators, distinct_active_days, dep_region_bridge, rebase_calendar,
                                           region_active_days, regional_denominators)
 from driftcast.operators.display import communes_admin
 from driftcast.plans.measures_q import SQL_CLEAN, clean
@@ -180,7 +180,7 @@ br AS (SELECT DISTINCT code_insee_dep, code_insee_reg FROM fx_ift WHERE ift_t IS
 SELECT br.code_insee_reg, nb.culture, avg(nb.t) AS nb_periodes_total_reg, avg(nb.fi) AS nb_periodes_fongi_insecti_reg,
  avg(nb.h) AS nb_periodes_herbicides_reg FROM nb JOIN br ON br.code_insee_dep = nb.dep GROUP BY br.code_insee_reg, nb.culture"""),
     "d3_region_active": (
-        lambda s, sf: region_active_days(active_days(inputs(s, sf).cal), dep_region_bridge(inputs(s, sf).ift)),
+        lambda s, sf: region_active_days(distinct_active_days(inputs(s, sf).cal), dep_region_bridge(inputs(s, sf).ift)),
         f"""WITH cal AS (SELECT CAST(departement_code AS STRING) AS dep, culture,
   make_date({ANNEE}, month(debut_de_periode), day(debut_de_periode)) AS d0, make_date({ANNEE}, month(fin_de_periode), day(fin_de_periode)) AS d1,
   herbicides, fongicides, insecticides FROM fx_calendrier),
