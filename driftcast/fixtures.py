@@ -206,6 +206,12 @@ SELECT CAST(p_partkey%64 AS INT) AS gi, CAST(floor(p_partkey/64)%64 AS INT) AS g
  p_retailprice AS valeur
 FROM {part} WHERE p_partkey < 4096"""
 
+# Irregular weather stations: planar points spread like the communes.
+FX["fx_stations"] = """
+SELECT concat('ST', CAST(s_suppkey AS STRING)) AS station, CAST(150000 + (s_suppkey*104723)%1000000 AS DOUBLE) AS x,
+ CAST(6050000 + (s_suppkey*7907)%1000000 AS DOUBLE) AS y, CAST(s_suppkey%64 AS DOUBLE)/4 AS valeur
+FROM {supplier}"""
+
 _PLACEHOLDER = re.compile(r"(?<!\{)\{([a-z_0-9]+)\}(?!\})")
 
 

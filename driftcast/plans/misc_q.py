@@ -72,6 +72,14 @@ QUERIES = {
         f"""WITH a AS (SELECT code_insee, {_LON} AS lon, {_LAT} AS lat FROM fx_communes),
 b AS (SELECT code_insee, CAST(round((lon + 6.0) / 0.25) AS INTEGER) AS gi, CAST(round((lat - 40.0) / 0.25) AS INTEGER) AS gj FROM a)
 SELECT b.code_insee, b.gi, b.gj, g.valeur FROM b LEFT JOIN fx_grille g ON g.gi = b.gi AND g.gj = b.gj"""),
+    "c19_nearest_station": (
+        lambda s, sf: G.nearest_point(fixture(s, sf, "fx_communes").select("code_insee", F.col("x_l93").alias("x"),
+                                                                           F.col("y_l93").alias("y")),
+                                      fixture(s, sf, "fx_stations"), "code_insee", "station", "valeur", 16384.0),
+        """SELECT code_insee, station, valeur, distance FROM (
+ SELECT c.code_insee, s.station, s.valeur, sqrt((c.x_l93 - s.x) * (c.x_l93 - s.x) + (c.y_l93 - s.y) * (c.y_l93 - s.y)) AS distance,
+  row_number() OVER (PARTITION BY c.code_insee ORDER BY (c.x_l93 - s.x) * (c.x_l93 - s.x) + (c.y_l93 - s.y) * (c.y_l93 - s.y), s.station) AS rn
+ FROM fx_communes c, fx_stations s) WHERE rn = 1"""),
     "b1_rename_existing": (
         lambda s, sf: C.rename_existing(measurement_sheet(fixture(s, sf, "fx_mesures_brut")).drop("Semaine"),
                                         MEASURE_RENAME).select("reseau", "nom_commune", "code_insee", "annee",

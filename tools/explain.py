@@ -13,10 +13,11 @@ from collections import Counter
 
 sys.path.insert(0, ".")
 from bench import HEADLINE  # noqa: E402
+from driftcast import fixtures  # noqa: E402
 from driftcast.plans.registry import registry  # noqa: E402
-from driftcast.session import get_spark  # noqa: E402
+from driftcast.session import get_spark, shared_path  # noqa: E402
 
-OPS = ("Exchange", "BroadcastExchange", "BroadcastHashJoin", "ShuffledHashJoin", "SortMergeJoin",
+OPS = ("ReusedExchange", "Exchange", "BroadcastExchange", "BroadcastHashJoin", "ShuffledHashJoin", "SortMergeJoin",
        "BroadcastNestedLoopJoin", "CartesianProduct", "Generate", "HashAggregate", "ObjectHashAggregate",
        "SortAggregate", "Window", "Scan parquet", "PythonUDF", "BatchEvalPython", "ArrowEvalPython")
 
@@ -26,10 +27,13 @@ def main() -> None:
     names = sys.argv[2:] or list(HEADLINE)
     spark = get_spark("local[8]", 8)
     reg = registry()
+    fixtures.materialize(spark, sf, shared_path(spark, "explain-inputs"))  # stored inputs, as in bench.py
     os.makedirs("docs/plans", exist_ok=True)
     for name in names:
         df = reg[name][0](spark, sf)
-        plan = df._sc._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+        df.write.format("noop").mode("overwrite").save()  # final adaptive plan, with reused exchanges
+        qe = df._jdf.queryExecution()
+        plan = df._sc._jvm.PythonSQLUtils.explainString(qe, "formatted")
         with open(f"docs/plans/{name}.txt", "w") as fh:
             fh.write(plan)
         head = plan.split("\n\n")[0]
