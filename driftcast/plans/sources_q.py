@@ -227,7 +227,7 @@ FROM b GROUP BY batch"""),
         f"""WITH {SQL_CLEAN},
 w AS (SELECT DISTINCT code_insee, debut_prelevement - 15 AS start_date, fin_prelevement + 15 AS end_date FROM clean
  WHERE latitude IS NOT NULL),
-n AS (SELECT w.*, CAST(floor((row_number() OVER (PARTITION BY start_date, end_date ORDER BY code_insee) - 1) / 100) AS BIGINT) AS batch FROM w)
+n AS (SELECT w.*, CAST(floor((row_number() OVER (PARTITION BY start_date, end_date ORDER BY code_insee NULLS FIRST) - 1) / 100) AS BIGINT) AS batch FROM w)
 SELECT start_date, end_date, batch, count(*) AS n_communes, string_agg(code_insee, ',' ORDER BY code_insee) AS codes
 FROM n GROUP BY start_date, end_date, batch"""),
     "a12_upsert_risk": (
