@@ -179,9 +179,25 @@ def daily_contributions(spine: DataFrame, act: DataFrame) -> DataFrame:
     return df.select("*", F.when(has_any, total).alias("ift_journalier_total"))
 
 
+ROWS_PER_PARTITION = 4_000_000  # commune-days per spine partition (~0.5 GB of rows)
+
+
+def spine_partitions(inp: RiskInputs, ndays: int) -> int:
+    """Partition count of the spine: at least ``spark.sql.shuffle.partitions``
+    and enough that each partition holds at most ``ROWS_PER_PARTITION``
+    commune-days (one count of the filtered IFT scan), so tasks stay the same
+    size when communes or days grow."""
+    spark = inp.ift.sparkSession
+    base = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    target = int(spark.conf.get("driftcast.rowsPerPartition", str(ROWS_PER_PARTITION)))
+    n_com = inp.ift.count()
+    return max(base, -(-n_com * ndays // target))
+
+
 def spine(base: DataFrame, days: Column, partitions: int | None = None) -> DataFrame:
     """Commune × day rows: the commune table is hash-partitioned on
-    ``insee_com`` once and each row exploded to its days (narrow)."""
+    ``insee_com`` once (explicit count, so AQE keeps it) and each row
+    exploded to its days (narrow)."""
     spark = base.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     return base.repartition(n, "insee_com").select("*", F.explode(days).alias("date"))
@@ -248,6 +264,8 @@ def risk_days(inp: RiskInputs, days: Column, d0: dt.date | None = None,
     small = calendar_is_small(inp)
     base = commune_base(inp, small)
     act = activity_table(inp, small)
+    if partitions is None:
+        partitions = spine_partitions(inp, 366)  # a day list never exceeds one year here
     df = daily_contributions(spine(base, days, partitions), act)
     df = attach_weather(df, weather if weather is not None else inp.weather, d0, d1, th,
                         neutral_days=neutral_days)
