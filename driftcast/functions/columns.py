@@ -11,7 +11,6 @@ from itertools import chain
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from driftcast.config import (CROP_MAP, DEFAULT_THRESHOLDS, MONTHS_FR, REGION_CODES,
                               V0_DISPERSION, V0_RAIN, V0_WIND_MAX, WEATHER_COLUMNS,
@@ -36,9 +35,6 @@ def map_literal(d: dict) -> Column:
     return F.create_map(*[F.lit(x) for x in chain.from_iterable(d.items())])
 
 
-_CROP_MAP_COL = None
-
-
 def map_crop(c: str | Column) -> Column:
     """IFT crop name -> calendar crop name; unknown or null -> null."""
     return F.try_element_at(map_literal(CROP_MAP), col_or(c))

@@ -184,9 +184,10 @@ ROWS_PER_PARTITION = 4_000_000  # commune-days per spine partition (~0.5 GB of r
 
 def spine_partitions(inp: RiskInputs, ndays: int) -> int:
     """Partition count of the spine: at least ``spark.sql.shuffle.partitions``
-    and enough that each partition holds at most ``ROWS_PER_PARTITION``
-    commune-days (one count of the filtered IFT scan), so tasks stay the same
-    size when communes or days grow."""
+    (fewer would make the planner re-shuffle the spine to co-partition it
+    with the weather side) and enough that each partition holds at most
+    ``ROWS_PER_PARTITION`` commune-days (one count of the filtered IFT scan),
+    so tasks stay the same size when communes or days grow."""
     spark = inp.ift.sparkSession
     base = int(spark.conf.get("spark.sql.shuffle.partitions"))
     target = int(spark.conf.get("driftcast.rowsPerPartition", str(ROWS_PER_PARTITION)))

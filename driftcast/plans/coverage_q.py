@@ -16,7 +16,7 @@ from driftcast.functions.columns import year_spine
 from driftcast.plans.measures_q import SQL_CLEAN, clean
 from driftcast.plans.risk_extra_q import CAL_CTE, IFT_CTE, RISK_CTE
 from driftcast.plans.risk_q import ANNEE, inputs
-from driftcast.plans.sqlparts import REGION_CTE, contribution, risk_sql
+from driftcast.plans.sqlparts import REGION_CTE, risk_sql
 
 
 def _contrib(s, sf):

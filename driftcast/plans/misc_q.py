@@ -6,7 +6,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from driftcast.config import MEASURE_RENAME, REGION_CODES
+from driftcast.config import MEASURE_RENAME
 from driftcast.fixtures import fixture
 from driftcast.functions import columns as C
 from driftcast.functions.geo import lambert93_sql, ring_within
@@ -17,7 +17,7 @@ from driftcast.operators.calendar import (denominators, distinct_active_days, de
 from driftcast.operators.display import communes_admin
 from driftcast.plans.measures_q import SQL_CLEAN, clean
 from driftcast.plans.risk_q import ANNEE, inputs
-from driftcast.plans.sqlparts import CROP_MAP_CTE, REGION_CTE, _q
+from driftcast.plans.sqlparts import CROP_MAP_CTE, REGION_CTE
 from driftcast.sources.sheets import measurement_sheet
 
 PARCEL_COLS = ["id_parcel", "code_insee_source", "cx", "cy", "half", "code_cultu", "surf_parc"]

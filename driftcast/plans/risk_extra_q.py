@@ -11,7 +11,7 @@ from driftcast.operators import display as D
 from driftcast.operators import risk as R
 from driftcast.operators.calendar import period_counts
 from driftcast.plans.risk_q import ANNEE, inputs
-from driftcast.plans.sqlparts import CROP_MAP_CTE, level, risk_sql, weather_cols
+from driftcast.plans.sqlparts import CROP_MAP_CTE, risk_sql, weather_cols
 
 RISK_CTE = f"risk AS ({risk_sql(ANNEE)})"
 IFT_CTE = f"""{CROP_MAP_CTE},

@@ -2,10 +2,6 @@
 
 from __future__ import annotations
 
-import datetime as dt
-
-from pyspark.sql import functions as F
-
 from driftcast.fixtures import fixture
 from driftcast.operators.risk import load_inputs, risk_forecast, risk_year
 from driftcast.plans.sqlparts import risk_sql

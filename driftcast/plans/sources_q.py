@@ -8,7 +8,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from driftcast.config import DEFAULT_THRESHOLDS, Thresholds
+from driftcast.config import Thresholds
 from driftcast.fixtures import fixture
 from driftcast.functions.geo import lambert93_sql
 from driftcast.operators import display as D

@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from driftcast.operators.display import map_join, with_state
+from driftcast.operators.display import map_join
 
 SERIES_COLS = ("date", "risque_0_4", "ift_journalier_total", "risque_brut", "indicateur_meteo",
                "interdiction_pulv", "pluie_limitante", "risque_dispersion")
