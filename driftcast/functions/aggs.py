@@ -27,3 +27,15 @@ def ordered_sum(c: str) -> Column:
 def ordered_sum_sql(c: str) -> str:
     return (f"coalesce(list_reduce(list_sort(list({c}) FILTER (WHERE {c} IS NOT NULL)), "
             f"lambda a, v: a + v), 0)")
+
+
+def exact_percentiles(df, col: str, probs, keys: list[str] | None = None):
+    """Exact percentiles (linear interpolation) of ``col``, per ``keys``:
+    rows are first counted per distinct value (map-side combined), and
+    ``percentile(value, p, frequency)`` then runs on those pairs, so the
+    final aggregation holds distinct values, not rows. Returns ``p`` (array)."""
+    keys = keys or []
+    pairs = df.where(F.col(col).isNotNull()).groupBy(*keys, F.col(col).alias("_v")).agg(
+        F.count(F.lit(1)).alias("_n"))
+    return pairs.groupBy(*keys).agg(
+        F.percentile(F.col("_v"), F.array(*[F.lit(float(p)) for p in probs]), F.col("_n")).alias("p"))

@@ -16,17 +16,17 @@ def null_census(df: DataFrame) -> DataFrame:
 def describe(df: DataFrame, cols: list[str], digits: int = 6) -> DataFrame:
     """Count, mean, std (sample), min, exact quartiles (linear), max of
     numeric columns; one row per column (long form, values rounded)."""
+    from driftcast.functions.aggs import exact_percentiles
     parts = []
     for c in cols:
-        x = F.col(c)
-        parts.append(df.agg(
+        x = F.col(f"`{c}`")
+        moments = df.agg(
             F.lit(c).alias("colonne"), F.count(x).alias("count"),
             F.round(F.avg(x), digits).alias("mean"), F.round(F.stddev_samp(x), digits).alias("std"),
-            F.min(x).cast("double").alias("min"),
-            F.round(F.percentile(x, F.lit(0.25)), digits).alias("q25"),
-            F.round(F.percentile(x, F.lit(0.5)), digits).alias("q50"),
-            F.round(F.percentile(x, F.lit(0.75)), digits).alias("q75"),
-            F.max(x).cast("double").alias("max")))
+            F.min(x).cast("double").alias("min"), F.max(x).cast("double").alias("max"))
+        q = exact_percentiles(df.select(x.alias("_x")), "_x", (0.25, 0.5, 0.75)).select("p").scalar()
+        parts.append(moments.select("*", *[F.round(q[i], digits).alias(n)
+                                           for i, n in enumerate(("q25", "q50", "q75"))]))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

@@ -309,9 +309,14 @@ def quartile_cuts(risk: DataFrame, col: str = "risque_brut") -> Column:
     number of distinct values, not by rows. No positive value -> all-null
     cuts, so every non-null level is 0 or 4 never happens: see ``levels_by_quartiles``.
     """
-    pos = risk.where(F.col(col) > 0).groupBy(F.col(col).alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
-    return pos.select(F.percentile(F.col("_v"), F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)),
-                                   F.col("_n")).alias("q")).scalar()
+    return quartiles(risk, col).select("q").scalar()
+
+
+def quartiles(risk: DataFrame, col: str = "risque_brut") -> DataFrame:
+    """One row: ``q`` = exact [q25, q50, q75] of the positive values, from
+    (value, frequency) pairs (see ``quartile_cuts``)."""
+    from driftcast.functions.aggs import exact_percentiles
+    return exact_percentiles(risk.where(F.col(col) > 0), col, (0.25, 0.5, 0.75)).withColumnRenamed("p", "q")
 
 
 def levels_by_quartiles(risk: DataFrame, col: str = "risque_brut",

@@ -77,10 +77,8 @@ SELECT risk.* REPLACE (CASE WHEN q.q1 IS NULL THEN (CASE WHEN risque_brut IS NOT
   WHEN risque_brut <= q.q2 THEN 2 WHEN risque_brut <= q.q3 THEN 3 ELSE 4 END) END AS risque_0_4)
 FROM risk, q"""),
     "d27_quartile_thresholds": (
-        lambda s, sf: _risk(s, sf).where(F.col("risque_brut") > 0).agg(
-            F.round(F.percentile("risque_brut", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))[0], 9).alias("q1"),
-            F.round(F.percentile("risque_brut", F.lit(0.5)), 9).alias("q2"),
-            F.round(F.percentile("risque_brut", F.lit(0.75)), 9).alias("q3")),
+        lambda s, sf: R.quartiles(_risk(s, sf)).select(
+            *[F.round(F.col("q")[i], 9).alias(n) for i, n in enumerate(("q1", "q2", "q3"))]),
         f"""WITH {RISK_CTE}
 SELECT round(quantile_cont(risque_brut, 0.25), 9) AS q1, round(quantile_cont(risque_brut, 0.5), 9) AS q2,
  round(quantile_cont(risque_brut, 0.75), 9) AS q3 FROM risk WHERE risque_brut > 0"""),
