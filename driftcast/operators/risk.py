@@ -94,7 +94,12 @@ def calendar_is_small(inp: RiskInputs, max_rows: int | None = None) -> bool:
 
 
 def _maybe_broadcast(df: DataFrame, small: bool) -> DataFrame:
-    return F.broadcast(df) if small else df
+    """Small calendar-derived tables are read by several joins of one plan;
+    they are checkpointed first (shared folder, lineage cut) so their
+    shuffle subtrees run once instead of once per join, then broadcast."""
+    if small:
+        return F.broadcast(df.checkpoint(eager=True))
+    return df
 
 
 def commune_base(inp: RiskInputs, small: bool | None = None) -> DataFrame:
