@@ -39,7 +39,7 @@ HEADLINE = (
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    reps = int(os.environ.get("BENCH_REPS", "2"))
+    reps = int(os.environ.get("BENCH_REPS", "3"))
     spark = get_spark(f"local[{cpus}]", shuffle_partitions=max(cpus, 8))
     reg = registry()
     if os.environ.get("BENCH_STORED", "1") == "1":

@@ -19,7 +19,7 @@ The reference walks the year one day at a time (365 × 3 configurations ×
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -48,6 +48,14 @@ class RiskInputs:
     cal: DataFrame            # calendar rebased to ``annee``
     weather: DataFrame | None  # code_insee, time, wind, rain (whole file, no region filter)
     annee: int
+    # derived tables shared by every plan built on these inputs (e.g. the
+    # history day and the forecast of one map): computed once
+    memo: dict = field(default_factory=dict, repr=False, compare=False)
+
+    def once(self, key: str, make):
+        if key not in self.memo:
+            self.memo[key] = make()
+        return self.memo[key]
 
 
 def check_region(region: str | None) -> str | None:
@@ -90,7 +98,7 @@ def calendar_is_small(inp: RiskInputs, max_rows: int | None = None) -> bool:
     from driftcast.config import BROADCAST_MAX_ROWS
     limit = max_rows or BROADCAST_MAX_ROWS
     cap = limit // (366 * 3 * 2)
-    return inp.cal.limit(cap + 1).count() <= cap
+    return inp.once(f"small{cap}", lambda: inp.cal.limit(cap + 1).count() <= cap)
 
 
 def _maybe_broadcast(df: DataFrame, small: bool) -> DataFrame:
@@ -116,8 +124,8 @@ def commune_base(inp: RiskInputs, small: bool | None = None) -> DataFrame:
     den = denominators(inp.cal)
     bridge = dep_region_bridge(inp.ift)
     den_reg = regional_denominators(den, bridge)
-    den_b = _maybe_broadcast(den, small)
-    den_reg_b = _maybe_broadcast(den_reg, small)
+    den_b = inp.once(f"den{small}", lambda: _maybe_broadcast(den, small))
+    den_reg_b = inp.once(f"den_reg{small}", lambda: _maybe_broadcast(den_reg, small))
     df = inp.ift
     for cfg, cul, ift_col, nb_col in CONFIGS:
         # the same broadcast table (aliased) for the three configurations:
@@ -151,8 +159,8 @@ def activity_table(inp: RiskInputs, small: bool | None = None) -> DataFrame:
     the calendar bound (see ``calendar_is_small``)."""
     if small is None:
         small = calendar_is_small(inp)
-    act = activity_by_bridge(active_days(inp.cal), dep_region_bridge(inp.ift))
-    return _maybe_broadcast(act, small)
+    return inp.once(f"act{small}", lambda: _maybe_broadcast(
+        activity_by_bridge(active_days(inp.cal), dep_region_bridge(inp.ift)), small))
 
 
 def daily_contributions(spine: DataFrame, act: DataFrame) -> DataFrame:
@@ -196,7 +204,7 @@ def spine_partitions(inp: RiskInputs, ndays: int) -> int:
     spark = inp.ift.sparkSession
     base = int(spark.conf.get("spark.sql.shuffle.partitions"))
     target = int(spark.conf.get("driftcast.rowsPerPartition", str(ROWS_PER_PARTITION)))
-    n_com = inp.ift.count()
+    n_com = inp.once("n_communes", inp.ift.count)
     return max(base, -(-n_com * ndays // target))
 
 

@@ -28,15 +28,15 @@ def hist(s, sf):
     return risk_year(inputs(s, sf))
 
 
-def hist_days(s, sf, days):
+def hist_days(s, sf, days, inp=None):
     """History rows of the given days only (array Column): the spine is
     generated for those days instead of filtering the whole year (equal by
     the recompute-days invariant)."""
-    return risk_days(inputs(s, sf), days)
+    return risk_days(inp or inputs(s, sf), days)
 
 
-def fc(s, sf):
-    return risk_forecast(inputs(s, sf), fixture(s, sf, "fx_meteo_prev"))
+def fc(s, sf, inp=None):
+    return risk_forecast(inp or inputs(s, sf), fixture(s, sf, "fx_meteo_prev"))
 
 
 def _r6(df):
@@ -55,7 +55,8 @@ def snapshot(s, sf, prefer="forecast"):
     day = first_fc_day(s, sf) if prefer == "forecast" else last_hist_day(s, sf)
     fdays = fixture(s, sf, "fx_meteo_prev").select(F.col("time").alias("date")).distinct()
     hdays = s.range(1).select(F.explode(year_spine(ANNEE)).alias("date"))
-    return D.map_snapshot(ref(s, sf), hist_days(s, sf, F.array(day)), fc(s, sf), day, prefer, hdays, fdays)
+    inp = inputs(s, sf)  # one set of inputs: calendar tables derived once for both plans
+    return D.map_snapshot(ref(s, sf), hist_days(s, sf, F.array(day), inp), fc(s, sf, inp), day, prefer, hdays, fdays)
 
 
 _LON, _LAT = lambert93_sql("x_l93", "y_l93")
