@@ -112,7 +112,8 @@ def region_active_days(act: DataFrame, bridge: DataFrame, dedupe: bool = True) -
     return r.distinct() if dedupe else r
 
 
-def activity_by_bridge(act: DataFrame, bridge: DataFrame) -> DataFrame:
+def activity_by_bridge(act: DataFrame, bridge: DataFrame, fallback: str = "quirk",
+                       cal: DataFrame | None = None) -> DataFrame:
     """Activity per (cfg, departement, region, culture, day) for every bridge
     pair: departement-level active OR region-level active. Because the
     departement flag is only ever true or null, ``coalesce(dep, reg)`` of the
@@ -126,6 +127,11 @@ def activity_by_bridge(act: DataFrame, bridge: DataFrame) -> DataFrame:
                 .join(reg_act.alias("r"), F.col("b.code_insee_reg") == F.col("r.code_insee_reg"), "inner")
                 .select("cfg", "code_insee_dep", F.col("b.code_insee_reg").alias("reg_key"),
                         "culture", "date"))
+    if fallback == "absent_only":
+        # the commented intent: the region stands in only for a departement
+        # that has no period at all for that culture
+        present = cal.select(F.col("departement_code").alias("code_insee_dep"), "culture").distinct()
+        reg_part = reg_part.join(present, ["code_insee_dep", "culture"], "left_anti")
     return dep_part.unionByName(reg_part).distinct()
 
 

@@ -48,6 +48,11 @@ class RiskInputs:
     cal: DataFrame            # calendar rebased to ``annee``
     weather: DataFrame | None  # code_insee, time, wind, rain (whole file, no region filter)
     annee: int
+    # quirk switches: Q1 regional activity also for a departement present but
+    # inactive ("quirk", the reference) or only for an absent one
+    # ("absent_only"); Q3 zero denominator -> IEEE inf/NaN ("ieee") or null
+    fallback: str = "quirk"
+    zero_division: str = "ieee"
     # derived tables shared by every plan built on these inputs (e.g. the
     # history day and the forecast of one map): computed once
     memo: dict = field(default_factory=dict, repr=False, compare=False)
@@ -70,7 +75,8 @@ def check_region(region: str | None) -> str | None:
 
 
 def load_inputs(ift_enrichi: DataFrame, calendar: DataFrame, weather: DataFrame | None,
-                annee: int, region: str | None = None, pad_departement: bool = False) -> RiskInputs:
+                annee: int, region: str | None = None, pad_departement: bool = False,
+                fallback: str = "quirk", zero_division: str = "ieee") -> RiskInputs:
     """IFT rows with a yearly total, optional region filter (pushed to
     the scan), mapped crops (B3), calendar rebased to the year (B10)."""
     code = check_region(region)
@@ -87,7 +93,8 @@ def load_inputs(ift_enrichi: DataFrame, calendar: DataFrame, weather: DataFrame
     cal = rebase_calendar(calendar, annee, pad_departement=pad_departement)
     if weather is not None:
         weather = weather.select("code_insee", "time", "wind_speed_10m_mean", "precipitation_sum")
-    return RiskInputs(ift=ift, cal=cal, weather=weather, annee=annee)
+    return RiskInputs(ift=ift, cal=cal, weather=weather, annee=annee, fallback=fallback,
+                      zero_division=zero_division)
 
 
 def calendar_is_small(inp: RiskInputs, max_rows: int | None = None) -> bool:
@@ -146,7 +153,8 @@ def commune_base(inp: RiskInputs, small: bool | None = None) -> DataFrame:
             nb.alias(f"nb_{cfg}"),
             (nb.isNull() | ift.isNull()).alias(f"{cfg}_fixed"),
             F.when(ift.isNull() | (ift == 0), F.lit(0.0)).alias(f"{cfg}_fixval"),
-            safe_divide(ift, nb).alias(f"{cfg}_ratio"))
+            (safe_divide(ift, nb) if inp.zero_division == "ieee"
+             else F.try_divide(ift, nb)).alias(f"{cfg}_ratio"))
     return df.select(
         "*",
         F.coalesce(F.col("c_ift_hbc_cal") != F.col("c_maj_cal"), F.lit(True)).alias("hbc_different"),
@@ -160,7 +168,7 @@ def activity_table(inp: RiskInputs, small: bool | None = None) -> DataFrame:
     if small is None:
         small = calendar_is_small(inp)
     return inp.once(f"act{small}", lambda: _maybe_broadcast(
-        activity_by_bridge(active_days(inp.cal), dep_region_bridge(inp.ift)), small))
+        activity_by_bridge(active_days(inp.cal), dep_region_bridge(inp.ift), inp.fallback, inp.cal), small))
 
 
 def daily_contributions(spine: DataFrame, act: DataFrame) -> DataFrame:

@@ -180,3 +180,31 @@ def test_dedup_flags_and_zero_denominator(spark):
     inp = _inputs(spark, ift, cal, None)
     got = {r["insee_com"]: r for r in risk_days(inp, F.array(F.lit(D1))).collect()}
     assert got["c1"]["ift_journalier_total"] == math.inf and got["c1"]["risque_0_4"] == 4
+
+
+def test_quirk_switches(spark):
+    # dep 10 has crop A but no period active on D1; dep 20 (same region) is
+    # active: the reference (Q1) still takes the regional activity
+    cal = [("10", "A", dt.date(2024, 6, 1), dt.date(2024, 6, 2), False, False, False),
+           ("20", "A", D1, D2, False, False, False)]
+    ift = [("c1", "10", "R", "a", 2.0, "a", None, "a", None, "A", "A", "A"),
+           ("c2", "20", "R", "a", 2.0, "a", None, "a", None, "A", "A", "A")]
+    days = F.array(F.lit(D1))
+    q = _inputs(spark, ift, cal, None)
+    got = {r["insee_com"]: r["ift_journalier_total"] for r in risk_days(q, days).collect()}
+    assert got == {"c1": 2.0, "c2": 2.0}
+    q2 = _inputs(spark, ift, cal, None)
+    q2.fallback = "absent_only"
+    got = {r["insee_com"]: r["ift_journalier_total"] for r in risk_days(q2, days).collect()}
+    assert got == {"c1": 0.0, "c2": 2.0}
+    # Q3: zero denominator with regional activity -> inf, or null when asked
+    cal3 = [("10", "B", dt.date(2024, 9, 1), dt.date(2024, 9, 2), False, True, False),
+            ("20", "B", D1, D2, True, False, False)]
+    ift3 = [("c1", "10", "R", "z", 0.0, "z", 0.0, "b", 1.0, None, None, "B"),
+            ("c9", "20", "R", "z", 0.0, "z", 0.0, "b", 0.0, None, None, "B")]
+    q3 = _inputs(spark, ift3, cal3, None)
+    assert {r["insee_com"]: r["ift_journalier_total"] for r in risk_days(q3, days).collect()}["c1"] == math.inf
+    q4 = _inputs(spark, ift3, cal3, None)
+    q4.zero_division = "null"
+    # the h contribution becomes undetermined; the other two are 0, so the total is 0
+    assert {r["insee_com"]: r["ift_journalier_total"] for r in risk_days(q4, days).collect()}["c1"] == 0.0
