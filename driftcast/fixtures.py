@@ -10,7 +10,6 @@ dyadic on purpose so that doubles hash equal in both engines.
 from __future__ import annotations
 
 import re
-from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -326,8 +325,19 @@ SPARK_BUILDERS = {
 }
 
 
-@lru_cache(maxsize=256)
+_CACHE: dict[tuple, DataFrame] = {}
+
+
 def _fixture_cached(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """Fixture DataFrames are built once per (application, session, scale
+    factor); a new or restarted session never sees another's plans."""
+    key = (spark.sparkContext.applicationId, id(spark), sf_dir, name)
+    if key not in _CACHE:
+        _CACHE[key] = _build_fixture(spark, sf_dir, name)
+    return _CACHE[key]
+
+
+def _build_fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     if name in BASE_TABLES:
         return base_table(spark, sf_dir, name)
     if name in SPARK_BUILDERS:
