@@ -128,6 +128,20 @@ def q_upsert(s, sf):
     return s.read.parquet(p)
 
 
+def q_upsert_days(s, sf):
+    """J2 + A12 by (commune, day): the late days recomputed (here with other
+    level cut points, to see them land) replace only their rows."""
+    from driftcast.operators.risk import risk_days
+    p = shared_path(s, "risk_days_table")
+    inp = inputs(s, sf)
+    TB.upsert_year(s, p, risk_year(inp), ANNEE)
+    days = (fixture(s, sf, "fx_meteo").where(F.dayofmonth("time") > 20)
+            .select(F.array_sort(F.collect_set("time"))).scalar())
+    TB.upsert_year(s, p, risk_days(inp, days, th=Thresholds(level_cuts=(0.5, 1.0, 2.0))), ANNEE,
+                   key=["insee_com", "date"])
+    return s.read.parquet(p)
+
+
 def q_replace_forecasts(s, sf):
     p = shared_path(s, "prev_table")
     f = risk_forecast(inputs(s, sf), fixture(s, sf, "fx_meteo_prev"))
@@ -235,6 +249,12 @@ FROM n GROUP BY start_date, end_date, batch"""),
         f"""WITH risk AS ({risk_sql(ANNEE)}),
 reg AS (SELECT insee_com FROM fx_ift WHERE ift_t IS NOT NULL AND code_insee_reg = '11')
 SELECT risk.* REPLACE (CASE WHEN insee_com IN (SELECT insee_com FROM reg) THEN {level('risque_brut', (0.5, 1.0, 2.0))}
+ ELSE risque_0_4 END AS risque_0_4), {ANNEE} AS annee FROM risk"""),
+    "j2_upsert_recomputed_days": (
+        q_upsert_days,
+        f"""WITH risk AS ({risk_sql(ANNEE)}),
+late AS (SELECT DISTINCT time AS d FROM fx_meteo WHERE day(time) > 20)
+SELECT risk.* REPLACE (CASE WHEN date IN (SELECT d FROM late) THEN {level('risque_brut', (0.5, 1.0, 2.0))}
  ELSE risque_0_4 END AS risque_0_4), {ANNEE} AS annee FROM risk"""),
     "a13_assert_unique_risk": (
         lambda s, sf: TB.assert_unique(risk_year(inputs(s, sf)), ["insee_com", "date"]),

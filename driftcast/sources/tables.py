@@ -136,23 +136,26 @@ def assert_unique(df: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def upsert_year(spark: SparkSession, table: str, new: DataFrame, annee: int,
-                key: str = "insee_com") -> None:
+                key: str | list[str] = "insee_com") -> None:
     """Replace the rows of ``annee`` for the communes present in
-    ``new``, keep the others (partial update by region).
+    ``new``, keep the others (partial update by region). With
+    ``key=["insee_com", "date"]`` only the recomputed (commune, day) rows are
+    replaced (J2).
 
     The merged year is checkpointed (lineage cut, shared folder) and then
     written with dynamic partition overwrite, so only ``annee=<annee>`` is
     replaced and the write never reads the files it overwrites.
     """
     new = new.withColumn("annee", F.lit(annee))
+    keys = [key] if isinstance(key, str) else list(key)
     try:
         old = spark.read.parquet(table).where(F.col("annee") == annee)
-        keep = old.join(new.select(key).distinct(), key, "left_anti")
+        keep = old.join(new.select(*keys).distinct(), keys, "left_anti")
         merged = keep.unionByName(new)
     except Exception:  # noqa: BLE001 - first write of the table
         merged = new
     merged = merged.checkpoint(eager=True)
-    (merged.sortWithinPartitions(key, "date").write.mode("overwrite")
+    (merged.sortWithinPartitions("insee_com", "date").write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy("annee").parquet(table))
 
 
