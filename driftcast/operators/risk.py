@@ -225,17 +225,20 @@ def spine(base: DataFrame, days: Column, partitions: int | None = None) -> DataF
     return base.repartition(n, "insee_com").select("*", F.explode(days).alias("date"))
 
 
-def _weather_rows(weather: DataFrame, d0: dt.date | None, d1: dt.date | None,
-                  th: Thresholds) -> DataFrame:
+def _as_col(v) -> Column:
+    return v if isinstance(v, Column) else F.lit(v)
+
+
+def _weather_rows(weather: DataFrame, d0, d1, th: Thresholds) -> DataFrame:
     w = weather
     if d0 is not None:
-        w = w.where(F.col("time").between(F.lit(d0), F.lit(d1)))
+        w = w.where(F.col("time").between(_as_col(d0), _as_col(d1)))
     return w.select(F.col("code_insee").alias("_w_com"), F.col("time").alias("_w_date"),
                     *weather_indicator_cols(th=th), "wind_speed_10m_mean", "precipitation_sum")
 
 
-def attach_weather(df: DataFrame, weather: DataFrame | None, d0: dt.date | None,
-                   d1: dt.date | None, th: Thresholds, neutral_days: bool = True) -> DataFrame:
+def attach_weather(df: DataFrame, weather: DataFrame | None, d0, d1, th: Thresholds,
+                   neutral_days: bool = True) -> DataFrame:
     """E3–E5 on the commune-day table.
 
     A day with no weather row for any commune (or no weather at all) is
@@ -259,7 +262,7 @@ def attach_weather(df: DataFrame, weather: DataFrame | None, d0: dt.date | None,
                          & (F.col("date") == F.col("_w_date")), "left")
         if neutral_days:
             covered = bounded_broadcast(   # <= one row per day of [d0, d1]
-                weather.where(F.col("time").between(F.lit(d0), F.lit(d1)) if d0 is not None
+                weather.where(F.col("time").between(_as_col(d0), _as_col(d1)) if d0 is not None
                               else F.lit(True))
                 .select(F.col("time").alias("_c_date")).distinct()
                 .select("_c_date", F.lit(True).alias("_covered")))
@@ -282,7 +285,13 @@ def risk_days(inp: RiskInputs, days: Column, d0: dt.date | None = None,
               d1: dt.date | None = None, th: Thresholds = DEFAULT_THRESHOLDS,
               weather: DataFrame | None = None, neutral_days: bool = True,
               partitions: int | None = None) -> DataFrame:
-    """Risk rows for every commune and each day of ``days`` (array Column)."""
+    """Risk rows for every commune and each day of ``days`` (array Column).
+
+    Without explicit bounds, the weather side is cut to the day list's range
+    (``array_min``/``array_max``), so a one-day map or a week of forecasts
+    only shuffles the weather of those days."""
+    if d0 is None:
+        d0, d1 = F.array_min(days), F.array_max(days)
     small = calendar_is_small(inp)
     base = commune_base(inp, small)
     act = activity_table(inp, small)
