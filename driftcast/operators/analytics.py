@@ -51,10 +51,10 @@ def share_of_days(df: DataFrame, keys: list[str], flags: list[str]) -> DataFrame
 def area_quantiles(df: DataFrame, key: str, col: str, min_value: float | None = None) -> DataFrame:
     """Five-number summary (exact percentiles) of ``col`` per ``key``,
     optionally only above ``min_value``."""
+    from driftcast.functions.aggs import exact_percentiles
     d = df if min_value is None else df.where(F.col(col) > min_value)
-    q = F.percentile(F.col(col), F.array(*[F.lit(v) for v in (0.0, 0.25, 0.5, 0.75, 1.0)]))
-    return d.groupBy(key).agg(q.alias("q")).select(
-        key, *[F.col("q")[i].alias(n) for i, n in enumerate(("min", "q25", "q50", "q75", "max"))])
+    q = exact_percentiles(d, col, (0.0, 0.25, 0.5, 0.75, 1.0), [key])
+    return q.select(key, *[F.col("p")[i].alias(n) for i, n in enumerate(("min", "q25", "q50", "q75", "max"))])
 
 
 def latest_year_rows(df: DataFrame, year_col: str, order: list[str]) -> DataFrame:

@@ -119,12 +119,16 @@ def total_per_day(clean: DataFrame) -> DataFrame:
 def substance_detail(clean: DataFrame) -> DataFrame:
     """Per substance: detections, sampled periods, max detected
     concentration (0 when none), median limit of quantification."""
+    from driftcast.functions.aggs import exact_percentiles
     c = F.col("concentration_ng_m3")
-    return clean.groupBy("substance").agg(
+    main = clean.groupBy("substance").agg(
         F.count_if(c > 0).alias("nb_detections"),
         F.count(F.lit(1)).alias("nb_periodes"),
-        F.coalesce(F.max(F.when(c > 0, c)), F.lit(0.0)).alias("max_detecte"),
-        F.median("LQ (ng/m3)").alias("lq_mediane"))
+        F.coalesce(F.max(F.when(c > 0, c)), F.lit(0.0)).alias("max_detecte"))
+    # median from (value, frequency) pairs: a hot substance is pre-aggregated
+    med = exact_percentiles(clean.select("substance", F.col("`LQ (ng/m3)`").alias("_lq")), "_lq", (0.5,),
+                            ["substance"]).select("substance", F.col("p")[0].alias("lq_mediane"))
+    return main.join(med, "substance", "left")
 
 
 def substance_ranking(clean: DataFrame, n: int = 15) -> DataFrame:
