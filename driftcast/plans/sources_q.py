@@ -125,7 +125,7 @@ def q_upsert(s, sf):
     TB.upsert_year(s, p, risk_year(inputs(s, sf)), ANNEE)
     th = Thresholds(level_cuts=(0.5, 1.0, 2.0))
     TB.upsert_year(s, p, risk_year(inputs(s, sf, region="Île-de-France"), th), ANNEE)
-    return s.read.parquet(p)
+    return s.read.schema(TB.RISK_TABLE_SCHEMA).parquet(p)
 
 
 def q_upsert_days(s, sf):
@@ -139,7 +139,7 @@ def q_upsert_days(s, sf):
             .select(F.array_sort(F.collect_set("time"))).scalar())
     TB.upsert_year(s, p, risk_days(inp, days, th=Thresholds(level_cuts=(0.5, 1.0, 2.0))), ANNEE,
                    key=["insee_com", "date"])
-    return s.read.parquet(p)
+    return s.read.schema(TB.RISK_TABLE_SCHEMA).parquet(p)
 
 
 def q_replace_forecasts(s, sf):
@@ -249,13 +249,13 @@ FROM n GROUP BY start_date, end_date, batch"""),
         f"""WITH risk AS ({risk_sql(ANNEE)}),
 reg AS (SELECT insee_com FROM fx_ift WHERE ift_t IS NOT NULL AND code_insee_reg = '11')
 SELECT risk.* REPLACE (CASE WHEN insee_com IN (SELECT insee_com FROM reg) THEN {level('risque_brut', (0.5, 1.0, 2.0))}
- ELSE risque_0_4 END AS risque_0_4), {ANNEE} AS annee FROM risk"""),
+ ELSE risque_0_4 END AS risque_0_4), {ANNEE} AS annee, substr(insee_com, 1, 2) AS dep FROM risk"""),
     "j2_upsert_recomputed_days": (
         q_upsert_days,
         f"""WITH risk AS ({risk_sql(ANNEE)}),
 late AS (SELECT DISTINCT time AS d FROM fx_meteo WHERE day(time) > 20)
 SELECT risk.* REPLACE (CASE WHEN date IN (SELECT d FROM late) THEN {level('risque_brut', (0.5, 1.0, 2.0))}
- ELSE risque_0_4 END AS risque_0_4), {ANNEE} AS annee FROM risk"""),
+ ELSE risque_0_4 END AS risque_0_4), {ANNEE} AS annee, substr(insee_com, 1, 2) AS dep FROM risk"""),
     "a13_assert_unique_risk": (
         lambda s, sf: TB.assert_unique(risk_year(inputs(s, sf)), ["insee_com", "date"]),
         f"WITH risk AS ({risk_sql(ANNEE)})\nSELECT insee_com, date, count(*) AS n FROM risk GROUP BY insee_com, date HAVING count(*) > 1"),

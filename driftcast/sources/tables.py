@@ -33,6 +33,11 @@ RISK_SCHEMA = T.StructType([
 ])
 
 
+# stored risk table: the risk columns + partition columns (codes stay text)
+RISK_TABLE_SCHEMA = T.StructType(RISK_SCHEMA.fields + [
+    T.StructField("annee", T.IntegerType()), T.StructField("dep", T.StringType())])
+
+
 def load_communes(communes: DataFrame, region: str | None = None, check_empty: bool = True) -> DataFrame:
     """A1: optional region filter (pushed to the scan); an unknown region
     names the valid ones; an empty result is an error (one-row probe)."""
@@ -142,21 +147,26 @@ def upsert_year(spark: SparkSession, table: str, new: DataFrame, annee: int,
     ``key=["insee_com", "date"]`` only the recomputed (commune, day) rows are
     replaced (J2).
 
-    The merged year is checkpointed (lineage cut, shared folder) and then
-    written with dynamic partition overwrite, so only ``annee=<annee>`` is
-    replaced and the write never reads the files it overwrites.
+    The table is partitioned by (annee, dep) — ``dep`` = first two
+    characters of the commune code — so an update reads (dynamic partition
+    pruning through the broadcast list of touched departements, at most one
+    row per departement) and rewrites (dynamic partition overwrite) only the
+    departements it touches. The merge is checkpointed first, so the write
+    never reads the files it replaces.
     """
-    new = new.withColumn("annee", F.lit(annee))
+    new = new.withColumns({"annee": F.lit(annee), "dep": F.substring("insee_com", 1, 2)})
     keys = [key] if isinstance(key, str) else list(key)
     try:
-        old = spark.read.parquet(table).where(F.col("annee") == annee)
+        touched = F.broadcast(new.select("annee", "dep").distinct())
+        # explicit schema: partition inference would read dep "01" as 1
+        old = spark.read.schema(new.schema).parquet(table).join(touched, ["annee", "dep"], "left_semi")
         keep = old.join(new.select(*keys).distinct(), keys, "left_anti")
         merged = keep.unionByName(new)
     except Exception:  # noqa: BLE001 - first write of the table
         merged = new
     merged = merged.checkpoint(eager=True)
     (merged.sortWithinPartitions("insee_com", "date").write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy("annee").parquet(table))
+     .option("partitionOverwriteMode", "dynamic").partitionBy("annee", "dep").parquet(table))
 
 
 def replace_table(df: DataFrame, path: str) -> None:
