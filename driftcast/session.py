@@ -43,23 +43,30 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 
 
 def apply_conf(spark: SparkSession) -> None:
+    """The settings above that a running session can still take, and the
+    package's own folder for its Python workers (on a cluster where the
+    executors do not see that folder, ship the package with ``--py-files``)."""
     for k, v in SESSION_CONF.items():
-        if k in ("spark.ui.enabled", "spark.ui.showConsoleProgress"):
-            continue
-        try:
+        if spark.conf.isModifiable(k):
             spark.conf.set(k, v)
-        except Exception:  # static conf already fixed by the cluster
-            pass
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([*paths, root])
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and intermediate tables.
 
-    The cluster names it in ``spark.checkpoint.dir``; only when it is unset
-    (local tests) a scratch folder is chosen.
+    The cluster names it in ``spark.checkpoint.dir``. Where it is unset, a
+    local master gets a scratch folder (tests); a cluster is an error, since
+    executors could not see each other's files.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
         d = os.environ.get("DRIFTCAST_SCRATCH") or "/tmp/driftcast-checkpoints"
         spark.conf.set("spark.checkpoint.dir", d)
     if spark.sparkContext.getCheckpointDir() is None:
