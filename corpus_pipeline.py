@@ -10,8 +10,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from driftcast.llm import exact_dedup, langid, packing, quality
-from driftcast.llm.common import staged
+from driftcast.llm import exact_dedup, langid, near_dedup, packing, quality
+from driftcast.llm.common import held_out, staged
 from driftcast.session import apply_conf, ensure_checkpoint_dir
 
 
@@ -29,7 +29,7 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of which one learned language holds at least half (operator 9)."""
     _ready(spark)
-    return langid.keep_identified(docs, ~langid.held_out("doc_id", 4, 2))
+    return langid.keep_identified(docs, ~held_out("doc_id", 4, 2))
 
 
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,6 +38,13 @@ def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return exact_dedup.drop_copies(docs)
 
 
+def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies (operator 7; shingles of
+    five words, similarity 0.8 or more)."""
+    _ready(spark)
+    return near_dedup.drop_near_copies(docs, shingle=5)
+
+
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Training sequences (operator 8)."""
     _ready(spark)
@@ -48,6 +55,7 @@ STAGES = [
     ("quality rules", quality_stage),
     ("language ID", language_stage),
     ("exact dedup", exact_stage),
+    ("MinHash near-dedup", near_stage),
     ("best-fit packing", packing_stage),
 ]
 

@@ -9,6 +9,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from driftcast.session import shared_path
 
@@ -33,6 +34,12 @@ def strings(column: pa.Array | pa.ChunkedArray) -> pa.Array:
     return pc.fill_null(column.cast(pa.string()), "")
 
 
+def held_out(id_col: str, modulus: int, remainder: int) -> Column:
+    """crc32(id as text) mod modulus = remainder; a null id is not."""
+    crc = F.crc32(F.col(id_col).cast("string").cast("binary"))
+    return F.coalesce(F.pmod(crc, F.lit(modulus)) == remainder, F.lit(False))
+
+
 def text_slices(batches: Iterator[pa.RecordBatch], column: str = "text",
                 limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Record batches cut into slices of about ``limit`` bytes of text each,
@@ -84,9 +91,9 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
-def take_field(df: DataFrame, name: str):
-    """The Spark field of a column, for output schemas that keep its type."""
-    return next(f for f in df.schema.fields if f.name.lower() == name.lower())
+def take_field(df: DataFrame, name: str) -> T.StructField:
+    """A column of the type it has in ``df``, for output schemas."""
+    return T.StructField(name, next(f for f in df.schema.fields if f.name.lower() == name.lower()).dataType)
 
 
 TEXT_HASH = "__text_hash__"

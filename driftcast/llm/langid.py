@@ -46,12 +46,6 @@ _LETTERS = np.arange(256, dtype=np.uint8)
 _LETTERS[[b for b in range(128) if not chr(b).isalpha()]] = 32
 
 
-def held_out(id_col: str, modulus: int, remainder: int) -> Column:
-    """crc32(id as text) mod modulus = remainder; a null id is not."""
-    crc = F.crc32(F.col(id_col).cast("string").cast("binary"))
-    return F.coalesce(F.pmod(crc, F.lit(modulus)) == remainder, F.lit(False))
-
-
 def _buckets(texts: pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
     """Per n: the buckets of all rows and the rows' offsets."""
     padded = pc.binary_join_element_wise(" ", pc.utf8_lower(texts), " ", "")
