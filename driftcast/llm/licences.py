@@ -132,7 +132,7 @@ class Classifier:
             pair = np.cumsum(np.vstack([np.zeros((1, len(FAMILIES))), self.weight[bucket[:, 1]]]), axis=0, dtype=np.float64)
             a, b = a - low, b - low
             total = single[b] - single[a] + pair[np.maximum(b - 1, a)] - pair[a]
-            out[i:i + 4096] = total / np.sqrt(2 * (b - a) - 1)[:, None]
+            out[i:i + 4096] = total / np.sqrt(np.maximum(2 * (b - a) - 1, 1))[:, None]
         return out + self.bias
 
     def probabilities(self, word: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
