@@ -57,7 +57,7 @@ SELECT CAST(1+p_partkey%20 AS INT) AS departement_code, CASE ((p_partkey*7+CAST(
  make_date(2023, CAST(1+p_size%12 AS INT), CAST(1+p_partkey%28 AS INT)) AS debut_de_periode,
  make_date(2023, CAST(1+p_size%12 AS INT), CAST(1+p_partkey%28 AS INT)) + CAST(10+p_size AS INT) AS fin_de_periode,
  p_size%3=0 AS herbicides, p_size%4=1 AS fongicides, p_partkey%5=2 AS insecticides
-FROM {part} WHERE p_partkey<200"""
+FROM {part}"""
 
 FX["fx_meteo"] = """
 SELECT f.code_insee, d.jour AS time,
@@ -168,7 +168,7 @@ SELECT CAST(75 + p_partkey%4 AS INT) AS departement_code,
   WHEN 10 THEN 'novembre' ELSE 'décembre' END AS periode,
  CASE p_partkey%4 WHEN 0 THEN 'Herbicides' WHEN 1 THEN 'Fongicides et Insecticides' WHEN 2 THEN 'herbicides, Fongicides'
   ELSE 'Insecticides' END AS type
-FROM {part} WHERE p_partkey < 40"""
+FROM {part}"""
 
 # ERA5-like history with a lag: rain unknown after the 26th (to be cut).
 FX["fx_meteo_era5"] = """
@@ -200,10 +200,10 @@ FROM {lineitem} JOIN {fx_communes} f ON l_suppkey=f.k"""
 
 # Regular 0.25 degree weather grid (values carried, no arithmetic).
 FX["fx_grille"] = """
-SELECT CAST(p_partkey%64 AS INT) AS gi, CAST(floor(p_partkey/64)%64 AS INT) AS gj,
- -6.0 + CAST(p_partkey%64 AS DOUBLE)*0.25 AS lon, 40.0 + CAST(floor(p_partkey/64)%64 AS DOUBLE)*0.25 AS lat,
+SELECT CAST(p_partkey%64 AS INT) AS gi, CAST(floor(p_partkey/64) AS INT) AS gj,
+ -6.0 + CAST(p_partkey%64 AS DOUBLE)*0.25 AS lon, 40.0 + CAST(floor(p_partkey/64) AS DOUBLE)*0.25 AS lat,
  p_retailprice AS valeur
-FROM {part} WHERE p_partkey < 4096"""
+FROM {part}"""
 
 # Irregular weather stations: planar points spread like the communes.
 FX["fx_stations"] = """

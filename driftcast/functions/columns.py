@@ -169,6 +169,12 @@ def safe_divide(num: Column, den: Column) -> Column:
              .otherwise(num / den))
 
 
+def nan_as_null(c: str | Column) -> Column:
+    """The query surface's rule for missing numbers: NaN is null (±inf stays)."""
+    v = col_or(c)
+    return F.when(~F.isnan(v), v)
+
+
 def weather_indicator_cols(wind: str | Column = "wind_speed_10m_mean",
                            rain: str | Column = "precipitation_sum",
                            th: Thresholds = DEFAULT_THRESHOLDS) -> list[Column]:

@@ -3,6 +3,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -84,7 +86,7 @@ def active_days(cal: DataFrame) -> DataFrame:
     (``sequence``), giving (cfg, departement, culture, date) — bounded by the
     calendar size times the period lengths, independent of the commune data.
     Overlapping periods give repeated rows; consumers de-duplicate once, at
-    the end (``activity_by_bridge``, ``distinct_active_days``).
+    the end (``calendar_lookup``, ``distinct_active_days``).
     Periods with start > end (year-crossing after rebasing, quirk Q4) or a
     null bound are never active; they are dropped before ``sequence``, which
     would otherwise run backwards.
@@ -112,27 +114,57 @@ def region_active_days(act: DataFrame, bridge: DataFrame, dedupe: bool = True) -
     return r.distinct() if dedupe else r
 
 
-def activity_by_bridge(act: DataFrame, bridge: DataFrame, fallback: str = "quirk",
-                       cal: DataFrame | None = None) -> DataFrame:
-    """Activity per (cfg, departement, region, culture, day) for every bridge
-    pair: departement-level active OR region-level active. Because the
-    departement flag is only ever true or null, ``coalesce(dep, reg)`` of the
-    reference equals this OR (quirk Q1 kept). ``reg_key`` replaces a null
-    region by '' so the key can be joined with plain equality."""
-    reg_key = F.coalesce(F.col("code_insee_reg"), F.lit(""))
-    dep_part = (bridge.join(act, bridge.code_insee_dep == act.departement_code, "inner")
-                      .select("cfg", "code_insee_dep", reg_key.alias("reg_key"), "culture", "date"))
-    reg_act = region_active_days(act, bridge, dedupe=False)  # one distinct at the end
-    reg_part = (bridge.where(F.col("code_insee_reg").isNotNull()).alias("b")
-                .join(reg_act.alias("r"), F.col("b.code_insee_reg") == F.col("r.code_insee_reg"), "inner")
-                .select("cfg", "code_insee_dep", F.col("b.code_insee_reg").alias("reg_key"),
-                        "culture", "date"))
-    if fallback == "absent_only":
-        # the commented intent: the region stands in only for a departement
-        # that has no period at all for that culture
-        present = cal.select(F.col("departement_code").alias("code_insee_dep"), "culture").distinct()
-        reg_part = reg_part.join(present, ["code_insee_dep", "culture"], "left_anti")
-    return dep_part.unionByName(reg_part).distinct()
+def calendar_lookup(cal: DataFrame, bridge: DataFrame, annee: int, fallback: str = "quirk") -> DataFrame:
+    """One row per (departement, region, culture) of the bridge pairs:
+    ``nb_<cfg>`` = departement denominator, else regional mean (R3), and
+    ``<cfg>_days`` = mask of the year's days on which the departement or its
+    region is active (R2/R3). The departement flag is only ever true or null,
+    so ``coalesce(dep, reg)`` of the reference equals this OR (quirk Q1 kept);
+    with ``fallback="absent_only"`` the region stands in only for a
+    departement without any period of that culture. ``reg_key`` replaces a
+    null region by '' so the key can be joined with plain equality.
+
+    Active days are gathered as sets (at most 366 per configuration and
+    group, pre-aggregated), so the size follows departements × crops, not
+    periods, communes or days."""
+    names = [(cfg, nb) for cfg, *_, nb in CONFIGS]
+    days = active_days(cal).groupBy("departement_code", "culture").agg(
+        *[F.collect_set(F.when(F.col("cfg") == cfg, F.col("date"))).alias(f"d_{cfg}") for cfg, _ in names])
+    dep = denominators(cal).join(days, ["departement_code", "culture"], "left")
+    of_dep = bridge.join(dep, bridge.code_insee_dep == dep.departement_code, "inner")
+    of_reg = of_dep.where(F.col("code_insee_reg").isNotNull()).groupBy("code_insee_reg", "culture").agg(
+        *[F.avg(nb).alias(f"r_{cfg}") for cfg, nb in names],
+        *[F.array_distinct(F.flatten(F.collect_list(f"d_{cfg}"))).alias(f"rd_{cfg}") for cfg, _ in names])
+    null_days = F.lit(None).cast("array<date>")
+    own = of_dep.select("code_insee_dep", "code_insee_reg", "culture", F.lit(True).alias("own"),
+                        *[F.col(nb).cast("double").alias(f"n_{cfg}") for cfg, nb in names],
+                        *[F.col(f"d_{cfg}") for cfg, _ in names],
+                        *[F.lit(None).cast("double").alias(f"r_{cfg}") for cfg, _ in names],
+                        *[null_days.alias(f"rd_{cfg}") for cfg, _ in names])
+    of_region = bridge.join(of_reg, "code_insee_reg").select(
+        "code_insee_dep", "code_insee_reg", "culture", F.lit(False).alias("own"),
+        *[F.lit(None).cast("double").alias(f"n_{cfg}") for cfg, _ in names],
+        *[null_days.alias(f"d_{cfg}") for cfg, _ in names],
+        *[F.col(f"r_{cfg}") for cfg, _ in names], *[F.col(f"rd_{cfg}") for cfg, _ in names])
+    both = own.unionByName(of_region).groupBy(
+        "code_insee_dep", F.coalesce(F.col("code_insee_reg"), F.lit("")).alias("reg_key"), "culture").agg(
+        F.max("own").alias("own"),
+        *[F.max(c).alias(c) for cfg, _ in names for c in (f"n_{cfg}", f"r_{cfg}")],
+        *[F.first(c, ignorenulls=True).alias(c) for cfg, _ in names for c in (f"d_{cfg}", f"rd_{cfg}")])
+    start = dt.date(annee, 1, 1)
+    year = F.sequence(F.lit(start), F.lit(dt.date(annee, 12, 31)))
+
+    def mask(cfg: str):
+        region = F.col(f"rd_{cfg}")
+        if fallback == "absent_only":
+            region = F.when(~F.col("own"), region)
+        none = F.array().cast("array<date>")
+        active = F.array_union(F.coalesce(F.col(f"d_{cfg}"), none), F.coalesce(region, none))
+        return F.when(F.size(active) > 0, F.transform(year, lambda d: F.array_contains(active, d)))
+
+    return both.select("code_insee_dep", "reg_key", "culture",
+                       *[F.coalesce(f"n_{cfg}", f"r_{cfg}").alias(f"nb_{cfg}") for cfg, _ in names],
+                       *[mask(cfg).alias(f"{cfg}_days") for cfg, _ in names])
 
 
 def build_calendar(sheet: DataFrame, annee: int, idf: DataFrame | None = None) -> DataFrame:
@@ -155,13 +187,3 @@ def build_calendar(sheet: DataFrame, annee: int, idf: DataFrame | None = None) -
         start.alias("debut_de_periode"), end.alias("fin_de_periode"),
         *treatment_flags("type"))
     return main.unionByName(extra, allowMissingColumns=True)
-
-
-def calendar_of_commune(cal_counts: DataFrame, ift: DataFrame, insee_com: str) -> DataFrame:
-    """Rebased calendar of the commune's departement, restricted to the
-    commune's three calendar crops, with the R1 counts."""
-    com = ift.where(F.col("insee_com") == F.lit(insee_com))
-    crops = com.select(F.col("code_insee_dep"),
-                       F.explode(F.array("c_maj_cal", "c_ift_hbc_cal", "c_ift_h_cal")).alias("culture"))
-    return cal_counts.join(crops, (cal_counts.departement_code == crops.code_insee_dep)
-                           & (cal_counts.culture == crops.culture), "left_semi")

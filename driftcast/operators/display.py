@@ -22,17 +22,20 @@ def communes_admin(fx_communes: DataFrame) -> DataFrame:
                               lon.alias("longitude"), lat.alias("latitude"))
 
 
-def has_calendar_data(ift_cols: DataFrame, calendar: DataFrame, dep_col: str = "code_insee_dep") -> DataFrame:
-    """Keys of rows where any of the three (departement, mapped crop)
-    pairs is in the calendar (departement as text, no padding). An exists
-    test: explode the three crops, left-semi join the distinct calendar
-    pairs (bounded by the calendar), then flag."""
-    pairs = F.broadcast(calendar.select(F.col("departement_code").cast("string").alias("_dep"),
-                                        F.col("culture").alias("_cul")).distinct())
-    crops = ift_cols.select("code_insee", F.col(dep_col).alias("_d"),
-                            F.explode(F.array("c_maj_cal", "c_ift_hbc_cal", "c_ift_h_cal")).alias("_c"))
-    hit = crops.join(pairs, (F.col("_d") == F.col("_dep")) & (F.col("_c") == F.col("_cul")), "left_semi")
-    return hit.select("code_insee").distinct().withColumn("has_calendar_data", F.lit(True))
+def calendar_crops(calendar: DataFrame) -> DataFrame:
+    """One row per departement (as text, no padding) with its calendar crops
+    (a set, bounded by the crop names)."""
+    return calendar.groupBy(F.col("departement_code").cast("string").alias("_dep")).agg(
+        F.collect_set("culture").alias("_crops"))
+
+
+def has_calendar_data(df: DataFrame, calendar: DataFrame, dep_col: str = "code_insee_dep") -> DataFrame:
+    """Whether any of the three (departement, mapped crop) pairs is in the
+    calendar, as a column of ``df`` (one join on the departement)."""
+    mine = F.filter(F.array("c_maj_cal", "c_ift_hbc_cal", "c_ift_h_cal"), lambda c: c.isNotNull())
+    j = df.join(calendar_crops(calendar), F.col(dep_col) == F.col("_dep"), "left")
+    return j.withColumn("has_calendar_data", F.coalesce(F.arrays_overlap(mine, "_crops"), F.lit(False))) \
+            .drop("_dep", "_crops")
 
 
 def communes_ref(communes: DataFrame, ift: DataFrame, calendar: DataFrame) -> DataFrame:
@@ -44,10 +47,7 @@ def communes_ref(communes: DataFrame, ift: DataFrame, calendar: DataFrame) -> Da
         "c_ift_hbc", map_crop("c_ift_hbc").alias("c_ift_hbc_cal"),
         "c_ift_h", map_crop("c_ift_h").alias("c_ift_h_cal"),
         "ift_t", "ift_h", "ift_hh_hbc")
-    df = communes.join(i, communes.code_insee == i.insee_com, "left")
-    flag = has_calendar_data(df, calendar)
-    return (df.join(flag, "code_insee", "left")
-              .withColumn("has_calendar_data", F.coalesce("has_calendar_data", F.lit(False))))
+    return has_calendar_data(communes.join(i, communes.code_insee == i.insee_com, "left"), calendar)
 
 
 def state_table(spark) -> DataFrame:
@@ -158,15 +158,16 @@ def weather_flag_days(risk: DataFrame) -> DataFrame:
 
 
 def annual_reconstruction(risk: DataFrame, ift: DataFrame) -> DataFrame:
-    """Max daily IFT, days > 0, days null and the sum of the daily IFT
-    of each commune beside its yearly IFT. The sum adds quotients, so it is
-    taken in ascending order over the commune's days (bounded: one year)."""
+    """Max daily IFT, days > 0, days without a value (null or NaN) and
+    the sum of the daily IFT of each commune beside its yearly IFT. The sum
+    adds quotients, so it is taken in ascending order over the commune's days
+    (bounded: one year)."""
     from driftcast.functions.aggs import ordered_sum
-    x = F.col("ift_journalier_total")
-    g = risk.groupBy("insee_com").agg(
+    from driftcast.functions.columns import nan_as_null
+    x = F.col("_x")
+    g = risk.select("insee_com", nan_as_null("ift_journalier_total").alias("_x")).groupBy("insee_com").agg(
         F.max(x).alias("ift_j_max"), F.count_if(x > 0).alias("jours_positifs"),
-        F.count_if(x.isNull()).alias("jours_nuls"),
-        ordered_sum("ift_journalier_total").alias("somme_ift_j"))
+        F.count_if(x.isNull()).alias("jours_nuls"), ordered_sum("_x").alias("somme_ift_j"))
     return g.join(ift.select("insee_com", F.col("ift_t_hbc").alias("ift_annuel")), "insee_com", "left")
 
 

@@ -3,23 +3,28 @@
 The reference walks the year one day at a time (365 × 3 configurations ×
 4 joins). Here the year is one logical plan:
 
-1. commune side (small, day-independent): IFT rows, mapped crops, R1/R3
-   denominators, the fixed part of R4 and the R5 de-duplication flags;
-   hash-partitioned once on ``insee_com``;
-2. spine: every commune exploded to its days (narrow, keeps the commune
-   partitioning, so the big side is never shuffled);
-3. activity: calendar periods exploded to days, OR-ed with the region
-   fallback, joined per configuration through a size-checked broadcast;
+1. calendar lookup: one row per (departement, region, crop) with the R1/R3
+   denominators and, per configuration, the year's active days as a mask of
+   booleans (departement or region fallback already folded in);
+2. commune side (small, day-independent): IFT rows, mapped crops, the lookup
+   joined once per configuration, the fixed part of R4 and the R5
+   de-duplication flags; hash-partitioned once on ``insee_com``;
+3. spine: every commune exploded to its days (narrow, keeps the commune
+   partitioning, so the big side is never shuffled); activity is one array
+   access per day, no join;
 4. weather: indicator computed on the weather rows, joined on
    (commune, day) co-partitioned with the spine; days without any weather
    row are neutral (E4) through a broadcast of at most 366 covered days;
 5. R4/R5, gross risk and the 0–4 level in one projection.
+
+Building the plan runs no Spark job; every join side is left to AQE except
+the covered days, which the calendar bounds.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -27,9 +32,7 @@ from pyspark.sql import functions as F
 from driftcast.config import DEFAULT_THRESHOLDS, REGION_CODES, Thresholds
 from driftcast.functions.columns import (days_in_year, level_0_4, map_crop, safe_divide,
                                          weather_indicator_cols, year_spine)
-from driftcast.operators.calendar import (CONFIGS, active_days, activity_by_bridge,
-                                          denominators, dep_region_bridge, rebase_calendar,
-                                          regional_denominators)
+from driftcast.operators.calendar import CONFIGS, calendar_lookup, denominators, dep_region_bridge, rebase_calendar
 from driftcast.operators.sizing import bounded_broadcast
 
 RISK_COLUMNS = (
@@ -38,10 +41,6 @@ RISK_COLUMNS = (
     "precipitation_sum", "risque_brut", "risque_0_4",
 )
 
-_FLAG_COLS = ("indicateur_meteo", "interdiction_pulv", "traitement_deconseille",
-              "pluie_limitante", "risque_dispersion", "wind_speed_10m_mean", "precipitation_sum")
-
-
 @dataclass
 class RiskInputs:
     ift: DataFrame            # one row per commune: crops, mapped crops, yearly IFTs
@@ -53,14 +52,7 @@ class RiskInputs:
     # ("absent_only"); Q3 zero denominator -> IEEE inf/NaN ("ieee") or null
     fallback: str = "quirk"
     zero_division: str = "ieee"
-    # derived tables shared by every plan built on these inputs (e.g. the
-    # history day and the forecast of one map): computed once
-    memo: dict = field(default_factory=dict, repr=False, compare=False)
-
-    def once(self, key: str, make):
-        if key not in self.memo:
-            self.memo[key] = make()
-        return self.memo[key]
+    regional: bool = False  # ``ift`` holds one region: weather is cut to its communes
 
 
 def check_region(region: str | None) -> str | None:
@@ -94,102 +86,47 @@ def load_inputs(ift_enrichi: DataFrame, calendar: DataFrame, weather: DataFrame
     if weather is not None:
         weather = weather.select("code_insee", "time", "wind_speed_10m_mean", "precipitation_sum")
     return RiskInputs(ift=ift, cal=cal, weather=weather, annee=annee, fallback=fallback,
-                      zero_division=zero_division)
-
-
-def calendar_is_small(inp: RiskInputs, max_rows: int | None = None) -> bool:
-    """One count of the calendar bounds every table derived from it:
-    denominators <= rows, activity <= rows x 366 days x 3 configurations x
-    2 regions per departement (a departement may also carry a null region).
-    Those tables are broadcast only under that proven bound."""
-    from driftcast.config import BROADCAST_MAX_ROWS
-    limit = max_rows or BROADCAST_MAX_ROWS
-    cap = limit // (366 * 3 * 2)
-    return inp.once(f"small{cap}", lambda: inp.cal.limit(cap + 1).count() <= cap)
-
-
-def _maybe_broadcast(df: DataFrame, small: bool) -> DataFrame:
-    """Small calendar-derived tables are read by several joins of one plan;
-    they are checkpointed first (shared folder, lineage cut) so their
-    shuffle subtrees run once instead of once per join, then broadcast."""
-    if small:
-        return F.broadcast(df.checkpoint(eager=True))
-    return df
+                      zero_division=zero_division, regional=code is not None)
 
 
-def commune_base(inp: RiskInputs, small: bool | None = None) -> DataFrame:
+def commune_base(inp: RiskInputs) -> DataFrame:
     """Day-independent part of R3–R5 per commune.
 
     For each configuration: the denominator (departement, else regional
     mean), ``<cfg>_fixed`` = the R4 branches that do not depend on the day
-    (no denominator or no IFT) with their value ``<cfg>_fixval``, and the
-    ratio used on active days. The denominator tables are bounded by the
-    calendar, so they are broadcast behind a count.
+    (no denominator or no IFT) with their value ``<cfg>_fixval``, the ratio
+    used on active days, and ``<cfg>_days``, the mask of active days of the
+    year (null: never active).
     """
-    if small is None:
-        small = calendar_is_small(inp)
-    den = denominators(inp.cal)
-    bridge = dep_region_bridge(inp.ift)
-    den_reg = regional_denominators(den, bridge)
-    den_b = inp.once(f"den{small}", lambda: _maybe_broadcast(den, small))
-    den_reg_b = inp.once(f"den_reg{small}", lambda: _maybe_broadcast(den_reg, small))
-    df = inp.ift
-    for cfg, cul, ift_col, nb_col in CONFIGS:
-        # the same broadcast table (aliased) for the three configurations:
-        # one exchange, reused, instead of one per join
-        d, r = den_b.alias(f"d_{cfg}"), den_reg_b.alias(f"r_{cfg}")
-        cols = df.columns
-        df = (df.alias("b").join(d, (F.col("b.code_insee_dep") == F.col(f"d_{cfg}.departement_code"))
-                                 & (F.col(f"b.{cul}") == F.col(f"d_{cfg}.culture")), "left")
-                .join(r, (F.col("b.code_insee_reg") == F.col(f"r_{cfg}.code_insee_reg"))
-                      & (F.col(f"b.{cul}") == F.col(f"r_{cfg}.culture")), "left")
-                .select(*[F.col(f"b.{c}") for c in cols],
-                        F.col(f"d_{cfg}.{nb_col}").alias(f"_nbd_{cfg}"),
-                        F.col(f"r_{cfg}.{nb_col}_reg").alias(f"_nbr_{cfg}")))
-        nb = F.coalesce(F.col(f"_nbd_{cfg}").cast("double"), F.col(f"_nbr_{cfg}"))
-        ift = F.col(ift_col)
+    lookup = calendar_lookup(inp.cal, dep_region_bridge(inp.ift), inp.annee, inp.fallback)
+    df = inp.ift.withColumn("reg_key", F.coalesce(F.col("code_insee_reg"), F.lit("")))
+    for cfg, cul, ift_col, _ in CONFIGS:
+        side = lookup.select(F.col("code_insee_dep").alias("_dep"), F.col("reg_key").alias("_reg"),
+                             F.col("culture").alias("_cul"), F.col(f"nb_{cfg}"), F.col(f"{cfg}_days"))
+        df = df.join(side, (F.col("code_insee_dep") == F.col("_dep")) & (F.col("reg_key") == F.col("_reg"))
+                     & (F.col(cul) == F.col("_cul")), "left").drop("_dep", "_reg", "_cul")
+        nb, ift = F.col(f"nb_{cfg}"), F.col(ift_col)
         df = df.select(
-            *[c for c in df.columns if not c.startswith("_")],
-            nb.alias(f"nb_{cfg}"),
-            (nb.isNull() | ift.isNull()).alias(f"{cfg}_fixed"),
+            "*", (nb.isNull() | ift.isNull()).alias(f"{cfg}_fixed"),
             F.when(ift.isNull() | (ift == 0), F.lit(0.0)).alias(f"{cfg}_fixval"),
             (safe_divide(ift, nb) if inp.zero_division == "ieee"
              else F.try_divide(ift, nb)).alias(f"{cfg}_ratio"))
     return df.select(
         "*",
         F.coalesce(F.col("c_ift_hbc_cal") != F.col("c_maj_cal"), F.lit(True)).alias("hbc_different"),
-        F.coalesce(F.col("c_ift_h_cal") != F.col("c_maj_cal"), F.lit(True)).alias("h_different"),
-        F.coalesce(F.col("code_insee_reg"), F.lit("")).alias("reg_key"))
-
-
-def activity_table(inp: RiskInputs, small: bool | None = None) -> DataFrame:
-    """Active (cfg, departement, region, culture, day) rows, broadcast under
-    the calendar bound (see ``calendar_is_small``)."""
-    if small is None:
-        small = calendar_is_small(inp)
-    return inp.once(f"act{small}", lambda: _maybe_broadcast(
-        activity_by_bridge(active_days(inp.cal), dep_region_bridge(inp.ift), inp.fallback, inp.cal), small))
-
-
-def daily_contributions(spine: DataFrame, act: DataFrame) -> DataFrame:
-    """Per commune-day, the three contributions (R4) and their total."""
-    df = spine
-    for cfg, cul, _, _ in CONFIGS:
-        a = act.where(F.col("cfg") == F.lit(cfg)).select(
-            F.col("code_insee_dep").alias("_a_dep"), F.col("reg_key").alias("_a_reg"),
-            F.col("culture").alias("_a_cul"), F.col("date").alias("_a_date"),
-            F.lit(True).alias(f"active_{cfg}"))
-        df = df.join(a, (F.col("code_insee_dep") == F.col("_a_dep"))
-                     & (F.col("reg_key") == F.col("_a_reg"))
-                     & (F.col(cul) == F.col("_a_cul"))
-                     & (F.col("date") == F.col("_a_date")), "left") \
-               .drop("_a_dep", "_a_reg", "_a_cul", "_a_date")
-    contrib = {}
-    for cfg, *_ in CONFIGS:
-        contrib[cfg] = (F.when(F.col(f"{cfg}_fixed"), F.col(f"{cfg}_fixval"))
-                         .when(F.col(f"active_{cfg}").isNotNull(), F.col(f"{cfg}_ratio"))
-                         .otherwise(F.lit(0.0)))
-    df = df.select("*", *[contrib[c].alias(f"ift_j_{c}") for c in contrib])
+        F.coalesce(F.col("c_ift_h_cal") != F.col("c_maj_cal"), F.lit(True)).alias("h_different"))
+
+
+def daily_contributions(spine: DataFrame, annee: int) -> DataFrame:
+    """Per commune-day, the three contributions (R4) and their total
+    (R5); a day is looked up in the year's masks (outside it: not active)."""
+    place = F.datediff("date", F.lit(dt.date(annee, 1, 1)))
+    active = {cfg: F.coalesce(F.get(f"{cfg}_days", place), F.lit(False)) for cfg, *_ in CONFIGS}
+    contrib = {cfg: (F.when(F.col(f"{cfg}_fixed"), F.col(f"{cfg}_fixval"))
+                     .when(active[cfg], F.col(f"{cfg}_ratio")).otherwise(F.lit(0.0)))
+               for cfg, *_ in CONFIGS}
+    kept = [c for c in spine.columns if not c.endswith("_days")]
+    df = spine.select(*kept, *[contrib[c].alias(f"ift_j_{c}") for c in contrib])
     hd, h2 = F.col("hbc_different"), F.col("h_different")
     has_any = (F.col("ift_j_maj").isNotNull()
                | (hd & F.col("ift_j_hbc").isNotNull())
@@ -200,28 +137,18 @@ def daily_contributions(spine: DataFrame, act: DataFrame) -> DataFrame:
     return df.select("*", F.when(has_any, total).alias("ift_journalier_total"))
 
 
-ROWS_PER_PARTITION = 4_000_000  # commune-days per spine partition (~0.5 GB of rows)
-
-
-def spine_partitions(inp: RiskInputs, ndays: int) -> int:
-    """Partition count of the spine: at least ``spark.sql.shuffle.partitions``
-    (fewer would make the planner re-shuffle the spine to co-partition it
-    with the weather side) and enough that each partition holds at most
-    ``ROWS_PER_PARTITION`` commune-days (one count of the filtered IFT scan),
-    so tasks stay the same size when communes or days grow."""
-    spark = inp.ift.sparkSession
-    base = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    target = int(spark.conf.get("driftcast.rowsPerPartition", str(ROWS_PER_PARTITION)))
-    n_com = inp.once("n_communes", inp.ift.count)
-    return max(base, -(-n_com * ndays // target))
-
-
 def spine(base: DataFrame, days: Column, partitions: int | None = None) -> DataFrame:
     """Commune × day rows: the commune table is hash-partitioned on
-    ``insee_com`` once (explicit count, so AQE keeps it) and each row
-    exploded to its days (narrow)."""
+    ``insee_com`` once and each row exploded to its days (narrow).
+
+    The count is explicit, so AQE does not size partitions by the small
+    commune rows: ``driftcast.spinePartitions``, by default
+    ``spark.sql.shuffle.partitions`` (fewer would make the planner shuffle
+    the spine again to meet the weather side). A partition holds communes ×
+    days / count rows; choose the count for a few million of them."""
     spark = base.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = partitions or int(spark.conf.get("driftcast.spinePartitions",
+                                         spark.conf.get("spark.sql.shuffle.partitions")))
     return base.repartition(n, "insee_com").select("*", F.explode(days).alias("date"))
 
 
@@ -238,9 +165,12 @@ def _weather_rows(weather: DataFrame, d0, d1, th: Thresholds) -> DataFrame:
 
 
 def attach_weather(df: DataFrame, weather: DataFrame | None, d0, d1, th: Thresholds,
-                   neutral_days: bool = True) -> DataFrame:
+                   neutral_days: bool = True, communes: DataFrame | None = None) -> DataFrame:
     """E3–E5 on the commune-day table.
 
+    ``communes`` (of a region run) cuts the weather rows before their
+    shuffle; the covered days always come from the whole table.
+
     A day with no weather row for any commune (or no weather at all) is
     neutral for every commune (E4): indicator 1, flags false, dispersion
     true, values null. On a covered day a commune without a row gets nulls.
@@ -257,8 +187,9 @@ def attach_weather(df: DataFrame, weather: DataFrame | None, d0, d1, th: Thresho
     if weather is None:
         out = df.select("*", *[v.alias(k) for k, v in neutral.items()])
     else:
-        w = _weather_rows(weather, d0, d1, th)
-        joined = df.join(w.hint("shuffle_hash"), (F.col("insee_com") == F.col("_w_com"))
+        w = _weather_rows(weather if communes is None else weather.join(
+            communes.select(F.col("insee_com").alias("code_insee")).distinct(), "code_insee", "left_semi"), d0, d1, th)
+        joined = df.join(w, (F.col("insee_com") == F.col("_w_com"))
                          & (F.col("date") == F.col("_w_date")), "left")
         if neutral_days:
             covered = bounded_broadcast(   # <= one row per day of [d0, d1]
@@ -273,33 +204,29 @@ def attach_weather(df: DataFrame, weather: DataFrame | None, d0, d1, th: Thresho
                 *[F.when(cov, F.col(k)).otherwise(v).alias(k) for k, v in neutral.items()])
         else:
             out = joined.select(*[c for c in df.columns], *neutral.keys())
-    return out.select("*", (F.col("ift_journalier_total") * F.col("indicateur_meteo"))
-                      .alias("risque_brut"))
+    product = F.col("ift_journalier_total") * F.col("indicateur_meteo")
+    # inf x 0 gives a NaN with the sign bit set; one NaN for all
+    return out.select("*", F.when(F.isnan(product), F.lit(float("nan"))).otherwise(product).alias("risque_brut"))
 
 
 def _finish(df: DataFrame, cuts) -> DataFrame:
     return df.select(*RISK_COLUMNS[:-1], level_0_4("risque_brut", cuts).alias("risque_0_4"))
 
 
-def risk_days(inp: RiskInputs, days: Column, d0: dt.date | None = None,
-              d1: dt.date | None = None, th: Thresholds = DEFAULT_THRESHOLDS,
+def risk_days(inp: RiskInputs, days: Column, d0: dt.date | Column | None = None,
+              d1: dt.date | Column | None = None, th: Thresholds = DEFAULT_THRESHOLDS,
               weather: DataFrame | None = None, neutral_days: bool = True,
               partitions: int | None = None) -> DataFrame:
     """Risk rows for every commune and each day of ``days`` (array Column).
 
-    Without explicit bounds, the weather side is cut to the day list's range
-    (``array_min``/``array_max``), so a one-day map or a week of forecasts
-    only shuffles the weather of those days."""
+    ``d0``/``d1`` bound the days (dates or scalar subqueries) and reach the
+    weather scan; without them the range of the day list is used, which
+    Spark applies after the scan."""
     if d0 is None:
         d0, d1 = F.array_min(days), F.array_max(days)
-    small = calendar_is_small(inp)
-    base = commune_base(inp, small)
-    act = activity_table(inp, small)
-    if partitions is None:
-        partitions = spine_partitions(inp, 366)  # a day list never exceeds one year here
-    df = daily_contributions(spine(base, days, partitions), act)
+    df = daily_contributions(spine(commune_base(inp), days, partitions), inp.annee)
     df = attach_weather(df, weather if weather is not None else inp.weather, d0, d1, th,
-                        neutral_days=neutral_days)
+                        neutral_days=neutral_days, communes=inp.ift if inp.regional else None)
     return _finish(df, th.level_cuts)
 
 
@@ -327,7 +254,8 @@ def risk_forecast(inp: RiskInputs, forecast: DataFrame | None,
         return None
     fc = forecast.select("code_insee", "time", "wind_speed_10m_mean", "precipitation_sum")
     days = fc.select(F.array_sort(F.collect_set("time"))).scalar()
-    return risk_days(inp, days, None, None, th, weather=fc, neutral_days=False)
+    d0, d1 = fc.select(F.min("time")).scalar(), fc.select(F.max("time")).scalar()
+    return risk_days(inp, days, d0, d1, th, weather=fc, neutral_days=False)
 
 
 def quartile_cuts(risk: DataFrame, col: str = "risque_brut") -> Column:
@@ -346,13 +274,15 @@ def quartiles(risk: DataFrame, col: str = "risque_brut") -> DataFrame:
     """One row: ``q`` = exact [q25, q50, q75] of the positive values, from
     (value, frequency) pairs (see ``quartile_cuts``)."""
     from driftcast.functions.aggs import exact_percentiles
-    return exact_percentiles(risk.where(F.col(col) > 0), col, (0.25, 0.5, 0.75)).withColumnRenamed("p", "q")
+    positive = risk.where((F.col(col) > 0) & ~F.isnan(col))  # NaN is missing, not positive
+    return exact_percentiles(positive, col, (0.25, 0.5, 0.75)).withColumnRenamed("p", "q")
 
 
 def levels_by_quartiles(risk: DataFrame, col: str = "risque_brut",
                         materialize: bool = True) -> DataFrame:
-    """Level 0–4 against the quartiles of the positive values; when no
-    value is positive every non-null level is 0 (the notebook's rule).
+    """Level 0–4 against the quartiles of the positive values; null and
+    NaN have no level. When no value is positive every level is 0 (the
+    notebook's rule).
 
     The table is read twice (cuts, then levels), so it is first checkpointed
     to the shared checkpoint folder: the year plan runs once and the lineage
@@ -361,8 +291,7 @@ def levels_by_quartiles(risk: DataFrame, col: str = "risque_brut",
     if materialize:
         risk = risk.checkpoint(eager=True)
     q = quartile_cuts(risk, col)
-    lvl = F.when(q.isNull(), F.when(F.col(col).isNotNull(), F.lit(0)).cast("int")) \
-           .otherwise(level_0_4(col, q))
+    lvl = F.when(q.isNull(), F.lit(0)).when(~F.isnan(col), level_0_4(col, q))
     return risk.withColumn("risque_0_4", lvl)
 
 
@@ -394,10 +323,9 @@ def ift_split(inp: RiskInputs) -> DataFrame:
                               (F.lit(True) if cfg == "maj" else hd if cfg == "hbc" else h2).alias("inclus"))
                      for cfg, cul, ic, nb in CONFIGS])
     long = inp.ift.select("insee_com", "code_insee_dep", F.inline(rows))
-    d = F.broadcast(den.select(F.col("departement_code").alias("_dep"), F.col("culture").alias("_cul"),
-                               F.map_from_arrays(
-                                   F.array(*[F.lit(nb) for *_, nb in CONFIGS]),
-                                   F.array(*[F.col(nb) for *_, nb in CONFIGS])).alias("_nbs")))
+    d = den.select(F.col("departement_code").alias("_dep"), F.col("culture").alias("_cul"),
+                   F.map_from_arrays(F.array(*[F.lit(nb) for *_, nb in CONFIGS]),
+                                     F.array(*[F.col(nb) for *_, nb in CONFIGS])).alias("_nbs"))
     j = long.join(d, (F.col("code_insee_dep") == F.col("_dep")) & (F.col("culture") == F.col("_cul")), "left")
     nb = F.when(F.col("culture").isNull(), F.lit(None).cast("bigint")) \
           .otherwise(F.coalesce(F.col("_nbs")[F.col("nb_col")], F.lit(0)).cast("bigint"))
@@ -418,13 +346,11 @@ def period_detail(inp: RiskInputs, th: Thresholds = DEFAULT_THRESHOLDS) -> DataF
     cal = inp.cal.select(F.col("departement_code").alias("_dep"), F.col("culture").alias("_cul"),
                          "debut_de_periode", "fin_de_periode", "herbicides", "fongicides", "insecticides",
                          F.date_add("debut_de_periode", 1).alias("jour_test"))
-    per = crops.join(F.broadcast(cal), (F.col("code_insee_dep") == F.col("_dep"))
+    per = crops.join(cal, (F.col("code_insee_dep") == F.col("_dep"))
                      & (F.col("culture") == F.col("_cul")), "inner").drop("_dep", "_cul")
     days = cal.where(F.col("jour_test").isNotNull()).select(
         F.array_sort(F.collect_set("jour_test"))).scalar()
-    small = calendar_is_small(inp)
-    base = commune_base(inp, small)
-    daily = daily_contributions(spine(base, days), activity_table(inp, small)).select(
+    daily = daily_contributions(spine(commune_base(inp), days), inp.annee).select(
         F.col("insee_com").alias("_c"), F.col("date").alias("_d"), "ift_journalier_total")
     return per.join(daily, (F.col("insee_com") == F.col("_c")) & (F.col("jour_test") == F.col("_d")),
                     "left").drop("_c", "_d")

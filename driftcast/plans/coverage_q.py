@@ -10,8 +10,7 @@ from driftcast.functions.aggs import n_unique
 from driftcast.functions.columns import level_0_4, region_name
 from driftcast.operators import crops as CR
 from driftcast.operators.calendar import dep_region_bridge, distinct_active_days
-from driftcast.operators.risk import commune_base, daily_contributions, risk_year, spine, activity_table, \
-    calendar_is_small
+from driftcast.operators.risk import commune_base, daily_contributions, risk_year, spine
 from driftcast.functions.columns import year_spine
 from driftcast.plans.measures_q import SQL_CLEAN, clean
 from driftcast.plans.risk_extra_q import CAL_CTE, IFT_CTE, RISK_CTE
@@ -21,8 +20,7 @@ from driftcast.plans.sqlparts import REGION_CTE, risk_sql
 
 def _contrib(s, sf):
     inp = inputs(s, sf)
-    small = calendar_is_small(inp)
-    return daily_contributions(spine(commune_base(inp, small), year_spine(ANNEE)), activity_table(inp, small))
+    return daily_contributions(spine(commune_base(inp), year_spine(ANNEE)), ANNEE)
 
 
 def _admin(s, sf):

@@ -44,9 +44,11 @@ def _risk(s, sf):
     return R.risk_year(inputs(s, sf))
 
 
-def _late_days(s, sf):
-    return (fixture(s, sf, "fx_meteo").where(F.dayofmonth("time") > 20)
-            .select(F.array_sort(F.collect_set("time"))).scalar())
+def _recomputed(s, sf):
+    """The weather days after the 20th, computed anew."""
+    late = fixture(s, sf, "fx_meteo").where(F.dayofmonth("time") > 20)
+    return R.risk_days(inputs(s, sf), late.select(F.array_sort(F.collect_set("time"))).scalar(),
+                       late.select(F.min("time")).scalar(), late.select(F.max("time")).scalar())
 
 
 QUERIES = {
@@ -71,9 +73,9 @@ SELECT d.date, cov.time IS NULL AS neutre FROM days d LEFT JOIN cov ON cov.time
         lambda s, sf: R.levels_by_quartiles(_risk(s, sf)),
         f"""WITH {RISK_CTE},
 q AS (SELECT quantile_cont(risque_brut, 0.25) AS q1, quantile_cont(risque_brut, 0.5) AS q2,
-  quantile_cont(risque_brut, 0.75) AS q3 FROM risk WHERE risque_brut > 0)
-SELECT risk.* REPLACE (CASE WHEN q.q1 IS NULL THEN (CASE WHEN risque_brut IS NOT NULL THEN 0 END)
-  ELSE (CASE WHEN risque_brut IS NULL THEN NULL WHEN risque_brut = 0 THEN 0 WHEN risque_brut <= q.q1 THEN 1
+  quantile_cont(risque_brut, 0.75) AS q3 FROM risk WHERE risque_brut > 0 AND NOT isnan(risque_brut))
+SELECT risk.* REPLACE (CASE WHEN q.q1 IS NULL THEN 0
+  ELSE (CASE WHEN risque_brut IS NULL OR isnan(risque_brut) THEN NULL WHEN risque_brut = 0 THEN 0 WHEN risque_brut <= q.q1 THEN 1
   WHEN risque_brut <= q.q2 THEN 2 WHEN risque_brut <= q.q3 THEN 3 ELSE 4 END) END AS risque_0_4)
 FROM risk, q"""),
     "d27_quartile_thresholds": (
@@ -81,7 +83,8 @@ FROM risk, q"""),
             *[F.round(F.col("q")[i], 9).alias(n) for i, n in enumerate(("q1", "q2", "q3"))]),
         f"""WITH {RISK_CTE}
 SELECT round(quantile_cont(risque_brut, 0.25), 9) AS q1, round(quantile_cont(risque_brut, 0.5), 9) AS q2,
- round(quantile_cont(risque_brut, 0.75), 9) AS q3 FROM risk WHERE risque_brut > 0"""),
+ round(quantile_cont(risque_brut, 0.75), 9) AS q3 FROM risk
+WHERE risque_brut > 0 AND NOT isnan(risque_brut)"""),
     "e18_commune_year": (
         lambda s, sf: _risk(s, sf).where(F.col("insee_com") == fixture(s, sf, "fx_ift").where(
             F.col("ift_t").isNotNull()).select(F.min("insee_com")).scalar()),
@@ -133,11 +136,11 @@ SELECT insee_com, count(*) FILTER (WHERE interdiction_pulv) AS jours_interdictio
     "d28_annual_reconstruction": (
         lambda s, sf: D.annual_reconstruction(_risk(s, sf), fixture(s, sf, "fx_ift")),
         f"""WITH {RISK_CTE},
-g AS (SELECT insee_com, max(ift_journalier_total) AS ift_j_max, count(*) FILTER (WHERE ift_journalier_total > 0) AS jours_positifs,
- count(*) FILTER (WHERE ift_journalier_total IS NULL) AS jours_nuls, {ordered_sum_sql('ift_journalier_total')} AS somme_ift_j
- FROM risk GROUP BY insee_com)
+v AS (SELECT insee_com, CASE WHEN NOT isnan(ift_journalier_total) THEN ift_journalier_total END AS x FROM risk),
+g AS (SELECT insee_com, max(x) AS ift_j_max, count(*) FILTER (WHERE x > 0) AS jours_positifs,
+ count(*) FILTER (WHERE x IS NULL) AS jours_nuls, {ordered_sum_sql('x')} AS somme_ift_j FROM v GROUP BY insee_com)
 SELECT g.*, i.ift_t_hbc AS ift_annuel FROM g LEFT JOIN fx_ift i ON i.insee_com = g.insee_com"""),
     "j2_recompute_days": (
-        lambda s, sf: R.risk_days(inputs(s, sf), _late_days(s, sf)),
+        _recomputed,
         risk_sql(ANNEE, days_sql="SELECT DISTINCT time AS day FROM fx_meteo WHERE day(time) > 20")),
 }

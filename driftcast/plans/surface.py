@@ -7,6 +7,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from driftcast.functions.columns import nan_as_null
 from driftcast.operators.display import map_join
 
 SERIES_COLS = ("date", "risque_0_4", "ift_journalier_total", "risque_brut", "indicateur_meteo",
@@ -46,19 +47,24 @@ def commune_detail(ref: DataFrame, code: Column | str) -> DataFrame:
 def risk_map(ref: DataFrame, risk: DataFrame, day: Column, region: str | None = None,
              departement: str | None = None) -> DataFrame:
     """Communes (filtered) left join the risk of ``day``; a day
-    without rows gives every commune with nulls."""
+    without rows gives every commune with nulls, and so does a NaN. The
+    filters also cut the risk side, before it is shuffled."""
     c = ref
     if region:
         c = c.where(F.col("code_insee_reg") == F.lit(region))
     if departement:
         c = c.where(F.col("code_insee_dep") == F.lit(departement))
-    return map_join(c, risk.where(F.col("date") == day))
+    r = risk.where(F.col("date") == day)
+    if region or departement:
+        r = r.join(c.select(F.col("code_insee").alias("insee_com")).distinct(), "insee_com", "left_semi")
+    return map_join(c, r.withColumn("ift_journalier_total", nan_as_null("ift_journalier_total")))
 
 
-def forecast_map(ref: DataFrame, forecast: DataFrame, day: Column, **kw) -> DataFrame:
-    """As I4 on forecasts; a day without any forecast row is an error
-    (raised by the query itself, at run time)."""
-    n = forecast.where(F.col("date") == day).select(F.count(F.lit(1))).scalar()
+def forecast_map(ref: DataFrame, forecast: DataFrame, day: Column, days: DataFrame, **kw) -> DataFrame:
+    """As I4 on forecasts; a day outside the forecast's ``days`` (its
+    file's days, column ``date``) is an error raised by the query itself at
+    run time."""
+    n = days.where(F.col("date") == day).select(F.count(F.lit(1))).scalar()
     out = risk_map(ref, forecast, day, **kw)
     return out.where(F.when(n == 0, F.raise_error(F.lit("no forecast for this day"))).otherwise(F.lit(True)))
 
@@ -66,8 +72,10 @@ def forecast_map(ref: DataFrame, forecast: DataFrame, day: Column, **kw) -> Data
 def risk_series(ref: DataFrame, risk: DataFrame, annee: int | None = None,
                 date_from: Column | None = None, date_to: Column | None = None) -> DataFrame:
     """Per commune, its days (optional year and bounds) as an array
-    of day structs sorted by day, next to name and calendar flag. Each
-    group holds the days of one commune (bounded by the period)."""
+    of day structs sorted by day, next to name and calendar flag. A commune
+    without rows has an empty array; the year is the requested one, else the
+    year of its first day, else the current year. NaN is null. Each group
+    holds the days of one commune (bounded by the period)."""
     r = risk
     if annee is not None:
         r = r.where(F.year("date") == F.lit(annee))
@@ -75,11 +83,15 @@ def risk_series(ref: DataFrame, risk: DataFrame, annee: int | None = None,
         r = r.where(F.col("date") >= date_from)
     if date_to is not None:
         r = r.where(F.col("date") <= date_to)
+    r = r.withColumns({c: nan_as_null(c) for c in ("ift_journalier_total", "risque_brut")})
     s = r.groupBy("insee_com").agg(
-        F.array_sort(F.collect_list(F.struct(*SERIES_COLS))).alias("jours"),
-        F.year(F.min("date")).alias("annee"))
+        F.array_sort(F.collect_list(F.struct(*SERIES_COLS))).alias("_jours"),
+        F.year(F.min("date")).alias("_annee"))
     info = ref.select("code_insee", "nom_commune", "has_calendar_data")
-    return info.join(s, info.code_insee == s.insee_com, "inner").drop("insee_com")
+    j = info.join(s, info.code_insee == s.insee_com, "left")
+    empty = F.array().cast(s.schema["_jours"].dataType)
+    year = F.lit(annee) if annee is not None else F.coalesce("_annee", F.year(F.current_date()))
+    return j.select(*info.columns, F.coalesce("_jours", empty).alias("jours"), year.cast("int").alias("annee"))
 
 
 def calendar_query(cal: DataFrame, culture: str | None = None,
@@ -155,12 +167,14 @@ def commune_day(snapshot: DataFrame) -> DataFrame:
                            (~F.col("has_calendar_data")).alias("hors_calendrier"), "state", "label")
 
 
-def compare_communes(risk: DataFrame, communes: DataFrame, codes: Column, date_from: Column,
+def compare_communes(risk: DataFrame, communes: DataFrame, codes: DataFrame | None, date_from: Column,
                      date_to: Column) -> DataFrame:
-    """C20: risk rows of a list of communes between two days, with names.
-    ``codes`` is an array Column (e.g. a scalar subquery)."""
-    r = risk.where(F.array_contains(codes, F.col("insee_com")) & F.col("date").between(date_from, date_to))
+    """C20: risk rows of some communes (``codes``: a table with
+    ``code_insee``) between two days, with names."""
+    r = risk.where(F.col("date").between(date_from, date_to))
     c = communes.select("code_insee", "nom_commune")
+    if codes is not None:
+        r = r.join(codes.select(F.col("code_insee").alias("insee_com")).distinct(), "insee_com", "left_semi")
     return r.join(c, r.insee_com == c.code_insee, "left").drop("code_insee")
 
 

@@ -28,17 +28,34 @@ def hist(s, sf):
     return risk_year(inputs(s, sf))
 
 
-def hist_days(s, sf, days, inp=None):
-    """History rows of the given days only (array Column): the spine is
-    generated for those days instead of filtering the whole year (equal by
-    the recompute-days invariant)."""
-    return risk_days(inp or inputs(s, sf), days)
+def hist_day(s, sf, day, inp=None):
+    """History rows of one day: the spine is generated for it instead of
+    filtering the whole year (equal by the recompute-days invariant)."""
+    return risk_days(inp or inputs(s, sf), F.array(day), day, day)
+
+
+def hist_between(s, sf, d0, d1):
+    """History rows of the days from ``d0`` to ``d1``."""
+    return risk_days(inputs(s, sf), F.sequence(d0, d1), d0, d1)
 
 
 def fc(s, sf, inp=None):
     return risk_forecast(inp or inputs(s, sf), fixture(s, sf, "fx_meteo_prev"))
 
 
+def fc_days(s, sf):
+    """The days of the forecast file."""
+    return fixture(s, sf, "fx_meteo_prev").select(F.col("time").alias("date")).distinct()
+
+
+def fc_day(s, sf, day, inp=None):
+    """Forecast rows of one day (none if the file does not have it)."""
+    file = fixture(s, sf, "fx_meteo_prev")
+    days = file.where(F.col("time") == day).select(F.array_sort(F.collect_set("time"))).scalar()
+    return risk_days(inp or inputs(s, sf), days, day, day, neutral_days=False, weather=file.select(
+        "code_insee", "time", "wind_speed_10m_mean", "precipitation_sum"))
+
+
 def _r6(df):
     return df.withColumns({"longitude": F.round("longitude", 6), "latitude": F.round("latitude", 6)})
 
@@ -53,10 +70,10 @@ def last_hist_day(s, sf):
 
 def snapshot(s, sf, prefer="forecast"):
     day = first_fc_day(s, sf) if prefer == "forecast" else last_hist_day(s, sf)
-    fdays = fixture(s, sf, "fx_meteo_prev").select(F.col("time").alias("date")).distinct()
+    fdays = fc_days(s, sf)
     hdays = s.range(1).select(F.explode(year_spine(ANNEE)).alias("date"))
-    inp = inputs(s, sf)  # one set of inputs: calendar tables derived once for both plans
-    return D.map_snapshot(ref(s, sf), hist_days(s, sf, F.array(day), inp), fc(s, sf, inp), day, prefer, hdays, fdays)
+    inp = inputs(s, sf)
+    return D.map_snapshot(ref(s, sf), hist_day(s, sf, day, inp), fc_day(s, sf, day, inp), day, prefer, hdays, fdays)
 
 
 _LON, _LAT = lambert93_sql("x_l93", "y_l93")
@@ -75,6 +92,8 @@ risk AS MATERIALIZED ({risk_sql(ANNEE)}),
 fc AS MATERIALIZED ({risk_sql(ANNEE, days_sql="SELECT DISTINCT time AS day FROM fx_meteo_prev", weather="fx_meteo_prev", neutral=False)})"""
 
 _R6 = "* REPLACE (round(longitude, 6) AS longitude, round(latitude, 6) AS latitude)"
+MAPCOLS_NO_NAN = ("r.risque_0_4, CASE WHEN isnan(r.ift_journalier_total) THEN NULL ELSE r.ift_journalier_total END "
+                  "AS ift_journalier_total, r.interdiction_pulv, r.pluie_limitante, r.risque_dispersion")
 MAPCOLS = "r.risque_0_4, r.ift_journalier_total, r.interdiction_pulv, r.pluie_limitante, r.risque_dispersion"
 
 
@@ -99,8 +118,12 @@ snap AS (SELECT m.*, st.state_order, st.label, st.color,
  FROM m LEFT JOIN st ON st.state = m.state LEFT JOIN regmap rg ON rg.code = m.code_insee_reg)"""
 
 
-SERIES_SQL = """array_sort(list(struct_pack(date := date, risque_0_4 := risque_0_4, ift_journalier_total := ift_journalier_total,
- risque_brut := risque_brut, indicateur_meteo := indicateur_meteo, interdiction_pulv := interdiction_pulv,
+def no_nan(c: str) -> str:
+    return f"CASE WHEN isnan({c}) THEN NULL ELSE {c} END"
+
+
+SERIES_SQL = f"""array_sort(list(struct_pack(date := date, risque_0_4 := risque_0_4,
+ ift_journalier_total := {no_nan('ift_journalier_total')}, risque_brut := {no_nan('risque_brut')}, indicateur_meteo := indicateur_meteo, interdiction_pulv := interdiction_pulv,
  pluie_limitante := pluie_limitante, risque_dispersion := risque_dispersion)))"""
 
 D_FROM, D_TO = dt.date(2024, 1, 10), dt.date(2024, 1, 31)
@@ -122,28 +145,31 @@ QUERIES = {
         lambda s, sf: _r6(S.commune_detail(ref(s, sf), fixture(s, sf, "fx_communes").select(F.min("code_insee")).scalar())),
         f"WITH {REF_CTE}\nSELECT {_R6} FROM ref WHERE code_insee = (SELECT min(code_insee) FROM fx_communes)"),
     "i4_risk_map": (
-        lambda s, sf: _r6(S.risk_map(ref(s, sf), hist_days(s, sf, F.array(last_hist_day(s, sf))), last_hist_day(s, sf),
+        lambda s, sf: _r6(S.risk_map(ref(s, sf), hist_day(s, sf, last_hist_day(s, sf)), last_hist_day(s, sf),
                                      region="11")),
-        f"WITH {REF_CTE}\nSELECT ref.* REPLACE (round(longitude, 6) AS longitude, round(latitude, 6) AS latitude), {MAPCOLS} "
+        f"WITH {REF_CTE}\nSELECT ref.* REPLACE (round(longitude, 6) AS longitude, round(latitude, 6) AS latitude), {MAPCOLS_NO_NAN} "
         "FROM ref LEFT JOIN (SELECT * FROM risk WHERE date = (SELECT max(time) FROM fx_meteo)) r ON r.insee_com = ref.code_insee "
         "WHERE ref.code_insee_reg = '11'"),
     "i6_forecast_map": (
-        lambda s, sf: _r6(S.forecast_map(ref(s, sf), fc(s, sf), first_fc_day(s, sf), departement="06")),
-        f"WITH {REF_CTE}\nSELECT ref.* REPLACE (round(longitude, 6) AS longitude, round(latitude, 6) AS latitude), {MAPCOLS} "
+        lambda s, sf: _r6(S.forecast_map(ref(s, sf), fc_day(s, sf, first_fc_day(s, sf)), first_fc_day(s, sf), fc_days(s, sf), departement="06")),
+        f"WITH {REF_CTE}\nSELECT ref.* REPLACE (round(longitude, 6) AS longitude, round(latitude, 6) AS latitude), {MAPCOLS_NO_NAN} "
         "FROM ref LEFT JOIN (SELECT * FROM fc WHERE date = (SELECT min(time) FROM fx_meteo_prev)) r ON r.insee_com = ref.code_insee "
         "WHERE ref.code_insee_dep = '06'"),
     "i5_risk_series": (
-        lambda s, sf: S.risk_series(ref(s, sf), hist_days(s, sf, F.sequence(
-            fixture(s, sf, "fx_meteo").select(F.min("time")).scalar(), last_hist_day(s, sf))), ANNEE),
+        lambda s, sf: S.risk_series(ref(s, sf), hist_between(
+            s, sf, fixture(s, sf, "fx_meteo").select(F.min("time")).scalar(), last_hist_day(s, sf)), ANNEE),
         f"""WITH {REF_CTE},
-s AS (SELECT insee_com, {SERIES_SQL} AS jours, year(min(date)) AS annee FROM risk
+s AS (SELECT insee_com, {SERIES_SQL} AS jours FROM risk
  WHERE year(date) = {ANNEE} AND date >= (SELECT min(time) FROM fx_meteo) AND date <= (SELECT max(time) FROM fx_meteo) GROUP BY insee_com)
-SELECT ref.code_insee, ref.nom_commune, ref.has_calendar_data, s.jours, s.annee FROM ref JOIN s ON s.insee_com = ref.code_insee"""),
+SELECT ref.code_insee, ref.nom_commune, ref.has_calendar_data, coalesce(s.jours, []) AS jours, {ANNEE} AS annee
+FROM ref LEFT JOIN s ON s.insee_com = ref.code_insee"""),
     "i7_forecast_series": (
         lambda s, sf: S.risk_series(ref(s, sf), fc(s, sf)),
         f"""WITH {REF_CTE},
 s AS (SELECT insee_com, {SERIES_SQL} AS jours, year(min(date)) AS annee FROM fc GROUP BY insee_com)
-SELECT ref.code_insee, ref.nom_commune, ref.has_calendar_data, s.jours, s.annee FROM ref JOIN s ON s.insee_com = ref.code_insee"""),
+SELECT ref.code_insee, ref.nom_commune, ref.has_calendar_data, coalesce(s.jours, []) AS jours,
+ coalesce(s.annee, year(current_date)) AS annee
+FROM ref LEFT JOIN s ON s.insee_com = ref.code_insee"""),
     "i8_calendar_query": (
         lambda s, sf: S.calendar_query(fixture(s, sf, "fx_calendrier"), culture="ma", departement_code=12),
         "SELECT departement_code, culture, debut_de_periode AS debut, fin_de_periode AS fin, herbicides, fongicides, insecticides "
@@ -162,7 +188,7 @@ SELECT DISTINCT 'region' AS niveau, code_insee_reg AS valeur FROM ref UNION
 SELECT DISTINCT 'departement', code_insee_dep FROM ref WHERE code_insee_reg = '11' UNION
 SELECT DISTINCT 'commune', code_insee FROM ref WHERE code_insee_reg = '11' AND code_insee_dep = '06'"""),
     "i11_risk_between": (
-        lambda s, sf: S.risk_between(hist_days(s, sf, F.sequence(F.lit(D_FROM), F.lit(D_TO))), fc(s, sf),
+        lambda s, sf: S.risk_between(hist_between(s, sf, F.lit(D_FROM), F.lit(D_TO)), fc(s, sf),
                                      F.lit(D_FROM), F.lit(D_TO)),
         f"""WITH {REF_CTE}
 SELECT *, FALSE AS is_forecast FROM risk WHERE date BETWEEN DATE '{D_FROM}' AND DATE '{D_TO}'
@@ -207,8 +233,8 @@ fd AS (SELECT DISTINCT insee_com, date FROM fc)
 SELECT k.* EXCLUDE (p, rn), fd.date IS NOT NULL AS is_forecast FROM k LEFT JOIN fd ON fd.insee_com = k.insee_com AND fd.date = k.date"""),
     "c20_compare_communes": (
         lambda s, sf: S.compare_communes(
-            hist_days(s, sf, F.sequence(F.lit(D_FROM), F.lit(D_TO))), fixture(s, sf, "fx_communes"),
-            fixture(s, sf, "fx_communes").where(F.col("code_insee_dep") == "06").select(F.collect_list("code_insee")).scalar(),
+            hist_between(s, sf, F.lit(D_FROM), F.lit(D_TO)), fixture(s, sf, "fx_communes"),
+            fixture(s, sf, "fx_communes").where(F.col("code_insee_dep") == "06"),
             F.lit(D_FROM), F.lit(D_TO)),
         f"""WITH {REF_CTE}
 SELECT r.*, c.nom_commune FROM risk r LEFT JOIN fx_communes c ON c.code_insee = r.insee_com
