@@ -72,16 +72,25 @@ def ranked_crops(parcels: DataFrame, zone: list[str], zone_total_by: list[str] |
              .where(F.col("rank") <= top))
 
 
-def top3_crops(parcels: DataFrame, zone: list[str], name: str) -> DataFrame:
-    """Zone summary (D7) + majority crop (D8) + the top-3 crops pivoted
-    to ``code_cultu_1 … pct_SAU_3`` (missing ranks stay null)."""
-    r = ranked_crops(parcels, zone, zone_total_by=[name])
-    piv = (r.groupBy(name).pivot("rank", [1, 2, 3])
-             .agg(F.first("code_cultu").alias("code_cultu"), F.first("SAU_cult").alias("SAU_cult"),
-                  F.first("pct_SAU").alias("pct_SAU")))
-    piv = piv.toDF(*[_pivot_name(c) for c in piv.columns])
-    summ = zone_summary(parcels, zone).join(majority_crop_by_area(parcels, zone), zone)
-    return summ.join(piv, name, "left")
+def top3_crops(parcels: DataFrame, zone: list[str]) -> DataFrame:
+    """Zone summary (D7), majority crop (D8) and the top-3 crops as
+    ``code_cultu_1 … pct_SAU_3`` (missing ranks are null).
+
+    One aggregate per (zone, crop) gives areas, total, crop count and ranks;
+    only the distinct parcels read the table again. Everything is keyed on
+    the whole zone (code and name): the reference ranks and pivots per name,
+    which mixes communes of the same name."""
+    crops = (_crop_areas(parcels, zone).groupBy(*zone).agg(
+        F.sum("SAU_cult").alias("SAU_tot"), F.count(F.lit(1)).alias("nb_cult"),
+        F.array_sort(F.collect_list(F.struct((-F.col("SAU_cult")).alias("neg"), "code_cultu"))).alias("_top")))
+    places = []
+    for k in (1, 2, 3):
+        entry = F.get("_top", F.lit(k - 1))
+        places += [entry["code_cultu"].alias(f"code_cultu_{k}"), (-entry["neg"]).alias(f"SAU_cult_{k}"),
+                   (-entry["neg"] / F.col("SAU_tot") * 100).alias(f"pct_SAU_{k}")]
+    count = parcels.groupBy(*zone).agg(n_unique("id_parcel").alias("nb_parc"))
+    return count.join(crops, zone).select(
+        *zone, "SAU_tot", "nb_parc", "nb_cult", F.get("_top", F.lit(0))["code_cultu"].alias("cult_maj"), *places)
 
 
 def _pivot_name(c: str) -> str:

@@ -24,7 +24,7 @@ def _iwe(spark, sf):
 
 
 def _rpg_zone(spark, sf):
-    return C.top3_crops(_p(spark, sf), Z, "nom_commune").select(
+    return C.top3_crops(_p(spark, sf), Z).select(
         F.col("code_insee").alias("code_insee_rpg"), "code_cultu_1", "SAU_tot")
 
 
@@ -42,19 +42,19 @@ iwe AS (SELECT i.*, cwe.nom_epci, cwe.nature, cwe.code_siren, cwe.nom_commune, c
  FROM fx_ift i LEFT JOIN cwe ON i.insee_com = cwe.code_insee)"""
 
 SQL_TOP3 = f"""WITH a AS (SELECT code_insee, nom_commune, code_cultu, sum(surf_parc) AS SAU_cult FROM fx_parcelles GROUP BY code_insee, nom_commune, code_cultu),
-r AS (SELECT a.*, sum(SAU_cult) OVER (PARTITION BY nom_commune) AS SAU_tot_z,
+r AS (SELECT a.*, sum(SAU_cult) OVER (PARTITION BY code_insee, nom_commune) AS SAU_tot_z,
   row_number() OVER (PARTITION BY code_insee, nom_commune ORDER BY SAU_cult DESC, code_cultu) AS rk FROM a),
 r2 AS (SELECT r.*, SAU_cult / SAU_tot_z * 100 AS pct_SAU FROM r WHERE rk <= 3),
-p AS (SELECT nom_commune,
+p AS (SELECT code_insee, nom_commune,
   max(CASE WHEN rk = 1 THEN code_cultu END) AS code_cultu_1, max(CASE WHEN rk = 1 THEN SAU_cult END) AS SAU_cult_1, max(CASE WHEN rk = 1 THEN pct_SAU END) AS pct_SAU_1,
   max(CASE WHEN rk = 2 THEN code_cultu END) AS code_cultu_2, max(CASE WHEN rk = 2 THEN SAU_cult END) AS SAU_cult_2, max(CASE WHEN rk = 2 THEN pct_SAU END) AS pct_SAU_2,
   max(CASE WHEN rk = 3 THEN code_cultu END) AS code_cultu_3, max(CASE WHEN rk = 3 THEN SAU_cult END) AS SAU_cult_3, max(CASE WHEN rk = 3 THEN pct_SAU END) AS pct_SAU_3
-  FROM r2 GROUP BY nom_commune),
+  FROM r2 GROUP BY code_insee, nom_commune),
 s AS (SELECT code_insee, nom_commune, sum(surf_parc) AS SAU_tot, {nu('id_parcel')} AS nb_parc, {nu('code_cultu')} AS nb_cult FROM fx_parcelles GROUP BY code_insee, nom_commune),
 m AS (SELECT code_insee, nom_commune, code_cultu AS cult_maj FROM r WHERE rk = 1),
 top3 AS (SELECT s.code_insee, s.nom_commune, s.SAU_tot, s.nb_parc, s.nb_cult, m.cult_maj,
   p.code_cultu_1, p.SAU_cult_1, p.pct_SAU_1, p.code_cultu_2, p.SAU_cult_2, p.pct_SAU_2, p.code_cultu_3, p.SAU_cult_3, p.pct_SAU_3
- FROM s JOIN m ON s.code_insee = m.code_insee AND s.nom_commune = m.nom_commune LEFT JOIN p ON s.nom_commune = p.nom_commune)"""
+ FROM s JOIN m ON s.code_insee = m.code_insee AND s.nom_commune = m.nom_commune LEFT JOIN p ON s.code_insee = p.code_insee AND s.nom_commune = p.nom_commune)"""
 
 SQL_CMP = SQL_TOP3 + """,
 cmp AS (SELECT i.insee_com, i.c_maj, i.cod_c_maj, t.code_insee AS code_insee_rpg, t.code_cultu_1, t.SAU_tot,
@@ -89,7 +89,7 @@ QUERIES = {
         "SELECT code_insee, nom_commune, code_cultu AS culture_majoritaire, n AS nb_parcelles_culture FROM "
         "(SELECT a.*, row_number() OVER (PARTITION BY code_insee, nom_commune ORDER BY n DESC, code_cultu) AS rk FROM a) WHERE rk = 1"),
     "d10_top3_crops": (
-        lambda s, sf: C.top3_crops(_p(s, sf), Z, "nom_commune"),
+        lambda s, sf: C.top3_crops(_p(s, sf), Z),
         SQL_TOP3 + "\nSELECT * FROM top3"),
     "d11_epci_summary": (
         lambda s, sf: C.epci_summary(_iwe(s, sf)),

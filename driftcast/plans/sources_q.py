@@ -117,7 +117,7 @@ def q_register_and_count(s, sf, counts: bool):
     reg = TB.register_views(s, paths)
     if not counts:
         return reg
-    return TB.table_counts(s, ["v_communes", "v_calendrier"])
+    return TB.table_counts(s, ["v_communes", "v_calendrier", "v_jamais_creee"])
 
 
 def q_upsert(s, sf):
@@ -172,8 +172,8 @@ def q_ingest(s, sf):
     # communes landed without any daily block are skipped
     fixture(s, sf, "fx_communes").where(F.col("k") % 11 == 0).select(F.to_json(F.struct(
         "code_insee", F.lit(3).cast("long").alias("fetched_at")))).write.text(f"{land}/fetch=3")
-    ingest_landed_weather(s, land, table, ck, files_per_batch=4)
-    ingest_landed_weather(s, land, table, ck, files_per_batch=4)  # rerun: nothing new, same table
+    ingest_landed_weather(s, land, table, ck)
+    ingest_landed_weather(s, land, table, ck)  # rerun: nothing new, same table
     return s.read.parquet(table).drop("annee", "mois")
 
 
@@ -218,7 +218,7 @@ QUERIES = {
     "a8_table_counts": (
         lambda s, sf: q_register_and_count(s, sf, True),
         "SELECT 'v_communes' AS view, count(*) AS rows FROM fx_communes UNION ALL "
-        "SELECT 'v_calendrier', count(*) FROM fx_calendrier"),
+        "SELECT 'v_calendrier', count(*) FROM fx_calendrier UNION ALL SELECT 'v_jamais_creee', CAST(NULL AS BIGINT)"),
     "a9_master_view": (
         lambda s, sf: _r6(TB.master_view(enriched(s, sf), adm(s, sf))),
         f"""WITH {ENRICHI_CTE}

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from driftcast.operators.risk import check_region
+from driftcast.session import shared_path
 
 log = logging.getLogger(__name__)
 
@@ -95,28 +96,45 @@ def union_forecasts(spark: SparkSession, folder: str, schema: T.StructType | str
     return r.parquet(f"{folder.rstrip('/')}/indicateurs_previsions*")
 
 
-def register_views(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
-    """One temp view per existing path; missing ones are skipped with a
-    warning. Returns (view, registered) rows."""
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path (globs allowed) names something, asked of the file
+    system itself; a file system that fails raises."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found = p.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(p)
+    return found is not None and len(found) > 0
+
+
+def complete(spark: SparkSession, path: str) -> bool:
+    """Whether a table was written to its end (its job left ``_SUCCESS``)."""
+    return path_exists(spark, f"{path.rstrip('/')}/_SUCCESS")
+
+
+def register_views(spark: SparkSession, paths: dict[str, str], weather_enabled: bool = True,
+                   weather_views: tuple[str, ...] = ("meteo_historique", "meteo_previsions")) -> DataFrame:
+    """One temp view per existing path; a missing path is skipped with a
+    warning, anything else that fails raises. The raw weather views are left
+    out when weather is switched off. Returns (view, registered) rows."""
     rows = []
     for name, path in paths.items():
-        try:
+        if not weather_enabled and name in weather_views:
+            continue
+        there = path_exists(spark, path)
+        if there:
             spark.read.parquet(path).createOrReplaceTempView(name)
-            rows.append((name, True))
-        except Exception:  # noqa: BLE001 - missing file: skip the view
+        else:
             log.warning("missing file, view skipped: %s", path)
-            rows.append((name, False))
+        rows.append((name, there))
     return spark.createDataFrame(rows, "view string, registered boolean")
 
 
 def table_counts(spark: SparkSession, views: list[str]) -> DataFrame:
-    """Row count of every view in one job (union of per-view counts);
-    a view that cannot be planned is reported with a null count."""
+    """Row count of every view in one job (union of per-view counts); a
+    view that does not exist is reported with a null count."""
     parts = []
     for v in views:
-        try:
+        if spark.catalog.tableExists(v):
             parts.append(spark.table(v).select(F.lit(v).alias("view"), F.count(F.lit(1)).alias("rows")))
-        except Exception:  # noqa: BLE001
+        else:
             parts.append(spark.range(1).select(F.lit(v).alias("view"), F.lit(None).cast("bigint").alias("rows")))
     out = parts[0]
     for p in parts[1:]:
@@ -151,22 +169,44 @@ def upsert_year(spark: SparkSession, table: str, new: DataFrame, annee: int,
     characters of the commune code — so an update reads (dynamic partition
     pruning through the broadcast list of touched departements, at most one
     row per departement) and rewrites (dynamic partition overwrite) only the
-    departements it touches. The merge is checkpointed first, so the write
-    never reads the files it replaces.
+    departements it touches. The new rows are staged once (they are read
+    three times), and the merge before the write. A missing table is created;
+    anything else that fails raises before a file is replaced.
     """
-    new = new.withColumns({"annee": F.lit(annee), "dep": F.substring("insee_com", 1, 2)})
     keys = [key] if isinstance(key, str) else list(key)
-    try:
-        touched = F.broadcast(new.select("annee", "dep").distinct())
-        # explicit schema: partition inference would read dep "01" as 1
-        old = spark.read.schema(new.schema).parquet(table).join(touched, ["annee", "dep"], "left_semi")
+    new = staged(new.withColumns({"annee": F.lit(annee), "dep": F.substring("insee_com", 1, 2)}), "upsert-new")
+    merged = new
+    if path_exists(spark, table):
+        touched = new.select("annee", "dep").distinct()
+        old = read_stored(spark, table, {"annee": "int", "dep": "string"})
+        old = old.join(F.broadcast(touched), ["annee", "dep"], "left_semi")
         keep = old.join(new.select(*keys).distinct(), keys, "left_anti")
-        merged = keep.unionByName(new)
-    except Exception:  # noqa: BLE001 - first write of the table
-        merged = new
-    merged = merged.checkpoint(eager=True)
-    (merged.sortWithinPartitions("insee_com", "date").write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy("annee", "dep").parquet(table))
+        # a column that only one side has stays, null for the other's rows
+        merged = staged(keep.unionByName(new, allowMissingColumns=True), "upsert-merged")
+    salt = F.pmod(F.xxhash64("insee_com"), F.lit(FILES_PER_DEPARTEMENT))
+    (merged.repartition("annee", "dep", salt).sortWithinPartitions("annee", "dep", "insee_com", "date")
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("annee", "dep").parquet(table))
+
+
+# Files (and writing tasks) per (year, departement) of the risk table.
+FILES_PER_DEPARTEMENT = 2
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once to the shared folder as Parquet and read back, so
+    a later overwrite never reads what it replaces."""
+    path = shared_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def read_stored(spark: SparkSession, table: str, partitions: dict[str, str]) -> DataFrame:
+    """A stored table with all its columns, its partition columns of the
+    given types (inference would read departement "01" as 1)."""
+    schema = spark.read.parquet(table).schema
+    fields = [T.StructField(f.name, T._parse_datatype_string(partitions[f.name])) if f.name in partitions else f
+              for f in schema.fields]
+    return spark.read.schema(T.StructType(fields)).parquet(table)
 
 
 def replace_table(df: DataFrame, path: str) -> None:
@@ -183,12 +223,9 @@ def save_weather(df: DataFrame, folder: str, annee: int) -> DataFrame:
 
 
 def cached(spark: SparkSession, path: str, compute, force: bool = False) -> DataFrame:
-    """Reuse the stored table when present (and not forced), else
-    compute, store and read it back (which also cuts the lineage)."""
-    if not force:
-        try:
-            return spark.read.parquet(path)
-        except Exception:  # noqa: BLE001 - not there yet
-            pass
-    compute().write.mode("overwrite").parquet(path)
+    """Reuse the stored table when it was written to its end (and not
+    forced), else compute, store and read it back (which also cuts the
+    lineage)."""
+    if force or not complete(spark, path):
+        compute().write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
