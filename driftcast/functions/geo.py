@@ -5,8 +5,9 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from driftcast.config import L93_C, L93_E, L93_LON0_DEG, L93_N, L93_XS, L93_YS
 from driftcast.functions.columns import col_or
@@ -43,13 +44,26 @@ def lambert93_sql(x: str, y: str) -> tuple[str, str]:
     return lon, f"degrees({phi})"
 
 
+def as_rings(df: DataFrame, col: str) -> Column:
+    """An outline as an array of rings: the column itself, or a single ring
+    wrapped. Rings follow the even-odd rule, so parts and holes are further
+    rings (for areas, holes run against their part's direction)."""
+    single = isinstance(df.schema[col].dataType.elementType, T.StructType)
+    return F.array(F.col(col)) if single else F.col(col)
+
+
 def ring_bbox(ring: str | Column) -> list[Column]:
     """L2: bounding box of a ring."""
-    r = col_or(ring)
-    return [F.array_min(F.transform(r, lambda p: p["x"])).alias("xmin"),
-            F.array_min(F.transform(r, lambda p: p["y"])).alias("ymin"),
-            F.array_max(F.transform(r, lambda p: p["x"])).alias("xmax"),
-            F.array_max(F.transform(r, lambda p: p["y"])).alias("ymax")]
+    return rings_bbox(F.array(col_or(ring)))
+
+
+def rings_bbox(rings: Column) -> list[Column]:
+    """L2: bounding box of an outline."""
+    p = F.flatten(rings)
+    return [F.array_min(F.transform(p, lambda p: p["x"])).alias("xmin"),
+            F.array_min(F.transform(p, lambda p: p["y"])).alias("ymin"),
+            F.array_max(F.transform(p, lambda p: p["x"])).alias("xmax"),
+            F.array_max(F.transform(p, lambda p: p["y"])).alias("ymax")]
 
 
 def _edges(ring: Column) -> Column:
@@ -63,14 +77,22 @@ def _edges(ring: Column) -> Column:
         "array<struct<a:struct<x:double,y:double>,b:struct<x:double,y:double>>>"))
 
 
+def _all_edges(rings: Column) -> Column:
+    return F.flatten(F.transform(rings, _edges))
+
+
 def ring_area_centroid(ring: str | Column) -> list[Column]:
-    """L1: signed shoelace area and centroid of a closed ring, computed in
-    coordinates relative to the first vertex (keeps the products small, so
-    planar metres stay exact)."""
-    r = col_or(ring)
-    first = F.try_element_at(r, F.lit(1))
+    """L1 of a single ring."""
+    return rings_area_centroid(F.array(col_or(ring)))
+
+
+def rings_area_centroid(rings: Column) -> list[Column]:
+    """L1: signed shoelace area and centroid of an outline (parts add, holes
+    subtract), in coordinates relative to the first vertex (keeps the
+    products small, so planar metres stay exact)."""
+    first = F.try_element_at(F.flatten(rings), F.lit(1))
     x0, y0 = first["x"], first["y"]
-    e = _edges(r)
+    e = _all_edges(rings)
 
     def cross(s):
         return ((s["a"]["x"] - x0) * (s["b"]["y"] - y0) - (s["b"]["x"] - x0) * (s["a"]["y"] - y0))
@@ -83,9 +105,8 @@ def ring_area_centroid(ring: str | Column) -> list[Column]:
     return [(a2 / 2).alias("area"), (x0 + cx / (3 * a2)).alias("cx"), (y0 + cy / (3 * a2)).alias("cy")]
 
 
-def point_in_ring(px: Column, py: Column, ring: str | Column) -> Column:
-    """Crossing-number test; a point on the boundary counts as inside."""
-    e = _edges(col_or(ring))
+def _inside(px: Column, py: Column, e: Column) -> Column:
+    """Crossing-number test against edges; on an edge counts as inside."""
 
     def on_edge(s):
         ax, ay, bx, by = s["a"]["x"], s["a"]["y"], s["b"]["x"], s["b"]["y"]
@@ -104,20 +125,93 @@ def point_in_ring(px: Column, py: Column, ring: str | Column) -> Column:
     return F.exists(e, on_edge) | (n_cross % 2 == 1)
 
 
-def _segments_cross(p1, p2, q1, q2) -> Column:
-    """Proper crossing of two segments (strict orientation changes)."""
-    def orient(a, b, c):
-        return F.signum((b["x"] - a["x"]) * (c["y"] - a["y"]) - (b["y"] - a["y"]) * (c["x"] - a["x"]))
-    return ((orient(p1, p2, q1) * orient(p1, p2, q2) < 0)
-            & (orient(q1, q2, p1) * orient(q1, q2, p2) < 0))
+def point_in_ring(px: Column, py: Column, ring: str | Column) -> Column:
+    """Point in a ring; a point on the boundary counts as inside."""
+    return _inside(px, py, _edges(col_or(ring)))
+
+
+def point_in_rings(px: Column, py: Column, rings: Column) -> Column:
+    """Point in an outline with parts and holes; the boundary is inside."""
+    return _inside(px, py, _all_edges(rings))
+
+
+def _contacts(s: Column, edges: Column) -> Column:
+    """Where a segment meets the edges, as sorted distinct parameters in
+    [0, 1] with both ends: crossings, touches, and the ends of collinear
+    overlaps."""
+    dx, dy = s["b"]["x"] - s["a"]["x"], s["b"]["y"] - s["a"]["y"]
+    length2 = dx * dx + dy * dy
+
+    def meets(t):
+        ex, ey = t["b"]["x"] - t["a"]["x"], t["b"]["y"] - t["a"]["y"]
+        ax, ay = t["a"]["x"] - s["a"]["x"], t["a"]["y"] - s["a"]["y"]
+        det = dx * ey - dy * ex
+        u, v = (ax * ey - ay * ex) / F.when(det != 0, det), (ax * dy - ay * dx) / F.when(det != 0, det)
+        crossing = F.when((v >= 0) & (v <= 1), u)
+        collinear = (det == 0) & (ax * dy - ay * dx == 0)
+        bx, by = t["b"]["x"] - s["a"]["x"], t["b"]["y"] - s["a"]["y"]
+        return F.array(crossing, F.when(collinear, (ax * dx + ay * dy) / length2),
+                       F.when(collinear, (bx * dx + by * dy) / length2))
+
+    found = F.filter(F.flatten(F.transform(edges, meets)), lambda u: u.isNotNull() & (u > 0) & (u < 1))
+    return F.array_sort(F.array_distinct(F.concat(F.array(F.lit(0.0), F.lit(1.0)), found)))
 
 
 def ring_within(inner: str | Column, outer: str | Column) -> Column:
-    """L3: every vertex of ``inner`` inside ``outer`` (boundary counts as
-    inside) and no edge of ``inner`` properly crosses an edge of ``outer``."""
-    ri, ro = col_or(inner), col_or(outer)
-    all_in = F.forall(ri, lambda p: point_in_ring(p["x"], p["y"], ro))
-    eo = _edges(ro)
-    no_cross = F.forall(_edges(ri), lambda s: ~F.exists(eo, lambda t: _segments_cross(
-        s["a"], s["b"], t["a"], t["b"])))
-    return all_in & no_cross
+    """L3 of single rings."""
+    return rings_within(F.array(col_or(inner)), F.array(col_or(outer)))
+
+
+def rings_within(inner: Column, outer: Column) -> Column:
+    """L3: ``inner`` lies in ``outer`` (shared boundary allowed), for concave
+    outlines, parts and holes.
+
+    Every edge of ``inner`` is split where it meets the boundary of ``outer``;
+    no piece changes sides, so the midpoints of all pieces (and the vertices)
+    must be inside. A point in the interior of ``inner`` must be inside too
+    (an outline can run along a hole it covers), and no edge of ``outer`` may
+    run through the interior of ``inner``."""
+    own, other = _all_edges(inner), _all_edges(outer)
+    usable = F.filter(own, lambda s: (s["a"]["x"] != s["b"]["x"]) | (s["a"]["y"] != s["b"]["y"]))
+
+    def pieces_inside(s):
+        at = _contacts(s, other)
+        middles = F.transform(F.sequence(F.lit(1), F.size(at) - 1),
+                              lambda i: (F.element_at(at, i) + F.element_at(at, i + 1)) / 2)
+        dx, dy = s["b"]["x"] - s["a"]["x"], s["b"]["y"] - s["a"]["y"]
+        return F.forall(middles, lambda u: _inside(s["a"]["x"] + u * dx, s["a"]["y"] + u * dy, other))
+
+    corners = F.forall(F.flatten(inner), lambda p: _inside(p["x"], p["y"], other))
+    # an interior point: halfway between the first two crossings of a line
+    # between the two lowest vertex levels
+    levels = F.array_sort(F.array_distinct(F.transform(F.flatten(inner), lambda p: p["y"])))
+    y = (F.get(levels, F.lit(0)) + F.get(levels, F.lit(1))) / 2
+    xs = F.array_sort(F.filter(F.transform(own, lambda s: F.when(
+        (s["a"]["y"] > y) != (s["b"]["y"] > y),
+        s["a"]["x"] + (y - s["a"]["y"]) * (s["b"]["x"] - s["a"]["x"])
+        / F.when(s["b"]["y"] != s["a"]["y"], s["b"]["y"] - s["a"]["y"]))), lambda x: x.isNotNull()))
+    x = (F.get(xs, F.lit(0)) + F.get(xs, F.lit(1))) / 2
+    middle = F.coalesce(_inside(x, y, other), F.lit(True))
+
+    # a hole of ``outer`` inside ``inner``: one of its edges has a piece whose
+    # middle is in the interior of ``inner``
+    def enters(s):
+        at = _contacts(s, own)
+        dx, dy = s["b"]["x"] - s["a"]["x"], s["b"]["y"] - s["a"]["y"]
+        middles = F.transform(F.sequence(F.lit(1), F.size(at) - 1),
+                              lambda i: (F.element_at(at, i) + F.element_at(at, i + 1)) / 2)
+        return F.exists(middles, lambda u: _strictly_inside(s["a"]["x"] + u * dx, s["a"]["y"] + u * dy, own))
+
+    degenerate = F.filter(other, lambda s: (s["a"]["x"] != s["b"]["x"]) | (s["a"]["y"] != s["b"]["y"]))
+    return (corners & F.forall(usable, pieces_inside) & middle & ~F.exists(degenerate, enters))
+
+
+def _strictly_inside(px: Column, py: Column, e: Column) -> Column:
+    """Inside and not on an edge."""
+
+    def on_edge(s):
+        ax, ay, bx, by = s["a"]["x"], s["a"]["y"], s["b"]["x"], s["b"]["y"]
+        cross = (bx - ax) * (py - ay) - (by - ay) * (px - ax)
+        return ((cross == 0) & (px >= F.least(ax, bx)) & (px <= F.greatest(ax, bx))
+                & (py >= F.least(ay, by)) & (py <= F.greatest(ay, by)))
+    return _inside(px, py, e) & ~F.exists(e, on_edge)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from driftcast.config import MEASURE_RENAME
 from driftcast.fixtures import fixture
 from driftcast.functions import columns as C
-from driftcast.functions.geo import lambert93_sql, ring_within
+from driftcast.functions.geo import lambert93_sql, rings_within
 from driftcast.operators import analytics as AN
 from driftcast.operators import geo as G
 from driftcast.operators.calendar import (denominators, distinct_active_days, dep_region_bridge, rebase_calendar,
@@ -25,7 +25,7 @@ PARCEL_COLS = ["id_parcel", "code_insee_source", "cx", "cy", "half", "code_cultu
 
 def zones(s, sf):
     z = fixture(s, sf, "fx_communes_geo")
-    return z.select("code_insee", G.square_ring("x_l93", "y_l93", "half").alias("ring"))
+    return z.select("code_insee", G.outline_rings("x_l93", "y_l93", "half", F.col("k") % 5).alias("ring"))
 
 
 def parcels(s, sf):
@@ -34,8 +34,15 @@ def parcels(s, sf):
 
 
 def _within_sql(p: str, g: str) -> str:
-    return (f"{g}.half > 0 AND {p}.cx - {p}.half >= {g}.x_l93 - {g}.half AND {p}.cx + {p}.half <= {g}.x_l93 + {g}.half "
-            f"AND {p}.cy - {p}.half >= {g}.y_l93 - {g}.half AND {p}.cy + {p}.half <= {g}.y_l93 + {g}.half")
+    """Square ``p`` within outline ``g`` by its shape (k % 5): bounding box,
+    and clear of the notch, the hole or the gap between the parts."""
+    west, east = f"{p}.cx + {p}.half <= {g}.x_l93", f"{p}.cx - {p}.half >= {g}.x_l93"
+    south, north = f"{p}.cy + {p}.half <= {g}.y_l93", f"{p}.cy - {p}.half >= {g}.y_l93"
+    box = (f"{east} - {g}.half AND {west} + {g}.half AND {north} - {g}.half AND {south} + {g}.half")
+    return (f"{g}.half > 0 AND {box} AND CASE {g}.k % 5 "
+            f"WHEN 2 THEN {west} - {g}.half / 4 OR {east} + {g}.half / 4 OR {south} "
+            f"WHEN 3 THEN {west} - {g}.half / 8 OR {east} + {g}.half / 8 OR {south} - {g}.half / 8 OR {north} + {g}.half / 8 "
+            f"WHEN 4 THEN {west} - {g}.half / 2 OR {east} ELSE TRUE END")
 
 
 _LON, _LAT = lambert93_sql("x_l93", "y_l93")
@@ -45,8 +52,11 @@ QUERIES = {
     "l1_centroid": (
         lambda s, sf: G.centroids_wgs84(zones(s, sf), "code_insee").select(
             "code_insee", "area", F.round("longitude", 6).alias("longitude"), F.round("latitude", 6).alias("latitude")),
-        f"SELECT code_insee, CAST(4 * half * half AS DOUBLE) AS area, round({_LON}, 6) AS longitude, round({_LAT}, 6) AS latitude "
-        "FROM fx_communes_geo WHERE half > 0"),
+        # area in half², centroid in half of each shape
+        f"""WITH g AS (SELECT code_insee, half, x_l93 + half * CASE k % 5 WHEN 4 THEN 1.0 / 12 ELSE 0 END AS x_l93,
+  y_l93 + half * CASE k % 5 WHEN 2 THEN -1.0 / 14 ELSE 0 END AS y_l93,
+  CASE k % 5 WHEN 2 THEN 3.5 WHEN 3 THEN 3.9375 WHEN 4 THEN 3.0 ELSE 4.0 END AS a FROM fx_communes_geo WHERE half > 0)
+SELECT code_insee, CAST(a * half * half AS DOUBLE) AS area, round({_LON}, 6) AS longitude, round({_LAT}, 6) AS latitude FROM g"""),
     "l2_bbox": (
         lambda s, sf: G.with_bbox(zones(s, sf)).drop("ring").where(F.col("xmin").isNotNull()),
         "SELECT code_insee, x_l93 - half AS xmin, y_l93 - half AS ymin, x_l93 + half AS xmax, y_l93 + half AS ymax "
@@ -54,7 +64,7 @@ QUERIES = {
     "l3_within": (
         lambda s, sf: parcels(s, sf).join(zones(s, sf).withColumnRenamed("ring", "zring").withColumnRenamed(
             "code_insee", "code_insee_source"), "code_insee_source").select(
-            "id_parcel", ring_within("ring", "zring").alias("within")),
+            "id_parcel", rings_within(F.array("ring"), F.col("zring")).alias("within")),
         f"SELECT p.id_parcel, ({_within_sql('p', 'g')}) AS within FROM fx_parcelles_geo p "
         "JOIN fx_communes_geo g ON g.code_insee = p.code_insee_source"),
     "l4_drop_empty_geometry": (
