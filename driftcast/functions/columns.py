@@ -94,7 +94,7 @@ def rebase_year(c: str | Column, annee: int) -> Column:
     """Keep month and day, set the year.
 
     February 29 into a common year would raise under ANSI; it becomes null
-    instead (documented fix), see ``rebase_failures``.
+    instead (documented fix), counted by ``rebase_failures``.
     """
     d = col_or(c)
     made = F.make_date(F.lit(annee), F.month(d), F.dayofmonth(d))
@@ -104,6 +104,11 @@ def rebase_year(c: str | Column, annee: int) -> Column:
             .otherwise(made)
 
 
+def rebase_failures(df: DataFrame, cols: list[str], annee: int) -> DataFrame:
+    """How many dates of each column cannot be moved to the year."""
+    return df.agg(*[F.count_if(F.col(c).isNotNull() & rebase_year(c, annee).isNull()).alias(c) for c in cols])
+
+
 def region_code(c: str | Column) -> Column:
     """Region name -> code, unknown -> null."""
     return F.try_element_at(map_literal(REGION_CODES), col_or(c))
@@ -239,6 +244,21 @@ def hover_text(name: str | Column, code: str | Column, dep: str | Column,
         col_or(label))
 
 
+def hover_day(is_forecast: str | Column, date: str | Column, level: str | Column, ift: str | Column,
+              no_spray: str | Column, rain: str | Column) -> Column:
+    """B19, daily variant: the label of one day of a commune's series."""
+    lv, x = col_or(level), nan_as_null(ift)
+    number = (F.when(x == float("inf"), F.lit("inf")).when(x == float("-inf"), F.lit("-inf"))
+               .otherwise(F.format_string("%.3f", F.bround(x, 3))))
+    return F.concat(
+        F.when(F.coalesce(col_or(is_forecast), F.lit(False)), F.lit("⚡ Prévision — ")).otherwise(F.lit("")),
+        F.date_format(col_or(date), "dd/MM/yyyy"), F.lit("<br>Indicateur : "),
+        F.coalesce(lv.cast("int").cast("string"), F.lit("—")), F.lit("<br>"),
+        F.when(x.isNotNull(), F.concat(F.lit("IFT journalier : "), number, F.lit("<br>"))).otherwise(F.lit("")),
+        F.when(F.coalesce(col_or(no_spray), F.lit(False)), F.lit("🚫 Vent fort ")).otherwise(F.lit("")),
+        F.when(F.coalesce(col_or(rain), F.lit(False)), F.lit("🌧 Pluie")).otherwise(F.lit("")))
+
+
 def days_in_year(annee: int) -> int:
     """366 when ``annee % 4 == 0`` (quirk Q5: the 4-year rule only)."""
     return 366 if annee % 4 == 0 else 365

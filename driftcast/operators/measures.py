@@ -40,9 +40,15 @@ def measurements_clean(sheet: DataFrame) -> DataFrame:
 def sampling_windows(clean: DataFrame, days: int = WINDOW_DAYS) -> DataFrame:
     """B18 + A11 dedup: distinct (commune, start − days, end + days) of the
     measurements with coordinates."""
+    return sampling_points(clean, days).select("code_insee", "start_date", "end_date").distinct()
+
+
+def sampling_points(clean: DataFrame, days: int = WINDOW_DAYS) -> DataFrame:
+    """Distinct (commune, latitude, longitude, window): one weather
+    request entry per location, also where a commune has several."""
     s, e = window_bounds("debut_prelevement", "fin_prelevement", days)
     return (clean.where(F.col("latitude").isNotNull())
-                 .select("code_insee", s.alias("start_date"), e.alias("end_date")).distinct())
+                 .select("code_insee", "latitude", "longitude", s.alias("start_date"), e.alias("end_date")).distinct())
 
 
 def weather_window_aggregates(windows: DataFrame, daily: DataFrame) -> DataFrame:

@@ -34,6 +34,7 @@ from driftcast.functions.columns import (days_in_year, level_0_4, map_crop, safe
                                          weather_indicator_cols, year_spine)
 from driftcast.operators.calendar import CONFIGS, calendar_lookup, denominators, dep_region_bridge, rebase_calendar
 from driftcast.operators.sizing import bounded_broadcast
+from driftcast.session import shared_path
 
 RISK_COLUMNS = (
     "insee_com", "date", "ift_journalier_total", "indicateur_meteo", "interdiction_pulv",
@@ -231,15 +232,21 @@ def risk_days(inp: RiskInputs, days: Column, d0: dt.date | Column | None = None,
 
 
 def risk_year(inp: RiskInputs, th: Thresholds = DEFAULT_THRESHOLDS,
-              partitions: int | None = None) -> DataFrame:
+              partitions: int | None = None, method: str = "valeurs") -> DataFrame:
     """The whole year (365/366 days) for every commune — the flagship.
 
+    ``method`` chooses the level cuts (Q9): "valeurs" = the fixed thresholds,
+    "quartiles" = the quartiles of the year's positive values (E7).
+
     Sorting by (commune, day) is left to the writer (``sortWithinPartitions``)
     or to the final display; the table itself is unordered.
     """
     d0 = dt.date(inp.annee, 1, 1)
     d1 = d0 + dt.timedelta(days=days_in_year(inp.annee) - 1)
-    return risk_days(inp, year_spine(inp.annee), d0, d1, th, partitions=partitions)
+    if method not in ("valeurs", "quartiles"):
+        raise ValueError(f"Unknown method: '{method}'. Valid methods: valeurs, quartiles")
+    risk = risk_days(inp, year_spine(inp.annee), d0, d1, th, partitions=partitions)
+    return levels_by_quartiles(risk) if method == "quartiles" else risk
 
 
 def risk_forecast(inp: RiskInputs, forecast: DataFrame | None,
@@ -284,12 +291,14 @@ def levels_by_quartiles(risk: DataFrame, col: str = "risque_brut",
     NaN have no level. When no value is positive every level is 0 (the
     notebook's rule).
 
-    The table is read twice (cuts, then levels), so it is first checkpointed
-    to the shared checkpoint folder: the year plan runs once and the lineage
-    is cut (a lost executor re-reads the files instead of recomputing).
+    The table is read twice (cuts, then levels), so it is first staged as
+    Parquet in the shared folder: the year plan runs once, and the cuts read
+    one column of it.
     """
     if materialize:
-        risk = risk.checkpoint(eager=True)
+        path = shared_path(risk.sparkSession, "risk-levels")
+        risk.write.parquet(path)
+        risk = risk.sparkSession.read.schema(risk.schema).parquet(path)
     q = quartile_cuts(risk, col)
     lvl = F.when(q.isNull(), F.lit(0)).when(~F.isnan(col), level_0_4(col, q))
     return risk.withColumn("risque_0_4", lvl)

@@ -39,10 +39,9 @@ def code_labels(nomenclature: DataFrame, order: str | None = None) -> DataFrame:
 
 def build_ift(raw: DataFrame, nomenclature: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The 19 columns, first row per commune (D31), labels of the three
-    crop codes (three broadcast joins on a code table bounded by the
-    nomenclature), departement = first two characters (B4)."""
+    crop codes (three joins on the code table), departement = first two characters (B4)."""
     ift, dropped = dedupe_keep_first(raw.select(*IFT_COLUMNS), "insee_com", "id")
-    lab = F.broadcast(code_labels(nomenclature))
+    lab = code_labels(nomenclature)
     for src, dst in (("cod_c_maj", "c_maj_depuis_code"), ("cod_c_hbc", "c_ift_hbc_depuis_code"),
                      ("cod_c_h", "c_ift_h_depuis_code")):
         l2 = lab.select(F.col("code_culture").alias(f"_k_{dst}"), F.col("libelle_culture").alias(dst))
@@ -73,3 +72,26 @@ def build_static(spark, out: str, raw_ift: DataFrame, nomenclature: DataFrame, c
         df.write.mode("overwrite").parquet(p)
         paths[name] = p
     return paths
+
+
+def build_static_from_sources(spark, out: str, outlines: DataFrame, raw_ift: DataFrame, annexes: dict[str, DataFrame],
+                              sheet: DataFrame, annee: int, idf: DataFrame | None = None,
+                              parcels: DataFrame | None = None) -> dict[str, str]:
+    """A17 end to end: commune outlines (code_insee, nom_commune,
+    code_insee_dep, code_insee_reg, ring) → centroids → communes; raw IFT and
+    annexe "a" → IFT tables; the calendar sheet (and the Île-de-France table)
+    → calendar of ``annee`` (E13); all annexes; and, when parcels are given,
+    the per-commune details (D5 after C16)."""
+    from driftcast.operators.calendar import build_calendar
+    from driftcast.operators.crops import commune_parcel_summary
+    from driftcast.operators.geo import centroids_wgs84, parcels_within
+    points = centroids_wgs84(outlines, "code_insee").select("code_insee", "longitude", "latitude")
+    communes = outlines.drop("ring").join(points, "code_insee", "left")
+    paths = build_static(spark, out, raw_ift, annexes["a"], communes, build_calendar(sheet, annee, idf))
+    more = {f"nomenclature_annexe_{k}": df for k, df in annexes.items() if k != "a"}
+    if parcels is not None:
+        more["communes_details"] = commune_parcel_summary(parcels_within(parcels, outlines, ["nom_commune"], "left"))
+    for name, df in more.items():
+        paths[name] = f"{out.rstrip('/')}/{name}"
+        df.write.mode("overwrite").parquet(paths[name])
+    return paths

@@ -140,6 +140,13 @@ SELECT b.code_insee, b.gi, b.gj, g.valeur FROM b LEFT JOIN fx_grille g ON g.gi =
  ('juillet', 7), ('août', 8), ('septembre', 9), ('octobre', 10), ('novembre', 11), ('décembre', 12))
 SELECT i.departement_code, i.culture, i.periode, make_date(2025, mo.n, 1) AS debut, last_day(make_date(2025, mo.n, 1)) AS fin
 FROM fx_calendrier_idf i LEFT JOIN mo ON mo.m = lower(i.periode)"""),
+    "b10_rebase_failures": (
+        lambda s, sf: C.rebase_failures(fixture(s, sf, "fx_calendrier").withColumns(
+            {c: F.date_add(c, 366) for c in ("debut_de_periode", "fin_de_periode")}),
+            ["debut_de_periode", "fin_de_periode"], 2025),
+        "SELECT count(*) FILTER (WHERE month(debut_de_periode + 366) = 2 AND day(debut_de_periode + 366) = 29) AS debut_de_periode, "
+        "count(*) FILTER (WHERE month(fin_de_periode + 366) = 2 AND day(fin_de_periode + 366) = 29) AS fin_de_periode "
+        "FROM fx_calendrier"),
     "b10_rebase_year": (
         lambda s, sf: rebase_calendar(fixture(s, sf, "fx_calendrier"), 2025),
         "SELECT CAST(departement_code AS STRING) AS departement_code, culture, make_date(2025, month(debut_de_periode), "

@@ -23,7 +23,7 @@ from driftcast.session import shared_path
 from driftcast.sources import tables as TB
 from driftcast.plans.measures_q import SQL_CLEAN, clean
 from driftcast.sources.sheets import measurement_sheet
-from driftcast.streaming.incremental import ingest_landed_weather, late_weather_repair
+from driftcast.streaming.incremental import ingest_landed_weather, late_weather_repair, write_late_repair
 
 TODAY = dt.date(2024, 1, 31)
 
@@ -120,6 +120,60 @@ def q_register_and_count(s, sf, counts: bool):
     return TB.table_counts(s, ["v_communes", "v_calendrier", "v_jamais_creee"])
 
 
+def q_static_full(s, sf):
+    """A17 end to end: row counts of every table it writes."""
+    from driftcast.plans.misc_q import parcels, zones
+    z = zones(s, sf).join(fixture(s, sf, "fx_communes").drop("x_l93", "y_l93", "k"), "code_insee")
+    raw = fixture(s, sf, "fx_calendrier_brut").select(
+        "departement_code", "culture", F.col("debut_txt_date").alias("debut_de_periode"),
+        F.col("fin_txt_date").alias("fin_de_periode"), F.col("herbicides_txt").alias("herbicides"),
+        F.col("fongicides_txt").alias("fongicides"), F.col("insecticides_txt").alias("insecticides"), "commentaires")
+    nom = fixture(s, sf, "fx_nomenclature")
+    paths = ST.build_static_from_sources(
+        s, shared_path(s, "static"), z, fixture(s, sf, "fx_ift_csv"), {"a": nom, "b": nom, "c": nom}, raw, ANNEE,
+        fixture(s, sf, "fx_calendrier_idf"), parcels(s, sf).withColumn("code_group", F.lit("1")))
+    out = None
+    for name, path in paths.items():
+        part = s.read.parquet(path).select(F.lit(name).alias("tbl"), F.count(F.lit(1)).alias("n"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def _static_full_sql() -> str:
+    from driftcast.plans.misc_q import _within_sql
+    return f"""WITH det AS (SELECT DISTINCT g.code_insee FROM fx_parcelles_geo p LEFT JOIN fx_communes_geo g ON {_within_sql('p', 'g')}),
+names AS (SELECT DISTINCT c.nom_commune FROM det LEFT JOIN fx_communes c ON c.code_insee = det.code_insee)
+SELECT 'communes_admin' AS tbl, count(*) AS n FROM fx_communes_geo
+UNION ALL SELECT 'ift_communes', count(DISTINCT insee_com) FROM fx_ift_csv
+UNION ALL SELECT 'ift_communes_enrichi', count(DISTINCT insee_com) FROM fx_ift_csv
+UNION ALL SELECT 'calendrier_epandage', (SELECT count(*) FROM fx_calendrier_brut) + (SELECT count(*) FROM fx_calendrier_idf)
+UNION ALL SELECT 'nomenclature_annexe_a', count(*) FROM fx_nomenclature
+UNION ALL SELECT 'nomenclature_annexe_b', count(*) FROM fx_nomenclature
+UNION ALL SELECT 'nomenclature_annexe_c', count(*) FROM fx_nomenclature
+UNION ALL SELECT 'communes_details', count(*) FROM names"""
+
+
+def q_repair_written(s, sf):
+    """J3 with its write-back: the risk table after the repair."""
+    weather, risk = shared_path(s, "weather_hist"), shared_path(s, "risk_table")
+    inp = inputs(s, sf)
+    TB.upsert_year(s, risk, risk_year(inp), ANNEE)
+    write_late_repair(s, inp, fixture(s, sf, "fx_meteo_era5"), fixture(s, sf, "fx_meteo_archive"), TODAY, weather, risk)
+    return s.read.schema(TB.RISK_TABLE_SCHEMA).parquet(risk)
+
+
+def q_sorted_table(s, sf):
+    """G1: the stored risk rows carry their place in (commune, day) order
+    within each written file; a row out of order is returned."""
+    p = shared_path(s, "risk_table")
+    TB.upsert_year(s, p, risk_year(inputs(s, sf)), ANNEE)
+    t = s.read.schema(TB.RISK_TABLE_SCHEMA).parquet(p).select(
+        "insee_com", "date", F.input_file_name().alias("f"), F.col("_metadata.row_index").alias("i"))
+    before = t.select(F.col("f"), (F.col("i") + 1).alias("i"), F.col("insee_com").alias("c0"), F.col("date").alias("d0"))
+    return t.join(before, ["f", "i"]).where(
+        F.struct("c0", "d0") >= F.struct(F.col("insee_com").alias("c0"), F.col("date").alias("d0"))).select("insee_com", "date")
+
+
 def q_upsert(s, sf):
     p = shared_path(s, "risk_table")
     TB.upsert_year(s, p, risk_year(inputs(s, sf)), ANNEE)
@@ -237,13 +291,17 @@ SELECT batch, count(*) AS n_communes, string_agg(code_insee, ',' ORDER BY rn) AS
  string_agg(CAST(lat AS VARCHAR), ',' ORDER BY rn) AS latitude, string_agg(CAST(lon AS VARCHAR), ',' ORDER BY rn) AS longitude
 FROM b GROUP BY batch"""),
     "a11_window_request_plan": (
-        lambda s, sf: W.window_request_plan(M.sampling_windows(clean(s, sf)), 100),
+        lambda s, sf: W.window_request_plan(M.sampling_points(clean(s, sf)), 100),
         f"""WITH {SQL_CLEAN},
-w AS (SELECT DISTINCT code_insee, debut_prelevement - 15 AS start_date, fin_prelevement + 15 AS end_date FROM clean
- WHERE latitude IS NOT NULL),
-n AS (SELECT w.*, CAST(floor((row_number() OVER (PARTITION BY start_date, end_date ORDER BY code_insee NULLS FIRST) - 1) / 100) AS BIGINT) AS batch FROM w)
-SELECT start_date, end_date, batch, count(*) AS n_communes, string_agg(code_insee, ',' ORDER BY code_insee) AS codes
-FROM n GROUP BY start_date, end_date, batch"""),
+w AS (SELECT DISTINCT code_insee, latitude, longitude, debut_prelevement - 15 AS start_date, fin_prelevement + 15 AS end_date
+ FROM clean WHERE latitude IS NOT NULL),
+n AS (SELECT w.*, row_number() OVER (PARTITION BY start_date, end_date
+  ORDER BY code_insee NULLS FIRST, latitude, longitude) AS rn FROM w),
+b AS (SELECT *, CAST(floor((rn - 1) / 100) AS BIGINT) AS batch FROM n)
+SELECT start_date, end_date, batch, count(*) AS n_communes, string_agg(code_insee, ',' ORDER BY rn) AS codes,
+ string_agg(CAST(round(latitude, 4) AS VARCHAR), ',' ORDER BY rn) AS latitude,
+ string_agg(CAST(round(longitude, 4) AS VARCHAR), ',' ORDER BY rn) AS longitude
+FROM b GROUP BY start_date, end_date, batch"""),
     "a12_upsert_risk": (
         q_upsert,
         f"""WITH risk AS ({risk_sql(ANNEE)}),
@@ -316,4 +374,15 @@ WHERE rn = 1"""),
                                           fixture(s, sf, "fx_meteo_archive"), TODAY),
         risk_sql(ANNEE, days_sql="SELECT DISTINCT time AS day FROM mw WHERE time >= (SELECT coalesce(m + 1, DATE '2024-01-01') FROM lastd)",
                  weather="mw", extra_ctes=MERGED_CTE)),
+    "a17_build_static_full": (q_static_full, _static_full_sql()),
+    "g1_sorted_risk_table": (
+        q_sorted_table, "SELECT code_insee AS insee_com, CAST(NULL AS DATE) AS date FROM fx_communes WHERE FALSE"),
+    "j3_repair_written": (
+        q_repair_written,
+        "WITH base AS (" + risk_sql(ANNEE) + "), fixed AS (" + risk_sql(
+            ANNEE, days_sql="SELECT DISTINCT time AS day FROM mw WHERE time >= (SELECT coalesce(m + 1, DATE '2024-01-01') FROM lastd)",
+            weather="mw", extra_ctes=MERGED_CTE) + f"""),
+merged AS (SELECT * FROM fixed UNION ALL SELECT * FROM base b
+ WHERE NOT EXISTS (SELECT 1 FROM fixed f WHERE f.insee_com = b.insee_com AND f.date = b.date))
+SELECT *, {ANNEE} AS annee, substr(insee_com, 1, 2) AS dep FROM merged"""),
 }

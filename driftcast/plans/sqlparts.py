@@ -129,7 +129,8 @@ r AS (
   CASE WHEN {cov} THEN w.wind_speed_10m_mean END AS wind_speed_10m_mean,
   CASE WHEN {cov} THEN w.precipitation_sum END AS precipitation_sum
  FROM t LEFT JOIN w ON w.code_insee = t.insee_com AND w.time = t.day{cover_join}),
-rr AS (SELECT r.*, ift_journalier_total * indicateur_meteo AS risque_brut FROM r)
+rr AS (SELECT r.*, CASE WHEN isnan(ift_journalier_total * indicateur_meteo) THEN {NAN}
+  ELSE ift_journalier_total * indicateur_meteo END AS risque_brut FROM r)
 SELECT insee_com, date, ift_journalier_total, indicateur_meteo, interdiction_pulv,
  traitement_deconseille, pluie_limitante, risque_dispersion, wind_speed_10m_mean,
  precipitation_sum, risque_brut, {level('risque_brut')} AS risque_0_4

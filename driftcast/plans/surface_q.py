@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from driftcast.config import DISPLAY_STATES
 from driftcast.fixtures import fixture
-from driftcast.functions.columns import year_spine
+from driftcast.functions.columns import hover_day, year_spine
 from driftcast.functions.geo import lambert93_sql
 from driftcast.operators import display as D
 from driftcast.operators.risk import risk_days, risk_forecast, risk_year
@@ -206,6 +206,19 @@ UNION ALL SELECT *, TRUE FROM fc WHERE date BETWEEN DATE '{D_FROM}' AND DATE '{D
     "e15_display_state": (
         lambda s, sf: snapshot(s, sf, "history").select("code_insee", "state", "state_order", "label", "color"),
         f"WITH {snap_sql('history')}\nSELECT code_insee, state, state_order, label, color FROM snap"),
+    "b19_hover_day": (
+        lambda s, sf: S.risk_between(hist_between(s, sf, F.lit(D_FROM), F.lit(D_TO)), fc(s, sf), F.lit(D_FROM), F.lit(D_TO))
+        .select("insee_com", "date", "is_forecast", hover_day(
+            "is_forecast", "date", "risque_0_4", "ift_journalier_total", "interdiction_pulv", "pluie_limitante").alias("hover")),
+        f"""WITH {REF_CTE},
+u AS (SELECT *, FALSE AS is_forecast FROM risk WHERE date BETWEEN DATE '{D_FROM}' AND DATE '{D_TO}'
+ UNION ALL SELECT *, TRUE FROM fc WHERE date BETWEEN DATE '{D_FROM}' AND DATE '{D_TO}')
+SELECT insee_com, date, is_forecast, concat(CASE WHEN is_forecast THEN '⚡ Prévision — ' ELSE '' END,
+ strftime(date, '%d/%m/%Y'), '<br>Indicateur : ', coalesce(CAST(risque_0_4 AS VARCHAR), '—'), '<br>',
+ CASE WHEN ift_journalier_total IS NULL OR isnan(ift_journalier_total) THEN ''
+  ELSE concat('IFT journalier : ', CASE WHEN isinf(ift_journalier_total) THEN 'inf' ELSE printf('%.3f', ift_journalier_total) END, '<br>') END,
+ CASE WHEN interdiction_pulv THEN '🚫 Vent fort ' ELSE '' END, CASE WHEN pluie_limitante THEN '🌧 Pluie' ELSE '' END) AS hover
+FROM u"""),
     "b19_hover_text": (
         lambda s, sf: snapshot(s, sf, "forecast").select("code_insee", "hover"),
         f"WITH {snap_sql('forecast')}\nSELECT code_insee, hover FROM snap"),

@@ -1,10 +1,11 @@
 import math
+import struct
 
 
 def norm(v):
     if isinstance(v, float):
         if math.isnan(v):
-            return "NaN"
+            return "NaN " + struct.pack(">d", v).hex()  # bit for bit: a NaN with another sign is another value
         return repr(round(v, 9)) if abs(v) != math.inf else repr(v)
     if hasattr(v, "tolist"):
         v = v.tolist()

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import math
 import os
+import struct
 import sys
 import time
 
@@ -24,7 +25,7 @@ from driftcast.session import get_spark  # noqa: E402
 def norm(v):
     if isinstance(v, float):
         if math.isnan(v):
-            return "NaN"
+            return "NaN " + struct.pack(">d", v).hex()  # bit for bit: a NaN with another sign is another value
         if EXACT or abs(v) == math.inf:
             return repr(v)
         return repr(round(v, 9))
