@@ -4,6 +4,8 @@ Python values bound as literals — never text pasted into SQL."""
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -60,6 +62,17 @@ def risk_map(ref: DataFrame, risk: DataFrame, day: Column, region: str | None =
     return map_join(c, r.withColumn("ift_journalier_total", nan_as_null("ift_journalier_total")))
 
 
+def stored_risk(table: DataFrame, date_from: dt.date, date_to: dt.date,
+                departements: list[str] | None = None) -> DataFrame:
+    """Rows of the stored risk table (A12 layout) for a day range and, if
+    given, some departements: the year and departement become partition
+    filters, the days a predicate of the Parquet scan."""
+    t = table.where(F.col("annee").between(date_from.year, date_to.year) & F.col("date").between(date_from, date_to))
+    if departements is not None:
+        t = t.where(F.col("dep").isin(list(departements)))
+    return t.drop("annee", "dep")
+
+
 def forecast_map(ref: DataFrame, forecast: DataFrame, day: Column, days: DataFrame, **kw) -> DataFrame:
     """As I4 on forecasts; a day outside the forecast's ``days`` (its
     file's days, column ``date``) is an error raised by the query itself at

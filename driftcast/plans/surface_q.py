@@ -17,6 +17,8 @@ from driftcast.plans import surface as S
 from driftcast.plans.measures_q import SQL_CLEAN, clean
 from driftcast.plans.risk_q import ANNEE, inputs
 from driftcast.plans.sqlparts import CROP_MAP_CTE, REGION_CTE, _q, risk_sql
+from driftcast.session import shared_path
+from driftcast.sources import tables as TB
 
 
 def ref(s, sf):
@@ -56,6 +58,23 @@ def fc_day(s, sf, day, inp=None):
         "code_insee", "time", "wind_speed_10m_mean", "precipitation_sum"))
 
 
+def stored_table(s, sf):
+    """The year's risk as A12 stores it, partitioned by (annee, dep)."""
+    p = shared_path(s, "risk_table")
+    TB.upsert_year(s, p, hist(s, sf), ANNEE)
+    return s.read.schema(TB.RISK_TABLE_SCHEMA).parquet(p)
+
+
+def i4_stored(s, sf):
+    day = dt.date(ANNEE, 1, 20)
+    return _r6(S.risk_map(ref(s, sf), S.stored_risk(stored_table(s, sf), day, day, ["06"]), F.lit(day), departement="06"))
+
+
+def i5_stored(s, sf):
+    return S.risk_series(ref(s, sf).where(F.col("code_insee_dep") == "06"),
+                         S.stored_risk(stored_table(s, sf), D_FROM, D_TO, ["06"]), ANNEE)
+
+
 def _r6(df):
     return df.withColumns({"longitude": F.round("longitude", 6), "latitude": F.round("latitude", 6)})
 
@@ -150,6 +169,17 @@ QUERIES = {
         f"WITH {REF_CTE}\nSELECT ref.* REPLACE (round(longitude, 6) AS longitude, round(latitude, 6) AS latitude), {MAPCOLS_NO_NAN} "
         "FROM ref LEFT JOIN (SELECT * FROM risk WHERE date = (SELECT max(time) FROM fx_meteo)) r ON r.insee_com = ref.code_insee "
         "WHERE ref.code_insee_reg = '11'"),
+    "i4_risk_map_stored": (
+        i4_stored,
+        f"WITH {REF_CTE}\nSELECT ref.* REPLACE (round(longitude, 6) AS longitude, round(latitude, 6) AS latitude), {MAPCOLS_NO_NAN} "
+        f"FROM ref LEFT JOIN (SELECT * FROM risk WHERE date = DATE '{ANNEE}-01-20') r ON r.insee_com = ref.code_insee "
+        "WHERE ref.code_insee_dep = '06'"),
+    "i5_risk_series_stored": (
+        i5_stored,
+        f"""WITH {REF_CTE},
+s AS (SELECT insee_com, {SERIES_SQL} AS jours FROM risk WHERE date BETWEEN DATE '{D_FROM}' AND DATE '{D_TO}' GROUP BY insee_com)
+SELECT ref.code_insee, ref.nom_commune, ref.has_calendar_data, coalesce(s.jours, []) AS jours, {ANNEE} AS annee
+FROM ref LEFT JOIN s ON s.insee_com = ref.code_insee WHERE ref.code_insee_dep = '06'"""),
     "i6_forecast_map": (
         lambda s, sf: _r6(S.forecast_map(ref(s, sf), fc_day(s, sf, first_fc_day(s, sf)), first_fc_day(s, sf), fc_days(s, sf), departement="06")),
         f"WITH {REF_CTE}\nSELECT ref.* REPLACE (round(longitude, 6) AS longitude, round(latitude, 6) AS latitude), {MAPCOLS_NO_NAN} "

@@ -171,6 +171,18 @@ def test_weather_switch_of_views(spark):
     assert names == ["communes"]
 
 
+def test_stored_surface_prunes_partitions_and_pushes_days(spark):
+    from driftcast.plans.surface import stored_risk
+    p = shared_path(spark, "t")
+    TB.upsert_year(spark, p, year_rows(spark, [("01001", 1.0), ("02001", 3.0)]), 2024)
+    day = dt.date(2024, 1, 1)
+    df = stored_risk(TB.read_stored(spark, p, {"annee": "int", "dep": "string"}), day, day, ["01"])
+    scan = next(line for line in plan(df).split("\n") if "FileScan" in line)
+    assert "annee" in scan.split("PartitionFilters: [")[1].split("]")[0] and "dep" in scan.split("PartitionFilters: [")[1]
+    assert "date" in scan.split("PushedFilters: [")[1].split("]")[0]
+    assert [r["insee_com"] for r in df.collect()] == ["01001"]
+
+
 # ---- outlines ---------------------------------------------------------------
 
 def ring(*points):
