@@ -164,10 +164,6 @@ WEATHER_COLUMNS: tuple[str, ...] = (
     "precipitation_sum", "wind_speed_10m_mean",
 )
 
-# Broadcast guard: a side is broadcast only when its counted rows stay
-# below this bound; above it the join stays a shuffle join.
-BROADCAST_MAX_ROWS = 2_000_000
-
 # FIXED VALUES — measurement sheet header -> column name
 MEASURE_RENAME: dict[str, str] = {
     "AASQA": "reseau",

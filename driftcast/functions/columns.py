@@ -244,12 +244,26 @@ def hover_text(name: str | Column, code: str | Column, dep: str | Column,
         col_or(label))
 
 
+def three_decimals(x: Column) -> Column:
+    """A finite double with three decimals, rounded as C and Python do: by
+    its exact binary value, ties to even (the JVM rounds the shortest decimal
+    instead, so 0.6375, which is stored a little below, would go up)."""
+    a = F.abs(x)
+    k = F.floor(a * 1000)
+    # exact sign of 2000 a - (2 k + 1): a split in halves whose products are exact
+    high = a * 134217729.0 - (a * 134217729.0 - a)
+    over = (high * 2000 - (2 * k + 1)) + (a - high) * 2000
+    n = k + F.when((over > 0) | ((over == 0) & (k % 2 == 1)), 1).otherwise(0)
+    return F.concat(F.when((x < 0), F.lit("-")).otherwise(F.lit("")), F.floor(n / 1000).cast("string"), F.lit("."),
+                    F.lpad((n % 1000).cast("string"), 3, "0"))
+
+
 def hover_day(is_forecast: str | Column, date: str | Column, level: str | Column, ift: str | Column,
               no_spray: str | Column, rain: str | Column) -> Column:
     """B19, daily variant: the label of one day of a commune's series."""
     lv, x = col_or(level), nan_as_null(ift)
     number = (F.when(x == float("inf"), F.lit("inf")).when(x == float("-inf"), F.lit("-inf"))
-               .otherwise(F.format_string("%.3f", F.bround(x, 3))))
+               .otherwise(three_decimals(x)))
     return F.concat(
         F.when(F.coalesce(col_or(is_forecast), F.lit(False)), F.lit("⚡ Prévision — ")).otherwise(F.lit("")),
         F.date_format(col_or(date), "dd/MM/yyyy"), F.lit("<br>Indicateur : "),

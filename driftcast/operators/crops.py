@@ -177,11 +177,10 @@ def crosstab_long(cmp: DataFrame, a: str = "cod_c_maj", b: str = "code_cultu_1")
 
 
 def crop_label_join(cmp: DataFrame, nomenclature: DataFrame) -> DataFrame:
-    """C14: label of the register's first crop (broadcast: the nomenclature
-    is a fixed code list)."""
+    """C14: label of the register's first crop."""
     lab = nomenclature.select(F.col("code_culture").alias("code_cultu_1"),
                               F.col("libelle_culture").alias("lib_cultu_1"))
-    return cmp.join(F.broadcast(lab), "code_cultu_1", "left")
+    return cmp.join(lab, "code_cultu_1", "left")
 
 
 def divergences(labelled: DataFrame, zone_col: str = "nom_commune",

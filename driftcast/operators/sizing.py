@@ -1,34 +1,14 @@
-"""Broadcast guard: broadcast a side only after its size is counted."""
+"""Broadcasts with a bound."""
 
 from __future__ import annotations
 
-import logging
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from driftcast.config import BROADCAST_MAX_ROWS
-
-log = logging.getLogger(__name__)
-
-
-def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
-                      name: str = "side") -> DataFrame:
-    """Count a small derived table and broadcast it only when the count
-    stays under ``max_rows``; otherwise it is returned as is and the join
-    stays a shuffle join (AQE may still convert it at run time).
-
-    The count stops at ``max_rows + 1`` rows so an unexpectedly large side
-    is never scanned whole just to be rejected.
-    """
-    n = df.limit(max_rows + 1).count()
-    if n <= max_rows:
-        return F.broadcast(df)
-    log.warning("%s has more than %d rows: not broadcast", name, max_rows)
-    return df
-
 
 def bounded_broadcast(df: DataFrame) -> DataFrame:
     """Broadcast a side whose size is bounded by construction (e.g. the
-    distinct days of one year, at most 366 rows); callers state the bound."""
+    distinct days of one year, at most 366 rows); callers state the bound.
+    All other sides are left to the adaptive planner, which knows their size
+    in bytes."""
     return F.broadcast(df)

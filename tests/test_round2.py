@@ -275,3 +275,13 @@ def test_daily_hover_text(spark):
     got = [r[0] for r in df.select(hover_day("f", "d", "l", "x", "n", "r")).collect()]
     assert got == ["⚡ Prévision — 05/03/2024<br>Indicateur : 2<br>IFT journalier : 1.235<br>🚫 Vent fort 🌧 Pluie",
                    "05/03/2024<br>Indicateur : —<br>"]
+
+
+def test_three_decimals_like_c(spark):
+    from driftcast.functions.columns import three_decimals
+    rng = np.random.default_rng(8)
+    xs = [0.0, 0.0005, 0.0015, 0.6375, 0.0625, 2.0005, 1.9995, 12345.0625, 0.9999999, -1.2345, 1 / 3, 0.0375,
+          *(i / 16 / 7 for i in range(200)), *(i / 8000 for i in range(400)), *rng.uniform(0, 50, 200).tolist()]
+    df = spark.createDataFrame([(x,) for x in xs], "x double")
+    got = [r[0] for r in df.select(three_decimals(F.col("x"))).collect()]
+    assert got == [f"{x:.3f}" for x in xs]
