@@ -4,14 +4,16 @@ A document is the set of its distinct word shingles (64-bit hashes). Equal
 sets are one representative. Independent trees look for similar ones: the root
 and every large node choose two minwise coordinates, and a representative goes
 to the child of its value at each; nodes with one member end, small nodes are
-compared exhaustively by their signatures, and nodes that stay large at the
-last level are taken as one candidate group. A pair of similarity 0.8 misses a
+compared exhaustively by their signatures, and large nodes that branching no
+longer splits (they keep half of their parent, or it is the last level) are
+taken as one candidate group. A pair of similarity 0.8 misses a
 tree with probability ``miss(DEPTH)``; ``trees_for`` repeats independent trees
 until the chance to miss it in all is below ``TARGET_MISS``.
 
 Candidate links only decide which representatives meet. Each connected
 candidate group is then linked exactly on full sets, in blocks of bounded
-size; of the confirmed links a spanning forest leaves a task, never all pairs.
+size; a task sends every member's link to the least member of its class (a
+star, so later rounds are few), never all pairs.
 Groups beyond one block share some of their members with every block, and the
 members outside the largest class so far are then compared, in blocks, with
 the whole group, so no link is lost.
@@ -29,6 +31,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -54,7 +57,8 @@ LEAF = 64
 # Equal coordinates that make a candidate: a pair of similarity 0.8 falls
 # short with probability 2e-6.
 MIN_EQUAL = 82
-BLOCK = 1024
+# Members and bytes of full sets that one task compares.
+BLOCK, BLOCK_BYTES = 1024, 16 << 20
 SHARED_MEMBERS = 8
 
 _RNG = np.random.default_rng(20240)
@@ -184,9 +188,17 @@ class Forest:
         self.parent[max(i, j)] = min(i, j)
         return i != j
 
+    def stars(self, keys: list[int]) -> list[tuple[int, int]]:
+        """(key, least key of its class) of all other members."""
+        least: dict[int, int] = {}
+        for i, key in enumerate(keys):
+            r = self.find(i)
+            least[r] = min(least.get(r, key), key)
+        return [(key, least[self.find(i)]) for i, key in enumerate(keys) if least[self.find(i)] != key]
+
 
 def _compare_leaves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Small nodes exhaustively: a forest of the pairs with enough equal coordinates."""
+    """Small nodes exhaustively: stars of the pairs with enough equal coordinates."""
     for node, key, raw in _by_node(batches, ["node"]):
         node, key = node.to_numpy(), key.to_numpy()
         sig = np.frombuffer(b"".join(raw.to_pylist()), np.uint8).reshape(-1, COORDINATES)
@@ -200,55 +212,58 @@ def _compare_leaves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
             for i in range(size - 1):
                 equal = (mine[i + 1:] == mine[i]).sum(axis=1)
                 for j in np.flatnonzero(equal >= MIN_EQUAL).tolist():
-                    if forest.union(i, i + 1 + j):
-                        a.append(int(key[start + i])), b.append(int(key[start + i + 1 + j]))
+                    forest.union(i, i + 1 + j)
+            for x, least in forest.stars(key[start:start + size].tolist()):
+                a.append(x), b.append(least)
         yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
 
 def _branch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Members of large nodes to the children by two more coordinates."""
     for batch in batches:
-        node, key = batch.column("node").to_numpy(), batch.column("key").to_numpy()
-        sig = np.frombuffer(b"".join(batch.column("signature").to_pylist()), np.uint8).reshape(-1, COORDINATES)
+        node, raw = batch.column("node").to_numpy(), batch.column("signature")
+        sig = np.frombuffer(b"".join(raw.to_pylist()), np.uint8).reshape(-1, COORDINATES)
         pick = mix(node.astype(np.uint64))
         first = pick % np.uint64(COORDINATES)
         second = (first + np.uint64(1) + (pick >> np.uint64(32)) % np.uint64(COORDINATES - 1)) % np.uint64(COORDINATES)
         row = np.arange(len(node))
-        child = [_node(node, c, sig[row, c.astype(np.int64)]) for c in (first, second)]
-        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(child)), pa.array(np.concatenate([key, key]))],
-                                         names=["node", "key"])
+        for c in (first, second):
+            child = _node(node, c, sig[row, c.astype(np.int64)])
+            yield pa.RecordBatch.from_arrays([pa.array(child), batch.column("key"), raw, batch.column("n")],
+                                             names=["node", "key", "signature", "parent"])
 
 
 def candidate_links(reps: DataFrame) -> DataFrame:
     """Links (a, b) such that similar representatives are connected."""
     spark = reps.sparkSession
-    rows = reps.select(F.explode("nodes").alias("node"), "key")
-    signatures = reps.select("key", "signature")
-    links = []
+    shape = "node bigint, key bigint, signature binary, parent bigint"
+    rows = reps.select(F.explode("nodes").alias("node"), "key", F.lit(None).cast("bigint").alias("parent"))
+    leaves, stars = [], []
     for depth in range(1, DEPTH + 1):
-        sizes = staged(spark, rows.groupBy("node").agg(F.count("*").alias("n"), F.min("key").alias("least"))
-                       .filter("n > 1"), "tree-nodes")
-        rows = staged(spark, rows.join(sizes, "node"), "tree-rows")
-        leaves = rows.filter(F.col("n") <= LEAF).select("node", "key").join(signatures, "key")
-        links.append(staged(spark, leaves.select("node", "key", "signature").repartition("node")
-                            .sortWithinPartitions("node").mapInArrow(_compare_leaves, "a bigint, b bigint"), "leaf-links"))
-        large = rows.filter(F.col("n") > LEAF)
+        sizes = staged(spark, rows.groupBy("node").agg(
+            F.count("*").alias("n"), F.min("key").alias("least"), F.max("parent").alias("_parent"))
+            .filter("n > 1"), "tree-nodes")
+        found = rows.join(sizes, "node")
+        if depth == 1:  # only now do the signatures travel, with members of shared nodes
+            found = found.join(reps.select("key", "signature"), "key")
+        # a large node that keeps half of its parent is one dense group
+        dense = (F.col("n") > LEAF) & (F.lit(depth == DEPTH) | F.coalesce(2 * F.col("n") >= F.col("_parent"), F.lit(False)))
+        found = staged(spark, found.select("node", "key", "signature", "n", "least", dense.alias("dense")), "tree-rows")
+        leaves.append(found.filter(F.col("n") <= LEAF).select("node", "key", "signature"))
+        stars.append(found.filter("dense").select(F.col("key").alias("a"), F.col("least").alias("b")))
+        large = found.filter((F.col("n") > LEAF) & ~F.col("dense"))
         if large.isEmpty():
             break
-        if depth == DEPTH:
-            links.append(large.select(F.col("key").alias("a"), F.col("least").alias("b")))
-        else:
-            rows = (large.select("node", "key").join(signatures, "key").select("node", "key", "signature")
-                    .mapInArrow(_branch, "node bigint, key bigint"))
-    out = links[0]
-    for more in links[1:]:
-        out = out.unionByName(more)
-    return out
+        rows = staged(spark, large.select("node", "key", "signature", "n").mapInArrow(_branch, shape), "tree-branches")
+    small = reduce(DataFrame.unionByName, leaves)
+    links = (small.repartition("node").sortWithinPartitions("node")
+             .mapInArrow(_compare_leaves, "a bigint, b bigint"))
+    return reduce(DataFrame.unionByName, stars, links)
 
 
 def exact_links(keys: list[int], sets: list[np.ndarray], labels: list[int], asks: list[bool]) -> list[tuple[int, int]]:
-    """A spanning forest of the links of full sets between different labels,
-    over the pairs of which one asks."""
+    """Links of full sets, compared where the labels differ and one asks: as
+    stars over one key of each label that is linked with another."""
     n = len(keys)
     size = np.array([len(s) for s in sets], np.int64)
     ends = np.concatenate([[0], np.cumsum(size)])
@@ -257,11 +272,9 @@ def exact_links(keys: list[int], sets: list[np.ndarray], labels: list[int], asks
     forest, first = Forest(n), {}
     for i, label in enumerate(labels):
         forest.union(first.setdefault(label, i), i)
-    out = []
     order = sorted(range(n), key=lambda i: not asks[i])  # those that ask first
-    asking = sum(asks)
     place = np.array(order)
-    for at, i in enumerate(order[:asking]):
+    for at, i in enumerate(order[:sum(asks)]):
         later = place[at + 1:]
         fits = later[100 * np.minimum(size[later], size[i]) >= PERCENT * np.maximum(size[later], size[i])]
         mine = forest.find(i)
@@ -272,13 +285,17 @@ def exact_links(keys: list[int], sets: list[np.ndarray], labels: list[int], asks
         mark[token[ends[i]:ends[i + 1]]] = False
         common = hits[ends[fits + 1]] - hits[ends[fits]]
         for j in fits[100 * common >= PERCENT * (size[i] + size[fits] - common)].tolist():
-            if forest.union(i, j):
-                out.append((keys[i], keys[j]))
-    return out
+            forest.union(i, j)
+    reps = list(first.values())
+    merged = Forest(len(reps))
+    root = {}
+    for r, i in enumerate(reps):
+        merged.union(root.setdefault(forest.find(i), r), r)
+    return merged.stars([keys[i] for i in reps])
 
 
 def _link_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Blocks (rows sorted by group and block): a forest of the exact links."""
+    """Blocks (rows sorted by group and block): stars of the exact links."""
     for group, block, key, label, ask, raw in _by_node(batches, ["group", "block"]):
         group, block = group.to_numpy(), block.to_numpy()
         starts = np.flatnonzero(np.concatenate([[True], (group[1:] != group[:-1]) | (block[1:] != block[:-1])]))
@@ -294,66 +311,66 @@ def _link_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
 
-def _full_sets(docs: DataFrame, members: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
-    """The members (id, TEXT_HASH, further columns) with their full sets."""
-    more = [f for f in members.schema.fields if f.name not in ("__id__", "__hash__")]
-    schema = T.StructType([*more, T.StructField("shingles", T.BinaryType())])
+def full_sets(docs: DataFrame, members: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
+    """(key, group, shingles) of the members, on shared files. ``members``:
+    (__id__, __hash__, key, group). The texts are shuffled to the members once
+    (a merge join at every size: members grow with the corpus)."""
+    schema = T.StructType([T.StructField("key", T.LongType()), T.StructField("group", T.LongType()),
+                           T.StructField("shingles", T.BinaryType())])
     texts = docs.select(id_col, F.col(text_col).alias("__text__"), text_hash(text_col).alias(TEXT_HASH))
-    rows = texts.join(members, F.col(id_col).eqNullSafe(F.col("__id__")) & (F.col(TEXT_HASH) == F.col("__hash__")))
+    rows = texts.join(members.hint("merge"), F.col(id_col).eqNullSafe(F.col("__id__"))
+                      & (F.col(TEXT_HASH) == F.col("__hash__")))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_slices(batches, "__text__"):
             sets = shingle_sets(strings(batch.column("__text__")), shingle)
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(f.name) for f in more), pa.array([s.tobytes() for s in sets], pa.binary())],
+                [batch.column("key"), batch.column("group"), pa.array([s.tobytes() for s in sets], pa.binary())],
                 names=schema.names)
 
-    return rows.select(*(f.name for f in more), "__text__").mapInArrow(read, schema)
+    return staged(docs.sparkSession, rows.select("key", "group", "__text__").mapInArrow(read, schema), "full-sets")
 
 
-def confirmed_links(docs: DataFrame, members: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
-    """Links of full sets within the candidate groups. ``members``: (__id__,
-    __hash__, key, group), staged."""
-    spark = docs.sparkSession
-    link = "a bigint, b bigint"
-    shape = ["group", "block", "key", "label", "ask", "shingles"]
-    sizes = staged(spark, members.groupBy("group").agg(F.count("*").alias("n")), "group-sizes")
-    sized = staged(spark, members.join(sizes, "group")
-                   .withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int")), "groups")
+def confirmed_links(sets: DataFrame) -> DataFrame:
+    """Links of full sets within the candidate groups."""
+    spark = sets.sparkSession
+    link, shape = "a bigint, b bigint", ["group", "block", "key", "label", "ask", "shingles"]
+
+    def linked(rows: DataFrame, name: str) -> DataFrame:
+        return staged(spark, rows.select(*shape).repartition("group", "block").sortWithinPartitions("group", "block")
+                      .mapInArrow(_link_blocks, link), name)
+
+    sizes = staged(spark, sets.groupBy("group").agg(F.count("*").alias("n"), F.sum(F.length("shingles")).alias("bytes")),
+                   "group-sizes")
+    blocks = sizes.select("group", "n", F.ceil(F.greatest(F.col("n") / BLOCK, F.col("bytes") / BLOCK_BYTES)).cast("int").alias("blocks"))
+    sized = sets.join(blocks, "group")
     everywhere = (F.col("blocks") > 1) & (F.pmod(F.xxhash64("key"), F.col("n")) < SHARED_MEMBERS)
-    own = F.pmod(F.xxhash64("key", F.lit(1)), F.col("blocks")).cast("int")
-    placed = (sized.withColumn("block", F.explode(F.when(everywhere, F.sequence(F.lit(0), F.col("blocks") - 1))
-                                                  .otherwise(F.array(own))))
-              .select("__id__", "__hash__", "key", "group", "block", F.col("key").alias("label"), F.lit(True).alias("ask")))
-    links = staged(spark, _full_sets(docs, placed, id_col, text_col, shingle).select(*shape)
-                   .repartition("group", "block").sortWithinPartitions("group", "block")
-                   .mapInArrow(_link_blocks, link), "block-links")
-    big = sized.filter("blocks > 1")
-    if big.isEmpty():
+    home = F.pmod(F.xxhash64("key", F.lit(1)), F.col("blocks")).cast("int")
+    links = linked(sized.withColumn("block", F.explode(
+        F.when(everywhere, F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.array(home))))
+        .withColumns({"label": F.col("key"), "ask": F.lit(True)}), "block-links")
+    if blocks.filter("blocks > 1").isEmpty():
         return links
     # groups of several blocks: whoever is outside the largest class asks all
-    of_big = links.join(big.select(F.col("key").alias("a")), "a", "left_semi")
-    root = connected(of_big).select(F.col("v").alias("key"), F.col("root").alias("label"))
-    labelled = staged(spark, big.join(root, "key", "left").withColumn("label", F.coalesce("label", "key")), "labels")
-    classes = labelled.groupBy("group", "label").agg(F.count("*").alias("c"))
-    main = classes.groupBy("group").agg(F.max_by("label", F.struct("c", "label")).alias("main"))
+    big = sized.filter("blocks > 1")
+    root = connected(links.join(big.select(F.col("key").alias("a")).distinct(), "a", "left_semi"))
+    labelled = staged(spark, big.select("key", "group", "blocks").join(root.withColumnRenamed("v", "key"), "key", "left")
+                      .select("key", "group", "blocks", F.coalesce("root", "key").alias("label")), "labels")
+    main = (labelled.groupBy("group", "label").agg(F.count("*").alias("c")).groupBy("group")
+            .agg(F.max_by("label", F.struct("c", "label")).alias("main")))
     asking = staged(spark, labelled.join(main, "group").withColumn("ask", F.col("label") != F.col("main")), "asking")
     asks = asking.filter("ask").groupBy("group").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("rounds"))
     if asks.isEmpty():
         return links
     # block of asking members x block of all members
+    rows = asking.join(asks, "group").drop("group").join(sets, "key").withColumn("home", home)
+    targets = rows.withColumn("r", F.explode(F.sequence(F.lit(0), F.col("rounds") - 1))).select(
+        "group", (F.col("r") * F.col("blocks") + F.col("home")).alias("block"), "key", "label",
+        F.lit(False).alias("ask"), "shingles")
     part = F.pmod(F.xxhash64("key", F.lit(2)), F.col("rounds")).cast("int")
-    home = F.pmod(F.xxhash64("key", F.lit(1)), F.col("blocks")).cast("int")
-    rows = asking.join(asks, "group").withColumn("part", part).withColumn("home", home)
-    columns = ["__id__", "__hash__", "key", "group", "block", "label", "ask"]
-    targets = (rows.withColumn("r", F.explode(F.sequence(F.lit(0), F.col("rounds") - 1)))
-               .withColumn("block", F.col("r") * F.col("blocks") + F.col("home")).withColumn("ask", F.lit(False)))
-    askers = (rows.filter("ask").withColumn("h", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-              .withColumn("block", F.col("part") * F.col("blocks") + F.col("h")))
-    again = _full_sets(docs, targets.select(columns).unionByName(askers.select(columns)), id_col, text_col, shingle)
-    more = staged(spark, again.select(*shape).repartition("group", "block").sortWithinPartitions("group", "block")
-                  .mapInArrow(_link_blocks, link), "rest-links")
-    return links.unionByName(more)
+    askers = rows.filter("ask").withColumn("h", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+        "group", (part * F.col("blocks") + F.col("h")).alias("block"), "key", "label", "ask", "shingles")
+    return links.unionByName(linked(targets.unionByName(askers), "rest-links"))
 
 
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -367,7 +384,7 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     groups = connected(candidate_links(reps)).select(F.col("v").alias("key"), F.col("root").alias("group"))
     members = staged(spark, rows.select(F.col(id_col).alias("__id__"), F.col(TEXT_HASH).alias("__hash__"), "key")
                      .join(groups, "key"), "members")
-    root = connected(confirmed_links(docs, members, id_col, text_col, shingle))
+    root = connected(confirmed_links(full_sets(docs, members, id_col, text_col, shingle)))
     rooted = staged(spark, reps.join(root, F.col("key") == F.col("v"), "left").select(
         "set_id", "rep_id", F.coalesce("root", "key").alias("root")), "rooted")
     least = staged(spark, rooted.groupBy("root").agg(F.min("rep_id").alias("component_id")), "least")

@@ -357,6 +357,8 @@ def test_trees_reach_the_target():
 
 def test_exact_links_asks():
     sets = [np.arange(10, dtype=np.uint64), np.arange(1, 11, dtype=np.uint64), np.arange(2, 12, dtype=np.uint64)]
-    assert near_dedup.exact_links([7, 8, 9], sets, [0, 1, 2], [True] * 3) == [(7, 8), (8, 9)]
+    assert near_dedup.exact_links([7, 8, 9], sets, [0, 1, 2], [True] * 3) == [(8, 7), (9, 7)]
     assert near_dedup.exact_links([7, 8, 9], sets, [0, 1, 1], [False, True, False]) == [(8, 7)]
     assert near_dedup.exact_links([7, 8, 9], sets, [0, 0, 0], [True] * 3) == []
+    # 7 and 9 alone are too far apart, and no one asks for 8
+    assert near_dedup.exact_links([7, 8, 9], sets, [0, 1, 2], [False, False, False]) == []
