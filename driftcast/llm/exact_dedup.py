@@ -166,10 +166,10 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     places = chain_texts(docs, directory, partitions, text_col)
     first = F.struct((-F.col("n_chars")).alias("n"), F.col(id_col).isNull().alias("missing"),
                      F.col(id_col).alias("id"), F.col("entry").alias("entry"))
-    groups = (entries.groupBy("digest").agg(F.min(first).alias("first"), F.count("*").alias("group_size"))
-              .join(places, "digest")
-              .select("digest", "bucket", "place", "group_size", F.col("first.id").alias("keep_id"),
-                      F.col("first.entry").alias("keep_entry")))
+    groups = staged(spark, entries.groupBy("digest").agg(F.min(first).alias("first"), F.count("*").alias("group_size"))
+                    .join(places, "digest")
+                    .select("digest", "bucket", "place", "group_size", F.col("first.id").alias("keep_id"),
+                            F.col("first.entry").alias("keep_entry")), "index-groups")
     return entries.join(groups, "digest").select(
         F.col(id_col), "keep_id", "group_size", (F.col("entry") == F.col("keep_entry")).alias("kept"),
         F.lower(F.hex("digest")).alias("text_sha256"), "bucket", "place", TEXT_HASH)
