@@ -5,7 +5,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from driftcast.functions.columns import month_period, rebase_year, treatment_flags, yes_no
@@ -114,59 +114,85 @@ def region_active_days(act: DataFrame, bridge: DataFrame, dedupe: bool = True) -
     return r.distinct() if dedupe else r
 
 
+WORDS = 6  # 64-bit words that hold a year's days
+
+
+def _period_word(first: Column, last: Column, word: int) -> Column:
+    """Bits of a period's days (counted from January 1) in one word."""
+    lo, hi = F.greatest(first - 64 * word, F.lit(0)), F.least(last - 64 * word, F.lit(63))
+    ones = F.lit(-1).cast("long")
+    bits = F.call_function("shiftrightunsigned", ones, 63 - hi).bitwiseAND(F.call_function("shiftleft", ones, lo))
+    return F.when(lo <= hi, bits).otherwise(F.lit(0).cast("long"))
+
+
+def day_is_active(days: str, annee: int) -> Column:
+    """Whether the bit of column ``date`` is set in a year's mask; a day
+    outside the year, or no mask, is not active."""
+    place = F.datediff("date", F.lit(dt.date(annee, 1, 1)))
+    word = F.get(days, F.floor(place / 64).cast("int"))
+    bit = F.call_function("shiftright", word, F.pmod(place, F.lit(64))).bitwiseAND(F.lit(1).cast("long"))
+    return F.coalesce(bit == 1, F.lit(False))
+
+
 def calendar_lookup(cal: DataFrame, bridge: DataFrame, annee: int, fallback: str = "quirk") -> DataFrame:
     """One row per (departement, region, culture) of the bridge pairs:
     ``nb_<cfg>`` = departement denominator, else regional mean (R3), and
-    ``<cfg>_days`` = mask of the year's days on which the departement or its
-    region is active (R2/R3). The departement flag is only ever true or null,
-    so ``coalesce(dep, reg)`` of the reference equals this OR (quirk Q1 kept);
-    with ``fallback="absent_only"`` the region stands in only for a
-    departement without any period of that culture. ``reg_key`` replaces a
-    null region by '' so the key can be joined with plain equality.
-
-    Active days are gathered as sets (at most 366 per configuration and
-    group, pre-aggregated), so the size follows departements × crops, not
-    periods, communes or days."""
+    ``<cfg>_days`` = the year's days on which the departement or its region is
+    active (R2/R3), as an array of 64-bit words. The departement flag is only
+    ever true or null, so ``coalesce(dep, reg)`` of the reference equals this
+    OR (quirk Q1 kept); with ``fallback="absent_only"`` the region stands in
+    only for a departement without any period of that culture. ``reg_key``
+    replaces a null region by '' so the key can be joined with plain equality.
+
+    A period's days are set by arithmetic and periods OR-ed in the aggregate
+    that also counts them: nothing is exploded, and the size follows
+    departements × crops, not periods, communes or days. Periods with start >
+    end (year-crossing after rebasing, quirk Q4) are never active."""
     names = [(cfg, nb) for cfg, *_, nb in CONFIGS]
-    days = active_days(cal).groupBy("departement_code", "culture").agg(
-        *[F.collect_set(F.when(F.col("cfg") == cfg, F.col("date"))).alias(f"d_{cfg}") for cfg, _ in names])
-    dep = denominators(cal).join(days, ["departement_code", "culture"], "left")
+    jan1 = F.lit(dt.date(annee, 1, 1))
+    first, last = F.datediff("debut_de_periode", jan1), F.datediff("fin_de_periode", jan1)
+    words = {f"d_{cfg}_{w}": (cfg, w) for cfg, _ in names for w in range(WORDS)}
+    dep = cal.groupBy("departement_code", "culture").agg(
+        F.count(F.lit(1)).alias("nb_periodes_total"),
+        F.count_if(F.col("fongicides") | F.col("insecticides")).alias("nb_periodes_fongi_insecti"),
+        F.count_if(F.col("herbicides")).alias("nb_periodes_herbicides"),
+        *[F.bit_or(F.when(config_filter(cfg), _period_word(first, last, w))).alias(c) for c, (cfg, w) in words.items()])
     of_dep = bridge.join(dep, bridge.code_insee_dep == dep.departement_code, "inner")
     of_reg = of_dep.where(F.col("code_insee_reg").isNotNull()).groupBy("code_insee_reg", "culture").agg(
-        *[F.avg(nb).alias(f"r_{cfg}") for cfg, nb in names],
-        *[F.array_distinct(F.flatten(F.collect_list(f"d_{cfg}"))).alias(f"rd_{cfg}") for cfg, _ in names])
-    null_days = F.lit(None).cast("array<date>")
+        *[F.avg(nb).alias(f"r_{cfg}") for cfg, nb in names], *[F.bit_or(c).alias(f"r{c}") for c in words])
     own = of_dep.select("code_insee_dep", "code_insee_reg", "culture", F.lit(True).alias("own"),
-                        *[F.col(nb).cast("double").alias(f"n_{cfg}") for cfg, nb in names],
-                        *[F.col(f"d_{cfg}") for cfg, _ in names],
-                        *[F.lit(None).cast("double").alias(f"r_{cfg}") for cfg, _ in names],
-                        *[null_days.alias(f"rd_{cfg}") for cfg, _ in names])
+                        *[F.col(nb).cast("double").alias(f"n_{cfg}") for cfg, nb in names], *words)
     of_region = bridge.join(of_reg, "code_insee_reg").select(
         "code_insee_dep", "code_insee_reg", "culture", F.lit(False).alias("own"),
-        *[F.lit(None).cast("double").alias(f"n_{cfg}") for cfg, _ in names],
-        *[null_days.alias(f"d_{cfg}") for cfg, _ in names],
-        *[F.col(f"r_{cfg}") for cfg, _ in names], *[F.col(f"rd_{cfg}") for cfg, _ in names])
-    both = own.unionByName(of_region).groupBy(
+        *[f"r_{cfg}" for cfg, _ in names], *[f"r{c}" for c in words])
+    both = own.unionByName(of_region, allowMissingColumns=True).groupBy(
         "code_insee_dep", F.coalesce(F.col("code_insee_reg"), F.lit("")).alias("reg_key"), "culture").agg(
-        F.max("own").alias("own"),
-        *[F.max(c).alias(c) for cfg, _ in names for c in (f"n_{cfg}", f"r_{cfg}")],
-        *[F.first(c, ignorenulls=True).alias(c) for cfg, _ in names for c in (f"d_{cfg}", f"rd_{cfg}")])
-    start = dt.date(annee, 1, 1)
-    year = F.sequence(F.lit(start), F.lit(dt.date(annee, 12, 31)))
+        F.max("own").alias("own"), *[F.max(c).alias(c) for cfg, _ in names for c in (f"n_{cfg}", f"r_{cfg}")],
+        *[F.bit_or(c).alias(c) for w in words for c in (w, f"r{w}")])
+    none = F.lit(0).cast("long")
 
     def mask(cfg: str):
-        region = F.col(f"rd_{cfg}")
-        if fallback == "absent_only":
-            region = F.when(~F.col("own"), region)
-        none = F.array().cast("array<date>")
-        active = F.array_union(F.coalesce(F.col(f"d_{cfg}"), none), F.coalesce(region, none))
-        return F.when(F.size(active) > 0, F.transform(year, lambda d: F.array_contains(active, d)))
+        out = []
+        for w in range(WORDS):
+            region = F.coalesce(F.col(f"rd_{cfg}_{w}"), none)
+            if fallback == "absent_only":
+                region = F.when(F.col("own"), none).otherwise(region)
+            out.append(F.coalesce(F.col(f"d_{cfg}_{w}"), none).bitwiseOR(region))
+        return F.array(*out)
 
     return both.select("code_insee_dep", "reg_key", "culture",
                        *[F.coalesce(f"n_{cfg}", f"r_{cfg}").alias(f"nb_{cfg}") for cfg, _ in names],
                        *[mask(cfg).alias(f"{cfg}_days") for cfg, _ in names])
 
 
+def lookup_by_departement(lookup: DataFrame) -> DataFrame:
+    """The lookup as one row per (departement, region): a map from culture
+    (bounded by the crop names) to its denominators and masks."""
+    values = F.struct(*[c for cfg, *_ in CONFIGS for c in (f"nb_{cfg}", f"{cfg}_days")])
+    return lookup.where(F.col("culture").isNotNull()).groupBy("code_insee_dep", "reg_key").agg(
+        F.map_from_entries(F.collect_list(F.struct("culture", values))).alias("crops"))
+
+
 def build_calendar(sheet: DataFrame, annee: int, idf: DataFrame | None = None) -> DataFrame:
     """Main sheet ("Oui"/"Non" flags, dates moved to ``annee``) plus the
     Île-de-France month table when present (B8 flags from free text, B9

@@ -4,14 +4,14 @@ The reference walks the year one day at a time (365 × 3 configurations ×
 4 joins). Here the year is one logical plan:
 
 1. calendar lookup: one row per (departement, region, crop) with the R1/R3
-   denominators and, per configuration, the year's active days as a mask of
-   booleans (departement or region fallback already folded in);
+   denominators and, per configuration, the year's active days as bits
+   (departement or region fallback already folded in);
 2. commune side (small, day-independent): IFT rows, mapped crops, the lookup
-   joined once per configuration, the fixed part of R4 and the R5
+   joined once per departement, the fixed part of R4 and the R5
    de-duplication flags; hash-partitioned once on ``insee_com``;
 3. spine: every commune exploded to its days (narrow, keeps the commune
    partitioning, so the big side is never shuffled); activity is one array
-   access per day, no join;
+   access and a bit test per day, no join;
 4. weather: indicator computed on the weather rows, joined on
    (commune, day) co-partitioned with the spine; days without any weather
    row are neutral (E4) through a broadcast of at most 366 covered days;
@@ -32,7 +32,8 @@ from pyspark.sql import functions as F
 from driftcast.config import DEFAULT_THRESHOLDS, REGION_CODES, Thresholds
 from driftcast.functions.columns import (days_in_year, level_0_4, map_crop, safe_divide,
                                          weather_indicator_cols, year_spine)
-from driftcast.operators.calendar import CONFIGS, calendar_lookup, denominators, dep_region_bridge, rebase_calendar
+from driftcast.operators.calendar import (CONFIGS, calendar_lookup, day_is_active, denominators, dep_region_bridge,
+                                          lookup_by_departement, rebase_calendar)
 from driftcast.operators.sizing import bounded_broadcast
 from driftcast.session import shared_path
 
@@ -99,20 +100,20 @@ def commune_base(inp: RiskInputs) -> DataFrame:
     used on active days, and ``<cfg>_days``, the mask of active days of the
     year (null: never active).
     """
-    lookup = calendar_lookup(inp.cal, dep_region_bridge(inp.ift), inp.annee, inp.fallback)
+    lookup = lookup_by_departement(calendar_lookup(inp.cal, dep_region_bridge(inp.ift), inp.annee, inp.fallback)).select(
+        F.col("code_insee_dep").alias("_dep"), F.col("reg_key").alias("_reg"), "crops")
     df = inp.ift.withColumn("reg_key", F.coalesce(F.col("code_insee_reg"), F.lit("")))
+    df = df.join(lookup, (F.col("code_insee_dep") == F.col("_dep")) & (F.col("reg_key") == F.col("_reg")), "left")
     for cfg, cul, ift_col, _ in CONFIGS:
-        side = lookup.select(F.col("code_insee_dep").alias("_dep"), F.col("reg_key").alias("_reg"),
-                             F.col("culture").alias("_cul"), F.col(f"nb_{cfg}"), F.col(f"{cfg}_days"))
-        df = df.join(side, (F.col("code_insee_dep") == F.col("_dep")) & (F.col("reg_key") == F.col("_reg"))
-                     & (F.col(cul) == F.col("_cul")), "left").drop("_dep", "_reg", "_cul")
+        found = F.try_element_at("crops", F.col(cul))
+        df = df.withColumns({f"nb_{cfg}": found[f"nb_{cfg}"], f"{cfg}_days": found[f"{cfg}_days"]})
         nb, ift = F.col(f"nb_{cfg}"), F.col(ift_col)
         df = df.select(
             "*", (nb.isNull() | ift.isNull()).alias(f"{cfg}_fixed"),
             F.when(ift.isNull() | (ift == 0), F.lit(0.0)).alias(f"{cfg}_fixval"),
             (safe_divide(ift, nb) if inp.zero_division == "ieee"
              else F.try_divide(ift, nb)).alias(f"{cfg}_ratio"))
-    return df.select(
+    return df.drop("_dep", "_reg", "crops").select(
         "*",
         F.coalesce(F.col("c_ift_hbc_cal") != F.col("c_maj_cal"), F.lit(True)).alias("hbc_different"),
         F.coalesce(F.col("c_ift_h_cal") != F.col("c_maj_cal"), F.lit(True)).alias("h_different"))
@@ -121,8 +122,7 @@ def commune_base(inp: RiskInputs) -> DataFrame:
 def daily_contributions(spine: DataFrame, annee: int) -> DataFrame:
     """Per commune-day, the three contributions (R4) and their total
     (R5); a day is looked up in the year's masks (outside it: not active)."""
-    place = F.datediff("date", F.lit(dt.date(annee, 1, 1)))
-    active = {cfg: F.coalesce(F.get(f"{cfg}_days", place), F.lit(False)) for cfg, *_ in CONFIGS}
+    active = {cfg: day_is_active(f"{cfg}_days", annee) for cfg, *_ in CONFIGS}
     contrib = {cfg: (F.when(F.col(f"{cfg}_fixed"), F.col(f"{cfg}_fixval"))
                      .when(active[cfg], F.col(f"{cfg}_ratio")).otherwise(F.lit(0.0)))
                for cfg, *_ in CONFIGS}

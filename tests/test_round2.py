@@ -88,7 +88,7 @@ def test_calendar_lookup_masks_and_fallback(spark):
         out = {}
         for r in calendar_lookup(cal, bridge, 2024, fallback).collect():
             out[r["code_insee_dep"], r["reg_key"]] = (r["nb_maj"], r["nb_h"], {
-                (d(2024, 1, 1) + dt.timedelta(i)).strftime("%m%d") for i, on in enumerate(r["h_days"] or []) if on})
+                (d(2024, 1, 1) + dt.timedelta(i)).strftime("%m%d") for i in range(366) if r["h_days"][i // 64] >> (i % 64) & 1})
         return out
 
     quirk, strict = days("quirk"), days("absent_only")
