@@ -117,12 +117,13 @@ def region_active_days(act: DataFrame, bridge: DataFrame, dedupe: bool = True) -
 WORDS = 6  # 64-bit words that hold a year's days
 
 
-def _period_word(first: Column, last: Column, word: int) -> Column:
-    """Bits of a period's days (counted from January 1) in one word."""
-    lo, hi = F.greatest(first - 64 * word, F.lit(0)), F.least(last - 64 * word, F.lit(63))
-    ones = F.lit(-1).cast("long")
-    bits = F.call_function("shiftrightunsigned", ones, 63 - hi).bitwiseAND(F.call_function("shiftleft", ones, lo))
-    return F.when(lo <= hi, bits).otherwise(F.lit(0).cast("long"))
+def _period_word(cfg: str, word: int) -> str:
+    """Bits of the days ``s`` to ``e`` (counted from January 1) of the periods
+    of a configuration in one word, OR-ed."""
+    treats = {"maj": "true", "hbc": "(fongicides OR insecticides)", "h": "herbicides"}[cfg]
+    lo, hi = f"greatest(s - {64 * word}, 0)", f"least(e - {64 * word}, 63)"
+    bits = f"if({lo} <= {hi}, shiftrightunsigned(-1L, 63 - {hi}) & shiftleft(-1L, {lo}), 0L)"
+    return f"bit_or(CASE WHEN {treats} THEN {bits} END) AS d_{cfg}_{word}"
 
 
 def day_is_active(days: str, annee: int) -> Column:
@@ -148,41 +149,35 @@ def calendar_lookup(cal: DataFrame, bridge: DataFrame, annee: int, fallback: str
     that also counts them: nothing is exploded, and the size follows
     departements × crops, not periods, communes or days. Periods with start >
     end (year-crossing after rebasing, quirk Q4) are never active."""
-    names = [(cfg, nb) for cfg, *_, nb in CONFIGS]
-    jan1 = F.lit(dt.date(annee, 1, 1))
-    first, last = F.datediff("debut_de_periode", jan1), F.datediff("fin_de_periode", jan1)
-    words = {f"d_{cfg}_{w}": (cfg, w) for cfg, _ in names for w in range(WORDS)}
-    dep = cal.groupBy("departement_code", "culture").agg(
-        F.count(F.lit(1)).alias("nb_periodes_total"),
-        F.count_if(F.col("fongicides") | F.col("insecticides")).alias("nb_periodes_fongi_insecti"),
-        F.count_if(F.col("herbicides")).alias("nb_periodes_herbicides"),
-        *[F.bit_or(F.when(config_filter(cfg), _period_word(first, last, w))).alias(c) for c, (cfg, w) in words.items()])
+    names = [cfg for cfg, *_ in CONFIGS]
+    words = [f"d_{cfg}_{w}" for cfg in names for w in range(WORDS)]
+    jan1 = f"date'{annee:04d}-01-01'"
+    # SQL text: one call per expression keeps building the plan cheap
+    dep = cal.selectExpr("departement_code", "culture", "herbicides", "fongicides", "insecticides",
+                         f"datediff(debut_de_periode, {jan1}) AS s", f"datediff(fin_de_periode, {jan1}) AS e")
+    dep = dep.groupBy("departement_code", "culture").agg(*map(F.expr, [
+        "count(1) AS nb_maj", "count_if(fongicides OR insecticides) AS nb_hbc", "count_if(herbicides) AS nb_h",
+        *[_period_word(cfg, w) for cfg in names for w in range(WORDS)]]))
     of_dep = bridge.join(dep, bridge.code_insee_dep == dep.departement_code, "inner")
-    of_reg = of_dep.where(F.col("code_insee_reg").isNotNull()).groupBy("code_insee_reg", "culture").agg(
-        *[F.avg(nb).alias(f"r_{cfg}") for cfg, nb in names], *[F.bit_or(c).alias(f"r{c}") for c in words])
-    own = of_dep.select("code_insee_dep", "code_insee_reg", "culture", F.lit(True).alias("own"),
-                        *[F.col(nb).cast("double").alias(f"n_{cfg}") for cfg, nb in names], *words)
-    of_region = bridge.join(of_reg, "code_insee_reg").select(
-        "code_insee_dep", "code_insee_reg", "culture", F.lit(False).alias("own"),
-        *[f"r_{cfg}" for cfg, _ in names], *[f"r{c}" for c in words])
+    of_reg = of_dep.where("code_insee_reg IS NOT NULL").groupBy("code_insee_reg", "culture").agg(*map(F.expr, [
+        *[f"avg(nb_{cfg}) AS r_{cfg}" for cfg in names], *[f"bit_or({c}) AS r{c}" for c in words]]))
+    own = of_dep.selectExpr("code_insee_dep", "code_insee_reg", "culture", "true AS own",
+                            *[f"CAST(nb_{cfg} AS DOUBLE) AS n_{cfg}" for cfg in names], *words)
+    of_region = bridge.join(of_reg, "code_insee_reg").selectExpr(
+        "code_insee_dep", "code_insee_reg", "culture", "false AS own",
+        *[f"r_{cfg}" for cfg in names], *[f"r{c}" for c in words])
     both = own.unionByName(of_region, allowMissingColumns=True).groupBy(
-        "code_insee_dep", F.coalesce(F.col("code_insee_reg"), F.lit("")).alias("reg_key"), "culture").agg(
-        F.max("own").alias("own"), *[F.max(c).alias(c) for cfg, _ in names for c in (f"n_{cfg}", f"r_{cfg}")],
-        *[F.bit_or(c).alias(c) for w in words for c in (w, f"r{w}")])
-    none = F.lit(0).cast("long")
-
-    def mask(cfg: str):
-        out = []
-        for w in range(WORDS):
-            region = F.coalesce(F.col(f"rd_{cfg}_{w}"), none)
-            if fallback == "absent_only":
-                region = F.when(F.col("own"), none).otherwise(region)
-            out.append(F.coalesce(F.col(f"d_{cfg}_{w}"), none).bitwiseOR(region))
-        return F.array(*out)
-
-    return both.select("code_insee_dep", "reg_key", "culture",
-                       *[F.coalesce(f"n_{cfg}", f"r_{cfg}").alias(f"nb_{cfg}") for cfg, _ in names],
-                       *[mask(cfg).alias(f"{cfg}_days") for cfg, _ in names])
+        "code_insee_dep", F.expr("coalesce(code_insee_reg, '') AS reg_key"), "culture").agg(*map(F.expr, [
+            "max(own) AS own", *[f"max({c}_{cfg}) AS {c}_{cfg}" for cfg in names for c in ("n", "r")],
+            *[f"bit_or({c}) AS {c}" for w in words for c in (w, f"r{w}")]]))
+
+    def mask(cfg: str) -> str:
+        region = "if(own, 0L, coalesce({}, 0L))" if fallback == "absent_only" else "coalesce({}, 0L)"
+        parts = [f"coalesce(d_{cfg}_{w}, 0L) | {region.format(f'rd_{cfg}_{w}')}" for w in range(WORDS)]
+        return f"array({', '.join(parts)}) AS {cfg}_days"
+
+    return both.selectExpr("code_insee_dep", "reg_key", "culture",
+                           *[f"coalesce(n_{cfg}, r_{cfg}) AS nb_{cfg}" for cfg in names], *map(mask, names))
 
 
 def lookup_by_departement(lookup: DataFrame) -> DataFrame:

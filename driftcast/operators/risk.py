@@ -24,7 +24,7 @@ the covered days, which the calendar bounds.
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -55,6 +55,8 @@ class RiskInputs:
     fallback: str = "quirk"
     zero_division: str = "ieee"
     regional: bool = False  # ``ift`` holds one region: weather is cut to its communes
+    # the commune side as a plan, built once for all plans on these inputs
+    memo: dict = field(default_factory=dict, repr=False, compare=False)
 
 
 def check_region(region: str | None) -> str | None:
@@ -225,7 +227,9 @@ def risk_days(inp: RiskInputs, days: Column, d0: dt.date | Column | None = None,
     Spark applies after the scan."""
     if d0 is None:
         d0, d1 = F.array_min(days), F.array_max(days)
-    df = daily_contributions(spine(commune_base(inp), days, partitions), inp.annee)
+    if "base" not in inp.memo:
+        inp.memo["base"] = commune_base(inp)
+    df = daily_contributions(spine(inp.memo["base"], days, partitions), inp.annee)
     df = attach_weather(df, weather if weather is not None else inp.weather, d0, d1, th,
                         neutral_days=neutral_days, communes=inp.ift if inp.regional else None)
     return _finish(df, th.level_cuts)
