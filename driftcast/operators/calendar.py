@@ -119,11 +119,12 @@ WORDS = 6  # 64-bit words that hold a year's days
 
 def _period_word(cfg: str, word: int) -> str:
     """Bits of the days ``s`` to ``e`` (counted from January 1) of the periods
-    of a configuration in one word, OR-ed."""
+    of a configuration in one word, OR-ed. A null bound is never active:
+    ``s <= e`` drops it, as greatest and least would skip it."""
     treats = {"maj": "true", "hbc": "(fongicides OR insecticides)", "h": "herbicides"}[cfg]
     lo, hi = f"greatest(s - {64 * word}, 0)", f"least(e - {64 * word}, 63)"
     bits = f"if({lo} <= {hi}, shiftrightunsigned(-1L, 63 - {hi}) & shiftleft(-1L, {lo}), 0L)"
-    return f"bit_or(CASE WHEN {treats} THEN {bits} END) AS d_{cfg}_{word}"
+    return f"bit_or(CASE WHEN {treats} AND s <= e THEN {bits} END) AS d_{cfg}_{word}"
 
 
 def day_is_active(days: str, annee: int) -> Column:
@@ -148,7 +149,8 @@ def calendar_lookup(cal: DataFrame, bridge: DataFrame, annee: int, fallback: str
     A period's days are set by arithmetic and periods OR-ed in the aggregate
     that also counts them: nothing is exploded, and the size follows
     departements × crops, not periods, communes or days. Periods with start >
-    end (year-crossing after rebasing, quirk Q4) are never active."""
+    end (year-crossing after rebasing, quirk Q4) or a null bound are never
+    active; R1 counts them."""
     names = [cfg for cfg, *_ in CONFIGS]
     words = [f"d_{cfg}_{w}" for cfg in names for w in range(WORDS)]
     jan1 = f"date'{annee:04d}-01-01'"

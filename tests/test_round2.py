@@ -12,7 +12,8 @@ from driftcast.fixtures import fixture
 from driftcast.functions.aggs import exact_percentiles
 from driftcast.functions.columns import hover_day
 from driftcast.functions.geo import rings_area_centroid, rings_within
-from driftcast.operators.calendar import calendar_lookup, rebase_calendar
+from driftcast.operators.calendar import (
+    CONFIGS, calendar_lookup, denominators, distinct_active_days, rebase_calendar, region_active_days)
 from driftcast.operators.geo import nearest_point, parcels_of_commune
 from driftcast.operators.risk import load_inputs, risk_days, risk_year
 from driftcast.plans.risk_q import ANNEE, inputs
@@ -97,6 +98,34 @@ def test_calendar_lookup_masks_and_fallback(spark):
     assert quirk["3", "11"] == strict["3", "11"] == (2.0, 1.5, {"0301", "0302", "0303", "0501"})
 
 
+def test_calendar_lookup_null_bounds_are_never_active(spark):
+    d = dt.date
+    cal = rebase_calendar(spark.createDataFrame(
+        [("1", "Vigne", None, d(2024, 3, 3), True, True, False), ("2", "Vigne", d(2024, 6, 1), None, True, False, True),
+         ("3", "Vigne", None, None, True, True, True), ("4", "Vigne", d(2024, 2, 29), d(2024, 4, 9), True, True, False),
+         ("5", "Vigne", d(2024, 1, 30), d(2024, 2, 29), False, True, False),
+         ("6", "Vigne", None, d(2024, 5, 5), True, False, None), ("6", "Vigne", d(2024, 5, 4), d(2024, 7, 9), True, False, True),
+         ("7", "Ble", d(2024, 1, 1), d(2024, 12, 31), None, True, None)],
+        "departement_code string, culture string, debut_de_periode date, fin_de_periode date, herbicides boolean, "
+        "fongicides boolean, insecticides boolean"), 2023)
+    bridge = spark.createDataFrame([(str(i), "11" if i < 4 else "24") for i in range(1, 9)],
+                                   "code_insee_dep string, code_insee_reg string")
+    active = distinct_active_days(cal)
+    own = {(r["departement_code"], r["culture"], r["cfg"], r["date"]) for r in active.collect()}
+    region = {(r["code_insee_reg"], r["culture"], r["cfg"], r["date"]) for r in region_active_days(active, bridge).collect()}
+    counts = {(r["departement_code"], r["culture"]): r["nb_periodes_total"] for r in denominators(cal).collect()}
+    found = calendar_lookup(cal, bridge, 2023).collect()
+    assert own and len(found) == 3 + 2 * 5
+    for r in found:
+        dep, culture = r["code_insee_dep"], r["culture"]
+        assert (dep, culture) not in counts or r["nb_maj"] == counts[dep, culture]
+        for cfg, *_ in CONFIGS:
+            days = {d(2023, 1, 1) + dt.timedelta(i) for i in range(64 * 6) if r[f"{cfg}_days"][i // 64] >> (i % 64) & 1}
+            want = {day for k, c, f, day in own if (k, c, f) == (dep, culture, cfg)} | {
+                day for k, c, f, day in region if (k, c, f) == (r["reg_key"], culture, cfg)}
+            assert days == want, (dep, culture, cfg)
+
+
 def test_method_parameter(spark):
     inp = inputs(spark, SF_SMALL)
     with pytest.raises(ValueError, match="Valid methods"):
