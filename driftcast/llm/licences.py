@@ -10,7 +10,10 @@ paragraph passes it. A predicted paragraph is confirmed by comparison with its
 family's templates.
 
 Every paragraph (line with a word) of every document is scored, long ones in
-overlapping windows of words. One narrow scan, no shuffle.
+overlapping windows of words, and so are windows across the line ends of
+consecutive lines with a word, which hold notices that are wrapped over lines.
+Such a notice counts once, at the line that holds most of its template. One
+narrow scan, no shuffle.
 
 Defined cases: null or empty text has no paragraph; an empty table gives an
 empty result (the classifier is then trained on templates alone); repeated
@@ -38,28 +41,36 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
     "MIT": (
         "Released under the MIT License.", "Licensed under the MIT license.", "This project is MIT licensed.",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software",
-        "SPDX-License-Identifier: MIT"),
+        "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software."),
     "Apache-2.0": (
         "Licensed under the Apache License, Version 2.0.",
         "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance",
-        "This project is released under the Apache 2.0 license.", "SPDX-License-Identifier: Apache-2.0"),
+        "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an AS IS BASIS",
+        "This project is released under the Apache 2.0 license."),
     "GPL": (
         "This work is licensed under the GNU General Public License, version 3.",
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License",
-        "Released under the GPL v3.", "Licensed under the GNU GPL version 2 or later.", "SPDX-License-Identifier: GPL-3.0-or-later"),
+        "You should have received a copy of the GNU General Public License along with this program.",
+        "Released under the GPL v3.", "Licensed under the GNU GPL version 2 or later."),
     "LGPL": (
         "This library is licensed under the GNU Lesser General Public License, version 2.1.",
-        "Released under the LGPL v3.", "SPDX-License-Identifier: LGPL-2.1-only"),
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License",
+        "You should have received a copy of the GNU Lesser General Public License along with this library.",
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Library General Public License",
+        "Released under the LGPL v3.", "Licensed under the GNU LGPL version 2.1 or later."),
     "AGPL": (
         "Licensed under the GNU Affero General Public License, version 3.",
-        "Released under the AGPL v3.", "SPDX-License-Identifier: AGPL-3.0-only"),
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License",
+        "You should have received a copy of the GNU Affero General Public License along with this program.",
+        "Released under the AGPL v3.", "Licensed under the GNU AGPL version 3 or later."),
     "BSD": (
         "Released under the BSD License.", "Licensed under the 3-clause BSD license.",
         "Redistribution and use in source and binary forms, with or without modification, are permitted",
-        "SPDX-License-Identifier: BSD-3-Clause"),
+        "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer."),
     "MPL": (
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
-        "Released under the Mozilla Public License 2.0.", "SPDX-License-Identifier: MPL-2.0"),
+        "If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.",
+        "Released under the Mozilla Public License 2.0."),
     "CC-BY": (
         "Licensed under CC BY 4.0.", "This work is licensed under a Creative Commons Attribution 4.0 International License.",
         "Text is available under CC-BY 3.0."),
@@ -78,6 +89,26 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
         "No part of this publication may be reproduced without prior written permission of the publisher."),
 }
 FAMILIES = (UNKNOWN, *TEMPLATES)
+# SPDX identifiers by family, lower case; a later "+", "-only" or "-or-later" is dropped.
+SPDX: dict[str, tuple[str, ...]] = {
+    "MIT": ("mit", "mit-0"), "Apache-2.0": ("apache-2.0",), "GPL": ("gpl-1.0", "gpl-2.0", "gpl-3.0"),
+    "LGPL": ("lgpl-2.0", "lgpl-2.1", "lgpl-3.0"), "AGPL": ("agpl-1.0", "agpl-3.0"),
+    "BSD": ("0bsd", "bsd-1-clause", "bsd-2-clause", "bsd-3-clause", "bsd-4-clause"), "MPL": ("mpl-1.0", "mpl-1.1", "mpl-2.0"),
+    "CC-BY": tuple(f"cc-by-{v}" for v in ("1.0", "2.0", "2.5", "3.0", "4.0")),
+    "CC-BY-SA": tuple(f"cc-by-sa-{v}" for v in ("1.0", "2.0", "2.5", "3.0", "4.0")),
+    "CC-BY-NC": tuple(f"cc-by-nc{k}-{v}" for k in ("", "-sa", "-nd") for v in ("1.0", "2.0", "2.5", "3.0", "4.0")),
+    "CC0": ("cc0-1.0", "unlicense")}
+_SPDX_FAMILY = {i: family for family, ids in SPDX.items() for i in ids}
+# How a family names itself, where its text resembles that of a more or less
+# specific one: a text is of such a family only if it names it.
+_NAMED = {family: re.compile(name) for family, name in {
+    "GPL": r"gnu\s+general\s+public|\bgpl",
+    "LGPL": r"(?:lesser|library)\s+general\s+public|\blgpl",
+    "AGPL": r"affero|\bagpl",
+    "CC-BY": r"\bcc[\s-]+by(?![\s-]+(?:nc|sa|nd)\b)|attribution(?!\s*-?\s*(?:non|share|no))",
+    "CC-BY-SA": r"\bcc[\s-]+by-sa|attribution\s*-?\s*share",
+    "CC-BY-NC": r"\bcc[\s-]+by-nc|attribution\s*-?\s*non",
+}.items()}
 # Ordinary sentences near the subject.
 NEAR_MISSES = (
     "The driver showed a license at the counter.", "She reserved all the rooms for the week.",
@@ -95,6 +126,9 @@ MIN_PROBABILITY = 0.5
 # Share of a template's word pairs that a confirmed paragraph holds.
 MIN_CONTAINED = 0.6
 _EDGE = re.compile(r"[a-z0-9]+(?:[.-][a-z0-9]+)*")
+_NO_WORD = np.uint64(xxhash.xxh3_64_intdigest(b""))  # of a word of edge punctuation alone
+_SPDX_TAG = re.compile(r"spdx-license-identifier:\s*([^\n]*)")
+_SPDX_ID = re.compile(r"([a-z0-9.-]+?)(?:-only|-or-later)?\+?")
 
 
 def _feature_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -200,10 +234,27 @@ def contained(text: str, family: str) -> float:
     return max(len(mine & t) / len(t) for t in _TEMPLATE_PAIRS[family])
 
 
+def identified(text: str) -> list[str]:
+    """The families of the SPDX expression in a line."""
+    tag = _SPDX_TAG.search(text.lower())
+    out = []
+    for word in tag[1].replace("(", " ").replace(")", " ").split() if tag else ():
+        found = _SPDX_ID.fullmatch(word)
+        family = _SPDX_FAMILY.get(found[1]) if found else None
+        if family:
+            out.append(family)
+        elif word not in ("and", "or", "with") and (not found or "exception" not in word):
+            break  # the expression has ended
+    return list(dict.fromkeys(out))
+
+
 def confirmed(text: str, family: str, probability: np.ndarray) -> tuple[str, float]:
     """The family whose template the text holds best (the predicted one on
-    ties), if it holds enough of it."""
-    found = {f: contained(text, f) for f in TEMPLATES}
+    ties), if it holds enough of it. Of families with like texts only those
+    count that the text names, so the GNU GPL's template does not take a notice
+    of the LGPL or AGPL that holds most of its words."""
+    lower = text.lower()
+    found = {f: contained(text, f) if f not in _NAMED or _NAMED[f].search(lower) else 0.0 for f in TEMPLATES}
     best = max(TEMPLATES, key=lambda f: (found[f], f == family, probability[FAMILIES.index(f)]))
     return best, found[best]
 
@@ -230,7 +281,7 @@ def train(docs: DataFrame, text_col: str = "text") -> Classifier:
     filler = [w for line in plain[:500] for w in line.split()] or ["the", "of", "and"]
     texts, labels = [], []
     for family, templates in TEMPLATES.items():
-        for template in templates:
+        for template in [*templates, *(f"SPDX-License-Identifier: {i}" for i in SPDX.get(family, ()))]:
             for variant in range(VARIANTS):
                 mine = [w for w in template.split() if variant < 4 or rng.random() > 0.08]
                 around = [filler[i] for i in rng.integers(0, len(filler), int(rng.integers(0, WINDOW - 10)) if variant % 2 else 0)]
@@ -245,8 +296,10 @@ def train(docs: DataFrame, text_col: str = "text") -> Classifier:
     return Classifier().fit([texts[i] for i in order], np.array(labels)[order])
 
 
-def _paragraphs(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
-    """All lines with a word, the row of each, and its number there."""
+def _paragraphs(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """All lines with a word, the row of each, and its number there; and the
+    blocks of several such lines without a blank one between them: first line
+    and the line after the last."""
     lists = pc.split_pattern(texts, "\n")
     line = lists.flatten()
     at = lists.offsets.to_numpy().astype(np.int64)
@@ -255,7 +308,40 @@ def _paragraphs(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     filled = pc.match_substring_regex(line, r"[^\x20\x09-\x0D]").to_numpy(zero_copy_only=False)
     row = row[filled]
     number = np.arange(len(row)) - np.searchsorted(row, row)
-    return line.filter(pa.array(filled)), row, number
+    place = np.flatnonzero(filled)
+    first = np.flatnonzero((np.diff(place, prepend=-2) != 1) | (np.diff(row, prepend=-1) != 0))
+    last = np.append(first[1:], len(row))[:len(first)]
+    several = last - first > 1
+    return line.filter(pa.array(filled)), row, number, first[several], last[several]
+
+
+def _windows(begin: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The stretch, first word and end of the windows of stretches of words."""
+    windows = np.maximum(1, -(-(stop - begin - WINDOW) // STRIDE) + 1)
+    of = np.repeat(np.arange(len(begin)), windows)
+    start = begin[of] + STRIDE * (np.arange(len(of)) - np.repeat(np.cumsum(windows) - windows, windows))
+    return of, start, np.minimum(start + WINDOW, stop[of])
+
+
+def _place(mine: list[tuple[int, bytes]], family: str) -> int:
+    """The line of a window's (line, word) that holds most word pairs of the
+    family's templates (the first on ties)."""
+    lines: dict[int, list[bytes]] = {}
+    for n, word in mine:
+        lines.setdefault(n, []).append(word)
+    wanted = set().union(*_TEMPLATE_PAIRS[family])
+    return max(lines, key=lambda n: (len(_pairs(b" ".join(lines[n]).decode()) & wanted), -n))
+
+
+def _consecutive(found: list[tuple]) -> Iterator[list[tuple]]:
+    """Windows (by rising number) in runs of neighbours."""
+    run = found[:1]
+    for window in found[1:]:
+        if window[0] != run[-1][0] + 1:
+            yield run
+            run = []
+        run.append(window)
+    yield run
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -270,24 +356,54 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_slices(batches, text_col):
             texts = strings(batch.column(text_col))
-            line, row, number = _paragraphs(texts)
+            line, row, number, first, last = _paragraphs(texts)
             hits: dict[int, list[tuple[float, str, int]]] = {}
             if len(line):
                 word, at = _feature_words(line)
-                windows = np.maximum(1, -(-(np.diff(at) - WINDOW) // STRIDE) + 1)
-                of = np.repeat(np.arange(len(line)), windows)
-                start = at[:-1][of] + STRIDE * (np.arange(len(of)) - np.repeat(np.cumsum(windows) - windows, windows))
-                end = np.minimum(start + WINDOW, at[1:][of])
-                p = model.value.probabilities(word, start, end)
+                # windows of the lines, and of the blocks of several lines without comment marks
+                plain = np.flatnonzero(word != _NO_WORD)
+                of, start, end = _windows(at[:-1], at[1:])
+                block, from_, to = _windows(np.searchsorted(plain, at[first]), np.searchsorted(plain, at[last]))
+                p = np.concatenate([model.value.probabilities(word, start, end),
+                                    model.value.probabilities(word[plain], from_, to)])
                 family = p[:, 1:].argmax(axis=1) + 1
                 likely = np.flatnonzero((p.argmax(axis=1) > 0) & (p[np.arange(len(p)), family] >= model.value.threshold))
+                named: set[tuple[int, str]] = set()  # line, family
+                runs: dict[tuple[int, str], list[tuple[int, float, int, int, int]]] = {}
                 for i in likely.tolist():
-                    mine = line[int(of[i])].as_py().encode().split()
-                    first = int(start[i] - at[of[i]])
-                    text = b" ".join(mine[first:first + WINDOW]).decode()
-                    name, share = confirmed(text, FAMILIES[family[i]], p[i])
-                    if share >= MIN_CONTAINED:
-                        hits.setdefault(int(row[of[i]]), []).append((float(p[i, FAMILIES.index(name)]), name, int(number[of[i]])))
+                    k = i - len(of)
+                    place = np.arange(start[i], end[i]) if k < 0 else plain[from_[k]:to[k]]
+                    if not len(place):
+                        continue
+                    a, b = (int(np.searchsorted(at, x, side="right")) - 1 for x in (place[0], place[-1]))
+                    split = np.array([w for n in range(a, b + 1) for w in line[n].as_py().encode().split()], object)
+                    lines_of = np.searchsorted(at, place, side="right") - 1
+                    mine = list(zip(lines_of.tolist(), split[place - at[a]], strict=True))
+                    name, share = confirmed(b" ".join(w for _, w in mine).decode(), FAMILIES[family[i]], p[i])
+                    if share < MIN_CONTAINED:
+                        continue
+                    if k < 0:
+                        named.add((a, name))
+                        hits.setdefault(int(row[a]), []).append((float(p[i, FAMILIES.index(name)]), name, int(number[a])))
+                    else:
+                        runs.setdefault((int(block[k]), name), []).append((i, share, a, b, _place(mine, name)))
+                for (_, name), found in runs.items():
+                    for run in _consecutive(found):
+                        # lines that name the family by themselves are found already
+                        if not any((n, name) in named for _, _, a, b, _ in run for n in range(a, b + 1)):
+                            i, _, _, _, place = max(run, key=lambda r: (r[1], -r[0]))
+                            hits.setdefault(int(row[place]), []).append(
+                                (float(p[i, FAMILIES.index(name)]), name, int(number[place])))
+                tagged = np.flatnonzero(pc.match_substring(line, "spdx-license-identifier", ignore_case=True)
+                                        .to_numpy(zero_copy_only=False))
+                for n in tagged.tolist():
+                    mine = identified(line[n].as_py())
+                    known = [h for h in hits.get(int(row[n]), ()) if h[2] != number[n] or h[1] in mine or not mine]
+                    q = p[:len(of)][of == n].max(axis=0)
+                    known += [(float(q[FAMILIES.index(f)]), f, int(number[n])) for f in mine
+                              if not any(h[1:] == (f, number[n]) for h in known)]
+                    if known:
+                        hits[int(row[n])] = known
             count = np.bincount(row, minlength=len(texts))
             best = [max(hits[i], key=lambda h: (h[0], -h[2])) if i in hits else (None, None, None) for i in range(len(texts))]
             yield pa.RecordBatch.from_arrays(

@@ -311,6 +311,54 @@ def test_licenses_inside_long_paragraphs(spark):
     assert got == {0: "Apache-2.0", 1: "BSD", 2: None}
 
 
+NOTICES = {
+    "GPL": """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.""",
+    "LGPL": """This library is free software; you can redistribute it and/or
+modify it under the terms of the GNU Lesser General Public
+License as published by the Free Software Foundation; either
+version 2.1 of the License, or (at your option) any later version.""",
+    "AGPL": """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU Affero General Public License as published
+by the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.""",
+    "MIT": "Released under the\nMIT License.",
+    "Apache-2.0": """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at""",
+    "BSD": """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:""",
+    "MPL": """This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0. If a copy of the MPL was not distributed with this
+file, You can obtain one at https://mozilla.org/MPL/2.0/."""}
+
+
+def test_wrapped_licence_notices(spark):
+    filler = "lorem ipsum dolor sit amet consetetur\nsadipscing elitr sed diam nonumy eirmod tempor"
+    rows, want = [], {}
+    for name, text in NOTICES.items():
+        comment = "/*\n" + "".join(f" * {line}\n" for line in text.split("\n")) + " */"
+        for t in (text, text.replace("\n", " "), comment, f"{filler}\n\n{text}\n\n{filler}"):
+            want[len(rows)] = [name]
+            rows.append((len(rows), t))
+    for tag, names in (("GPL-2.0-only", ["GPL"]), ("LGPL-3.0-or-later", ["LGPL"]), ("AGPL-3.0-only", ["AGPL"]), ("BSD-2-Clause", ["BSD"]),
+                       ("CC-BY-SA-3.0", ["CC-BY-SA"]), ("(MIT OR Apache-2.0)", ["Apache-2.0", "MIT"]),
+                       ("GPL-2.0+ WITH Classpath-exception-2.0", ["GPL"])):
+        want[len(rows)] = names
+        rows.append((len(rows), f"// SPDX-License-Identifier: {tag}\n// some code follows here"))
+    for t in ("Redistribute the seats\nand modify the plan.", "Released under the\ntrees", filler):
+        want[len(rows)] = []
+        rows.append((len(rows), t))
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text").limit(500)
+    both = docs.withColumn("doc_id", -1 - F.col("doc_id")).unionByName(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    got = {r["doc_id"]: r for r in licences.scan(both).collect()}
+    assert {i: got[i]["families"] for i in want} == want
+    # a notice counts once, also in several windows
+    assert all(got[i]["n_licensed"] == bool(want[i]) for i in want)
+
+
 def variants(rng, base, n, edits):
     out = []
     for _ in range(n):
