@@ -11,8 +11,8 @@ the maximum-entropy distribution under their unigram counts, add-one smoothed
 with one unknown word per class, so the model is a proper distribution.
 
 Exact counts of all training tokens are one shuffle of pre-aggregated counts.
-The frequent words (at most ``FREQUENT``, checked on a histogram before they
-are collected) travel to the tasks; every other token of a document finds its
+The frequent words (at most ``FREQUENT`` and ``FREQUENT_BYTES``, checked on a
+histogram before they are collected; none longer than ``WORD_BYTES``) travel to the tasks; every other token of a document finds its
 count in a join on the token.
 
 Defined cases: null or empty text is the end token alone; rows of a null id
@@ -37,6 +37,9 @@ from pyspark.sql import types as T
 from driftcast.llm.common import mix, row_sums, staged, strings, take_field, text_slices, utf8, words
 
 FREQUENT = 1 << 18
+# Bytes of all frequent words, and of one; longer tokens are left to the join.
+FREQUENT_BYTES, WORD_BYTES = 8 << 20, 256
+SPELLING_BYTES = 1 << 20  # whose bigrams a task weighs at once
 SINGLES, SPELLINGS = 24, 40  # class 0 is the end of a text
 CLASSES = SINGLES + SPELLINGS
 CONTEXT_WORDS = 215
@@ -86,9 +89,18 @@ class Vocabulary:
 
     def spelling_class(self, tokens: pa.Array) -> np.ndarray:
         out = [np.zeros(0, np.int64)]
-        for i in range(0, len(tokens), 16384):
-            bucket, at = _bigrams(tokens[i:i + 16384])
-            out.append(np.add.reduceat(self.spelling[bucket], at[:-1], axis=0).argmax(axis=1))
+        ends = np.cumsum(pc.binary_length(tokens).to_numpy(zero_copy_only=False).astype(np.int64))
+        i = 0
+        while i < len(tokens):
+            before = ends[i - 1] if i else 0
+            end = min(i + 16384, max(i + 1, int(np.searchsorted(ends, before + SPELLING_BYTES, side="right"))))
+            bucket, at = _bigrams(tokens[i:end])
+            if len(bucket) > 2 * SPELLING_BYTES:  # one long token
+                weight = np.bincount(bucket, minlength=BIGRAM_BUCKETS) @ self.spelling
+                out.append(weight.argmax(keepdims=True))
+            else:
+                out.append(np.add.reduceat(self.spelling[bucket], at[:-1], axis=0).argmax(axis=1))
+            i = end
         return np.concatenate(out)
 
     def describe(self, tokens: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -135,15 +147,17 @@ def count_tokens(docs: DataFrame, text_col: str) -> DataFrame:
 
 
 def frequent(counts: DataFrame, bound: int = FREQUENT) -> tuple[pa.Array, np.ndarray]:
-    """The tokens of the largest counts, ``bound`` at most, by falling count.
-    Whole count bands are taken while they fit."""
+    """The tokens of the largest counts, ``bound`` and ``FREQUENT_BYTES`` at
+    most, by falling count, without those longer than ``WORD_BYTES``. Whole
+    count bands are taken while they fit."""
+    counts = counts.filter(F.octet_length("token") <= WORD_BYTES)
     band = F.floor(F.log2("c") * 16)
-    sizes = sorted(((r["band"], r["n"]) for r in counts.groupBy(band.alias("band")).agg(
-        F.count("*").alias("n")).collect()), reverse=True)
-    least, total = math.inf, 0
-    for b, n in sizes:
-        total += n
-        if total > bound:
+    sizes = sorted(((r["band"], r["n"], r["bytes"]) for r in counts.groupBy(band.alias("band")).agg(
+        F.count("*").alias("n"), F.sum(F.octet_length("token")).alias("bytes")).collect()), reverse=True)
+    least, total, size = math.inf, 0, 0
+    for b, n, n_bytes in sizes:
+        total, size = total + n, size + n_bytes
+        if total > bound or size > FREQUENT_BYTES:
             break
         least = b
     if least == math.inf:

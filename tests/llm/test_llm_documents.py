@@ -241,6 +241,20 @@ def test_lm_base_scores_and_gain(spark, odd, none, small, monkeypatch, frequent)
     assert maxent_lm.score(none, held_out("doc_id", 7, 2)).count() == 0
 
 
+def test_lm_frequent_words_are_bounded_by_bytes(spark, monkeypatch):
+    rows = [("x" * 5000 + str(i), 900) for i in range(3)] + [(f"common{i}", 100) for i in range(5)] + [(f"rare{i}", 3) for i in range(50)]
+    counts = spark.createDataFrame(rows, "token string, c bigint")
+    tokens, c = maxent_lm.frequent(counts)
+    assert max(map(len, tokens.to_pylist())) <= maxent_lm.WORD_BYTES and len(tokens) == 55 and list(c) == [100] * 5 + [3] * 50
+    monkeypatch.setattr(maxent_lm, "FREQUENT_BYTES", 100)
+    assert maxent_lm.frequent(counts)[0].to_pylist() == [f"common{i}" for i in range(5)]
+    vocabulary = maxent_lm.Vocabulary(tokens, c)
+    mixed = maxent_lm.pa.array(["ab" * 700, "common1", "rare3" * 90, "xyz", "q" * 3000])
+    whole = vocabulary.spelling_class(mixed)
+    monkeypatch.setattr(maxent_lm, "SPELLING_BYTES", 200)
+    assert vocabulary.spelling_class(mixed).tolist() == whole.tolist()
+
+
 def test_lm_is_a_distribution():
     """All next words of a tiny vocabulary sum to one, unknown words included."""
     tokens = maxent_lm.pa.array([f"w{i}" for i in range(60)])
