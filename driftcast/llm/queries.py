@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from driftcast.llm import (
     bpe, exact_dedup, html_extract, langid, licences, maxent_lm, near_dedup, packing, quality, token_counts)
 from driftcast.llm.common import held_out
+from driftcast.llm.queries_groups import QUERIES as GROUPS
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -62,7 +63,8 @@ def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 OP7_SQL = r"""
 WITH RECURSIVE w AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
-                                              'abcdefghijklmnopqrstuvwxyz'), '[^ 	-]+') AS words
+                                              'abcdefghijklmnopqrstuvwxyz'), '[^ 	-
+]+') AS words
   FROM documents),
 sets AS (
   SELECT doc_id, CASE WHEN len(words) = 0 THEN []
@@ -115,4 +117,4 @@ QUERIES = {
     "op8_best_fit_packing": (op8_best_fit_packing, None),
     "op9_language_id": (op9_language_id, None),
     "op10_bpe": (op10_bpe, None),
-}
+} | GROUPS
