@@ -8,8 +8,9 @@ the histogram of lengths alone (``capacity`` cells, whatever the corpus):
   then replaces its smallest piece by the two unpacked ones that fill the
   widened gap best, and repeats that sequence as often as the histogram
   allows. The plan is a short list of (lengths, copies).
-* The pieces of each length are numbered by Spark (salted, so a length that a
-  third of all pieces share is numbered by many tasks), and a piece's number
+* The pieces of each length are numbered by Spark (salted by row, so a length
+  that a third of all pieces share, or a row repeated so often, is numbered by
+  many tasks), and a piece's number
   gives its sequence and offset by arithmetic on the plan.
 
 Defined cases: null text is empty, i.e. the separator alone; repeated rows
@@ -24,11 +25,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from driftcast.llm.common import staged, strings, take_field, text_slices
+from driftcast.llm.common import mix, staged, strings, take_field, text_slices
 from driftcast.llm.tokenise import VOCABULARY, id_streams, word_ids
 
 CAPACITY = 2048
@@ -39,17 +41,19 @@ SALTS, PIECES_PER_SALT, MAX_SALTS = 128, 4_000_000, 4096
 
 def cut_pieces(docs: DataFrame, vocabulary: str = VOCABULARY, capacity: int = CAPACITY,
                id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, piece, start, length, ids_crc32) of every piece."""
+    """(id, piece, start, length, ids_crc32, _row) of every piece; ``_row`` is
+    random, so repeated rows part."""
     schema = T.StructType([
         take_field(docs, id_col),
         T.StructField("piece", T.IntegerType()),
         T.StructField("start", T.LongType()),
         T.StructField("length", T.LongType()),
         T.StructField("ids_crc32", T.LongType()),
+        T.StructField("_row", T.LongType()),
     ])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = word_ids(vocabulary)
+        coder, number = word_ids(vocabulary), TaskContext.get().partitionId() << 40
         for batch in text_slices(batches, text_col):
             ids, at = id_streams(strings(batch.column(text_col)), coder)
             # the separator after each document
@@ -61,12 +65,13 @@ def cut_pieces(docs: DataFrame, vocabulary: str = VOCABULARY, capacity: int = CA
             piece = np.arange(len(row)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
             start = piece * capacity
             length = np.minimum(size[row] - start, capacity)
+            rows = mix(np.arange(number, number + len(row), dtype=np.uint64)).astype(np.int64)
+            number += len(row)
             raw, begin = memoryview(ids.tobytes()), (at[row] + start) * 4
             crc = [zlib.crc32(raw[a:b]) for a, b in zip(begin.tolist(), (begin + length * 4).tolist(), strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(id_col).take(pa.array(row)), pa.array(piece, pa.int32()), pa.array(start, pa.int64()),
-                 pa.array(length, pa.int64()), pa.array(crc, pa.int64())],
-                names=[id_col, "piece", "start", "length", "ids_crc32"])
+                 pa.array(length, pa.int64()), pa.array(crc, pa.int64()), pa.array(rows)], names=schema.names)
 
     return docs.select(id_col, text_col).mapInArrow(cut, schema)
 
@@ -151,7 +156,7 @@ def pack(docs: DataFrame, vocabulary: str = VOCABULARY, capacity: int = CAPACITY
     spark = docs.sparkSession
     pieces = staged(spark, cut_pieces(docs, vocabulary, capacity, id_col, text_col), "pieces")
     salts = int(min(MAX_SALTS, max(SALTS, pieces.count() // PIECES_PER_SALT)))
-    salted = pieces.withColumn("_salt", F.pmod(F.xxhash64(id_col, "piece", "ids_crc32"), F.lit(salts)).cast("int"))
+    salted = pieces.withColumn("_salt", F.pmod("_row", F.lit(salts)).cast("int"))
     # at most capacity x salts cells
     cells = salted.groupBy("length", "_salt").count().toArrow()
     count = np.zeros((capacity + 1, salts), np.int64)
@@ -159,7 +164,7 @@ def pack(docs: DataFrame, vocabulary: str = VOCABULARY, capacity: int = CAPACITY
     before = np.cumsum(count, axis=1) - count
     slots = _Slots(best_two_fit(count.sum(axis=1), capacity))
     shared = spark.sparkContext.broadcast((before, slots))
-    schema = T.StructType([*pieces.schema.fields, T.StructField("sequence_id", T.LongType()),
+    schema = T.StructType([*pieces.schema.fields[:-1], T.StructField("sequence_id", T.LongType()),
                            T.StructField("offset", T.LongType())])
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -172,5 +177,5 @@ def pack(docs: DataFrame, vocabulary: str = VOCABULARY, capacity: int = CAPACITY
             yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), pa.array(sequence), pa.array(offset)],
                                              names=[*names, "sequence_id", "offset"])
 
-    order = Window.partitionBy("length", "_salt").orderBy(id_col, "piece", "ids_crc32")
+    order = Window.partitionBy("length", "_salt").orderBy(id_col, "piece", "_row")
     return salted.withColumn("_number", F.row_number().over(order).cast("long")).mapInArrow(place, schema)

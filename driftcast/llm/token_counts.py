@@ -39,7 +39,7 @@ def count_tokens(docs: DataFrame, vocabulary: str = VOCABULARY, limit: int = 204
         for batch in text_slices(batches, text_col):
             texts = strings(batch.column(text_col))
             place, at = word_places(texts, coder)
-            tokens = row_sums(coder.size[place], at)
+            tokens = row_sums(coder.young.size[place], at)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(id_col), pc.cast(pc.binary_length(texts), pa.int64()),
                  pa.array(tokens, pa.int64()), pa.array(tokens > limit)],

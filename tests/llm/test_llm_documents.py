@@ -4,6 +4,7 @@ named like the outputs."""
 
 import hashlib
 import math
+import random
 import zlib
 from collections import Counter
 
@@ -160,14 +161,45 @@ def test_token_counts_and_pieces_are_the_library_s(spark, odd, none, small):
     assert token_counts.count_tokens(none).count() == 0 and packing.pack(none).count() == 0
 
 
-def test_word_cache_starts_anew(monkeypatch):
+def test_piece_cache_is_the_library_s():
+    """Small generations, case, marks, special tokens, other spaces, marks
+    that combine, scripts without case."""
     from driftcast.llm import tokenise
-    coder = tokenise.WordIds(token_counts.VOCABULARY, cache_words=5)
-    texts = [f"w{i} x{i} common" for i in range(9)]
+    coder = tokenise.WordIds(token_counts.VOCABULARY, cache_bytes=300)
+    assert coder.lowers and coder.marks_apart and coder.ends is not None
+    rng = random.Random(6)
+    parts = ["common", "Word", "ÉTÉ", "été.", "İstanbul", "don't", "I'LL!", "x,y", "3.14.", "a\u0301.", "e\u0301", "ß?", "×.", "÷",
+             "<|endoftext|>", "<|ENDOFTEXT|>", "A<|startoftext|>B.", "日本。", "日本.", "\x85", "\u00a0", "\u2028.", "...", ".", "?!", "a.b.",
+             "ªº.", "²", "x²,", "\x00", "K.", "ﬁ.", "\U0001f600!", "Σ", "ΑΣ.", "'s", "l'été;", "\ufeff", "\u200b."]
+    texts = [f"w{i} x{i} common" for i in range(9)] + [
+        "".join(rng.choice(parts) + rng.choice(["", " ", "  ", "\n", "\t", "\x0b"]) for _ in range(rng.randint(1, 40)))
+        for _ in range(1500)]
     for t in texts:
         ids, at = tokenise.id_streams(tokenise.pa.array([t, "", t]), coder)
         want = coder.tokenizer.encode(t, add_special_tokens=False).ids
-        assert ids[at[0]:at[1]].tolist() == want == ids[at[2]:at[3]].tolist() and at[1] == at[2]
+        assert ids[at[0]:at[1]].tolist() == want == ids[at[2]:at[3]].tolist() and at[1] == at[2], t
+    ids, at = tokenise.id_streams(tokenise.pa.array(texts), coder)
+    for i, t in enumerate(texts):
+        assert ids[at[i]:at[i + 1]].tolist() == coder.tokenizer.encode(t, add_special_tokens=False).ids
+
+
+def test_repeated_rows_are_numbered_by_many_tasks(spark):
+    copies = spark.range(3000).select(F.lit(7).cast("long").alias("doc_id"), F.lit("the very same row").alias("text"))
+    packed = packing.pack(copies).collect()
+    assert len({(r["sequence_id"], r["offset"]) for r in packed}) == 3000
+    rows = packing.cut_pieces(copies).groupBy(F.pmod("_row", F.lit(128))).count()
+    assert rows.count() == 128 and rows.agg(F.max("count")).first()[0] < 60
+
+
+def test_a_text_beyond_one_slice(spark):
+    """9 MB of one text, between short ones: counts, pieces and ids as the library's."""
+    text = "Slices of bytes, not rows. " * 350_000
+    docs = spark.createDataFrame([(1, "short."), (2, text), (3, "Last one")], "doc_id bigint, text string").coalesce(1)
+    tokenizer = token_counts.word_ids(token_counts.VOCABULARY).tokenizer
+    want = {i: len(tokenizer.encode(t, add_special_tokens=False).ids) for i, t in pairs(docs)}
+    assert {r["doc_id"]: r["n_tokens"] for r in token_counts.count_tokens(docs).collect()} == want
+    placed = packing.cut_pieces(docs).groupBy("doc_id").agg(F.sum("length").alias("n")).collect()
+    assert {r["doc_id"]: r["n"] - 1 for r in placed} == want
 
 
 def test_best_two_fit():
