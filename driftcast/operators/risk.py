@@ -235,6 +235,21 @@ def risk_days(inp: RiskInputs, days: Column, d0: dt.date | Column | None = None,
     return _finish(df, th.level_cuts)
 
 
+def risk_pairs(inp: RiskInputs, pairs: DataFrame, weather: DataFrame, everywhere: Column,
+               th: Thresholds = DEFAULT_THRESHOLDS) -> DataFrame:
+    """Risk rows of the given (code_insee, time) pairs only, and of every
+    commune on the days of ``everywhere`` (an array of some of the pairs'
+    days). A commune's own days are one array (at most a year's), so the plan
+    is that of ``risk_days`` with a day list per commune."""
+    own = pairs.groupBy(F.col("code_insee").alias("_pair_com")).agg(F.collect_set("time").alias("_pair_days"))
+    base = commune_base(inp).join(own, F.col("insee_com") == F.col("_pair_com"), "left")
+    days = F.array_distinct(F.concat(F.coalesce("_pair_days", F.array().cast("array<date>")), everywhere))
+    d0, d1 = pairs.select(F.min("time")).scalar(), pairs.select(F.max("time")).scalar()
+    df = daily_contributions(spine(base, days).drop("_pair_com", "_pair_days"), inp.annee)
+    df = attach_weather(df, weather, d0, d1, th, communes=inp.ift if inp.regional else None)
+    return _finish(df, th.level_cuts)
+
+
 def risk_year(inp: RiskInputs, th: Thresholds = DEFAULT_THRESHOLDS,
               partitions: int | None = None, method: str = "valeurs") -> DataFrame:
     """The whole year (365/366 days) for every commune — the flagship.

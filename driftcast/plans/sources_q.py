@@ -4,6 +4,7 @@ checkpoint folder, one fresh directory per call."""
 
 from __future__ import annotations
 
+import dataclasses
 import datetime as dt
 
 from pyspark.sql import functions as F
@@ -21,9 +22,11 @@ from driftcast.plans.risk_q import ANNEE, inputs
 from driftcast.plans.sqlparts import level, risk_sql
 from driftcast.session import shared_path
 from driftcast.sources import tables as TB
+from driftcast.sources import versions
 from driftcast.plans.measures_q import SQL_CLEAN, clean
 from driftcast.sources.sheets import measurement_sheet
-from driftcast.streaming.incremental import ingest_landed_weather, late_weather_repair, write_late_repair
+from driftcast.streaming.incremental import (
+    ingest_landed_weather, late_weather_repair, upsert_weather, weather_changes, write_late_repair)
 
 TODAY = dt.date(2024, 1, 31)
 
@@ -153,13 +156,51 @@ UNION ALL SELECT 'nomenclature_annexe_c', count(*) FROM fx_nomenclature
 UNION ALL SELECT 'communes_details', count(*) FROM names"""
 
 
-def q_repair_written(s, sf):
-    """J3 with its write-back: the risk table after the repair."""
+def stored_weather(s, sf):
+    """The weather as stored before a night's repair: some values were revised
+    since, a whole day and some communes of another are missing."""
+    late = F.dayofmonth("time") == 10
+    return fixture(s, sf, "fx_meteo").where(~(F.dayofmonth("time") == 12) & ~(
+        (F.dayofmonth("time") == 15) & (F.substring("code_insee", 8, 1) == "4"))).withColumn(
+        "wind_speed_10m_mean", F.when(late & F.substring("code_insee", 8, 1).isin("3", "7"),
+                                      F.col("wind_speed_10m_mean") + 2).otherwise(F.col("wind_speed_10m_mean")))
+
+
+def stored_inputs(s, sf):
+    return dataclasses.replace(inputs(s, sf), weather=stored_weather(s, sf), memo={})
+
+
+MERGED_CTE = """lastd AS (SELECT max(time) AS m FROM fx_meteo_era5 WHERE precipitation_sum IS NOT NULL),
+mw AS (SELECT code_insee, time, wind_speed_10m_mean, precipitation_sum FROM fx_meteo_era5 WHERE precipitation_sum IS NOT NULL
+ UNION ALL SELECT a.code_insee, a.time, a.wind_speed_10m_mean, a.precipitation_sum FROM fx_meteo_archive a, lastd
+ WHERE a.time >= coalesce(lastd.m + 1, DATE '2024-01-01') AND a.time <= DATE '2024-01-30')"""
+
+REPAIRED_CTE = f"""{MERGED_CTE},
+st AS (SELECT code_insee, time, wind_speed_10m_mean + CASE WHEN day(time) = 10 AND substr(code_insee, 8, 1) IN ('3', '7') THEN 2 ELSE 0 END
+  AS wind_speed_10m_mean, precipitation_sum FROM fx_meteo
+ WHERE day(time) <> 12 AND NOT (day(time) = 15 AND substr(code_insee, 8, 1) = '4')),
+up AS (SELECT code_insee, time, wind_speed_10m_mean, precipitation_sum FROM mw
+ UNION ALL SELECT * FROM st WHERE NOT EXISTS (SELECT 1 FROM mw WHERE mw.code_insee = st.code_insee AND mw.time = st.time)),
+changed AS (SELECT code_insee, time, wind_speed_10m_mean, precipitation_sum FROM mw EXCEPT SELECT * FROM st)"""
+
+
+def repair_tables(s, sf):
+    """J3 with its write-back: (weather table, risk table) after the repair.
+    The stored rows carry epoch stamps."""
     weather, risk = shared_path(s, "weather_hist"), shared_path(s, "risk_table")
-    inp = inputs(s, sf)
+    inp = stored_inputs(s, sf)
     TB.upsert_year(s, risk, risk_year(inp), ANNEE)
+    upsert_weather(s, weather, inp.weather.withColumn("fetched_at", F.lit(1704931200).cast("long")))
     write_late_repair(s, inp, fixture(s, sf, "fx_meteo_era5"), fixture(s, sf, "fx_meteo_archive"), TODAY, weather, risk)
-    return s.read.schema(TB.RISK_TABLE_SCHEMA).parquet(risk)
+    return weather, risk
+
+
+def q_repair_written(s, sf):
+    return TB.read_risk(s, repair_tables(s, sf)[1])
+
+
+def q_repaired_weather(s, sf):
+    return versions.read(s, repair_tables(s, sf)[0]).drop("annee", "mois", "fetched_at")
 
 
 def q_sorted_table(s, sf):
@@ -167,7 +208,7 @@ def q_sorted_table(s, sf):
     within each written file; a row out of order is returned."""
     p = shared_path(s, "risk_table")
     TB.upsert_year(s, p, risk_year(inputs(s, sf)), ANNEE)
-    t = s.read.schema(TB.RISK_TABLE_SCHEMA).parquet(p).select(
+    t = TB.read_risk(s, p).select(
         "insee_com", "date", F.input_file_name().alias("f"), F.col("_metadata.row_index").alias("i"))
     before = t.select(F.col("f"), (F.col("i") + 1).alias("i"), F.col("insee_com").alias("c0"), F.col("date").alias("d0"))
     return t.join(before, ["f", "i"]).where(
@@ -179,7 +220,7 @@ def q_upsert(s, sf):
     TB.upsert_year(s, p, risk_year(inputs(s, sf)), ANNEE)
     th = Thresholds(level_cuts=(0.5, 1.0, 2.0))
     TB.upsert_year(s, p, risk_year(inputs(s, sf, region="Île-de-France"), th), ANNEE)
-    return s.read.schema(TB.RISK_TABLE_SCHEMA).parquet(p)
+    return TB.read_risk(s, p)
 
 
 def q_upsert_days(s, sf):
@@ -193,7 +234,7 @@ def q_upsert_days(s, sf):
             .select(F.array_sort(F.collect_set("time"))).scalar())
     TB.upsert_year(s, p, risk_days(inp, days, th=Thresholds(level_cuts=(0.5, 1.0, 2.0))), ANNEE,
                    key=["insee_com", "date"])
-    return s.read.schema(TB.RISK_TABLE_SCHEMA).parquet(p)
+    return TB.read_risk(s, p)
 
 
 def q_replace_forecasts(s, sf):
@@ -228,7 +269,7 @@ def q_ingest(s, sf):
         "code_insee", F.lit(3).cast("long").alias("fetched_at")))).write.text(f"{land}/fetch=3")
     ingest_landed_weather(s, land, table, ck)
     ingest_landed_weather(s, land, table, ck)  # rerun: nothing new, same table
-    return s.read.parquet(table).drop("annee", "mois")
+    return versions.read(s, table).drop("annee", "mois")
 
 
 def q_landed(s, sf):
@@ -241,11 +282,6 @@ def q_landed(s, sf):
     return W.read_landed_weather(s, p).drop("fetched_at")
 
 
-MERGED_CTE = """lastd AS (SELECT max(time) AS m FROM fx_meteo_era5 WHERE precipitation_sum IS NOT NULL),
-mw AS (SELECT code_insee, time, wind_speed_10m_mean, precipitation_sum FROM fx_meteo_era5 WHERE precipitation_sum IS NOT NULL
- UNION ALL SELECT a.code_insee, a.time, a.wind_speed_10m_mean, a.precipitation_sum FROM fx_meteo_archive a, lastd
- WHERE a.time >= coalesce(lastd.m + 1, DATE '2024-01-01') AND a.time <= DATE '2024-01-30')"""
-
 QUERIES = {
     "a1_load_communes": (
         lambda s, sf: _r6(TB.load_communes(adm(s, sf), "Île-de-France")),
@@ -369,20 +405,23 @@ FROM fx_calendrier_idf i LEFT JOIN mo ON mo.m = lower(i.periode)"""),
  UNION ALL SELECT code_insee, time, precipitation_sum, wind_speed_10m_mean, CAST(2 AS BIGINT) FROM fx_meteo_archive)
 SELECT * EXCLUDE (rn) FROM (SELECT l.*, row_number() OVER (PARTITION BY code_insee, time ORDER BY fetched_at DESC) AS rn FROM l)
 WHERE rn = 1"""),
+    "j3_weather_changes": (
+        lambda s, sf: weather_changes(stored_weather(s, sf), W.merge_history(
+            fixture(s, sf, "fx_meteo_era5"), fixture(s, sf, "fx_meteo_archive"), TODAY, ANNEE)),
+        f"WITH {REPAIRED_CTE}\nSELECT code_insee, time FROM changed"),
     "j3_late_weather_repair": (
-        lambda s, sf: late_weather_repair(inputs(s, sf), fixture(s, sf, "fx_meteo_era5"),
+        lambda s, sf: late_weather_repair(stored_inputs(s, sf), fixture(s, sf, "fx_meteo_era5"),
                                           fixture(s, sf, "fx_meteo_archive"), TODAY),
-        risk_sql(ANNEE, days_sql="SELECT DISTINCT time AS day FROM mw WHERE time >= (SELECT coalesce(m + 1, DATE '2024-01-01') FROM lastd)",
-                 weather="mw", extra_ctes=MERGED_CTE)),
+        f"""WITH {REPAIRED_CTE}, risk AS ({risk_sql(ANNEE, weather="up")})
+SELECT risk.* FROM risk WHERE EXISTS (SELECT 1 FROM changed c WHERE c.code_insee = risk.insee_com AND c.time = risk.date)
+ OR date IN (SELECT time FROM changed EXCEPT SELECT time FROM st)"""),
     "a17_build_static_full": (q_static_full, _static_full_sql()),
     "g1_sorted_risk_table": (
         q_sorted_table, "SELECT code_insee AS insee_com, CAST(NULL AS DATE) AS date FROM fx_communes WHERE FALSE"),
+    # the repaired table is the year computed anew from the repaired weather
     "j3_repair_written": (
         q_repair_written,
-        "WITH base AS (" + risk_sql(ANNEE) + "), fixed AS (" + risk_sql(
-            ANNEE, days_sql="SELECT DISTINCT time AS day FROM mw WHERE time >= (SELECT coalesce(m + 1, DATE '2024-01-01') FROM lastd)",
-            weather="mw", extra_ctes=MERGED_CTE) + f"""),
-merged AS (SELECT * FROM fixed UNION ALL SELECT * FROM base b
- WHERE NOT EXISTS (SELECT 1 FROM fixed f WHERE f.insee_com = b.insee_com AND f.date = b.date))
-SELECT *, {ANNEE} AS annee, substr(insee_com, 1, 2) AS dep FROM merged"""),
+        f"WITH {REPAIRED_CTE}, risk AS ({risk_sql(ANNEE, weather='up')})\n"
+        f"SELECT *, {ANNEE} AS annee, substr(insee_com, 1, 2) AS dep FROM risk"),
+    "j3_repaired_weather": (q_repaired_weather, f"WITH {REPAIRED_CTE}\nSELECT * FROM up"),
 }

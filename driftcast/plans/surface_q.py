@@ -62,7 +62,7 @@ def stored_table(s, sf):
     """The year's risk as A12 stores it, partitioned by (annee, dep)."""
     p = shared_path(s, "risk_table")
     TB.upsert_year(s, p, hist(s, sf), ANNEE)
-    return s.read.schema(TB.RISK_TABLE_SCHEMA).parquet(p)
+    return TB.read_risk(s, p)
 
 
 def i4_stored(s, sf):

@@ -1,8 +1,8 @@
 """Readers, writers and table maintenance.
 
-Writes go to the shared folder (``spark.checkpoint.dir`` of the cluster);
-a table that is read and rewritten is first checkpointed so the new
-version never reads the files it replaces.
+Writes go to the shared folder (``spark.checkpoint.dir`` of the cluster).
+Tables that are updated in part (risk, weather history) are versioned
+(``sources.versions``): an update writes new files and swaps the version last.
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from driftcast.operators.risk import check_region
 from driftcast.session import shared_path
+from driftcast.sources import versions
 
 log = logging.getLogger(__name__)
 
@@ -158,6 +159,9 @@ def assert_unique(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
 
 
+RISK_PARTITIONS, RISK_ORDER = ["annee", "dep"], ["insee_com", "date"]
+
+
 def upsert_year(spark: SparkSession, table: str, new: DataFrame, annee: int,
                 key: str | list[str] = "insee_com") -> None:
     """Replace the rows of ``annee`` for the communes present in
@@ -165,48 +169,49 @@ def upsert_year(spark: SparkSession, table: str, new: DataFrame, annee: int,
     ``key=["insee_com", "date"]`` only the recomputed (commune, day) rows are
     replaced (J2).
 
-    The table is partitioned by (annee, dep) — ``dep`` = first two
-    characters of the commune code — so an update reads (dynamic partition
-    pruning through the broadcast list of touched departements, at most one
-    row per departement) and rewrites (dynamic partition overwrite) only the
-    departements it touches. The new rows are staged once (they are read
-    three times), and the merge before the write. A missing table is created;
-    anything else that fails raises before a file is replaced.
+    The table is versioned and partitioned by (annee, dep) — ``dep`` = first
+    two characters of the commune code. ``new`` is computed and written once,
+    as part of the next version; the rows it does not replace, of the
+    departements it touches only, are read from the old version and written
+    beside it; then the version is swapped. Whatever fails before, the old
+    version stays. A missing table is created; a column that only one side
+    has stays, null in the other's rows.
     """
-    keys = [key] if isinstance(key, str) else list(key)
-    new = staged(new.withColumns({"annee": F.lit(annee), "dep": F.substring("insee_com", 1, 2)}), "upsert-new")
-    merged = new
-    if path_exists(spark, table):
-        touched = new.select("annee", "dep").distinct()
-        old = read_stored(spark, table, {"annee": "int", "dep": "string"})
-        old = old.join(F.broadcast(touched), ["annee", "dep"], "left_semi")
-        keep = old.join(new.select(*keys).distinct(), keys, "left_anti")
-        # a column that only one side has stays, null for the other's rows
-        merged = staged(keep.unionByName(new, allowMissingColumns=True), "upsert-merged")
-    salt = F.pmod(F.xxhash64("insee_com"), F.lit(FILES_PER_DEPARTEMENT))
-    (merged.repartition("annee", "dep", salt).sortWithinPartitions("annee", "dep", "insee_com", "date")
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("annee", "dep").parquet(table))
+    versions.commit(spark, table, prepare_year(spark, table, new, annee, key))
 
 
-# Files (and writing tasks) per (year, departement) of the risk table.
-FILES_PER_DEPARTEMENT = 2
+def prepare_year(spark: SparkSession, table: str, new: DataFrame, annee: int,
+                 key: str | list[str] = "insee_com") -> versions.Version:
+    """All writes of ``upsert_year``: the version that ``versions.commit``
+    makes the table's next."""
+    keys = [key] if isinstance(key, str) else list(key)
+    # not the plain literal: the planner would drop it from the sort order,
+    # find the partition order unmet and replace the sort by its own
+    year = F.coalesce(F.year("date"), F.lit(annee))
+    new = new.withColumns({"annee": year, "dep": F.substring("insee_com", 1, 2)})
+    new.select(*keys)  # an unknown key raises here
+    base = versions.current(spark, table)
+    fresh = versions.write(spark, new, table, RISK_PARTITIONS, RISK_ORDER)
+    parts = {p: (fresh.id,) for p in fresh.parts}
+    touched = [p for p in fresh.parts if base and p in base.parts]
+    if touched:
+        mine = versions.read_written(spark, table, fresh).select(*keys).distinct()
+        keep = versions.read(spark, table, base, touched).join(mine, keys, "left_anti")
+        kept = versions.write(spark, keep, table, RISK_PARTITIONS, RISK_ORDER)
+        parts |= {p: (fresh.id, kept.id) for p in kept.parts}
+    return versions.successor(base, RISK_PARTITIONS, new.schema, parts)
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written once to the shared folder as Parquet and read back, so
-    a later overwrite never reads what it replaces."""
+    """``df`` written once to the shared folder as Parquet and read back."""
     path = shared_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def read_stored(spark: SparkSession, table: str, partitions: dict[str, str]) -> DataFrame:
-    """A stored table with all its columns, its partition columns of the
-    given types (inference would read departement "01" as 1)."""
-    schema = spark.read.parquet(table).schema
-    fields = [T.StructField(f.name, T._parse_datatype_string(partitions[f.name])) if f.name in partitions else f
-              for f in schema.fields]
-    return spark.read.schema(T.StructType(fields)).parquet(table)
+def read_risk(spark: SparkSession, table: str) -> DataFrame:
+    """The stored risk table (its newest version), with ``annee`` and ``dep``."""
+    return versions.read(spark, table)
 
 
 def replace_table(df: DataFrame, path: str) -> None:

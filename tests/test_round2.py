@@ -19,6 +19,7 @@ from driftcast.operators.risk import load_inputs, risk_days, risk_year
 from driftcast.plans.risk_q import ANNEE, inputs
 from driftcast.session import shared_path
 from driftcast.sources import tables as TB
+from driftcast.sources import versions
 from driftcast.streaming.incremental import upsert_weather
 from tests.conftest import SF_SMALL
 from tests.helpers import rows_of
@@ -150,13 +151,13 @@ def test_upsert_year_keeps_rows_and_columns(spark):
     p = shared_path(spark, "t")
     TB.upsert_year(spark, p, year_rows(spark, [("01001", 1.0), ("01002", 2.0), ("02001", 3.0)]), 2024)
     TB.upsert_year(spark, p, year_rows(spark, [("01002", 5.0)], extra=True), 2024)
-    got = {r["insee_com"]: r["risque_brut"] for r in spark.read.parquet(p).collect()}
+    got = {r["insee_com"]: r["risque_brut"] for r in TB.read_risk(spark, p).collect()}
     assert got == {"01001": 1.0, "01002": 5.0, "02001": 3.0}
-    stored = TB.read_stored(spark, p + "/annee=2024/dep=01", {})
+    stored = TB.read_risk(spark, p).where("dep = '01'")
     assert {(r["insee_com"], r["nouvelle"]) for r in stored.collect()} == {("01001", None), ("01002", 7)}
-    before = rows(spark.read.option("mergeSchema", True).parquet(p))
+    before = rows(TB.read_risk(spark, p))
     TB.upsert_year(spark, p, year_rows(spark, [("01002", 5.0)], extra=True), 2024)
-    assert rows(spark.read.option("mergeSchema", True).parquet(p)) == before
+    assert rows(TB.read_risk(spark, p)) == before
 
 
 def test_upsert_year_raises_and_leaves_the_table(spark):
@@ -164,12 +165,12 @@ def test_upsert_year_raises_and_leaves_the_table(spark):
     TB.upsert_year(spark, p, year_rows(spark, [("01001", 1.0)]), 2024)
     with pytest.raises(Exception, match="nope"):
         TB.upsert_year(spark, p, year_rows(spark, [("01001", 9.0)]), 2024, key="nope")
-    assert [r["risque_brut"] for r in spark.read.parquet(p).collect()] == [1.0]
+    assert [r["risque_brut"] for r in TB.read_risk(spark, p).collect()] == [1.0]
     broken = shared_path(spark, "broken")
     os.makedirs(broken.removeprefix("file:"))
     with open(f"{broken.removeprefix('file:')}/part-0.parquet", "w") as f:
         f.write("no parquet")
-    with pytest.raises(Exception):  # noqa: B017 - an unreadable table is not a missing one
+    with pytest.raises(ValueError, match="not a versioned table"):
         TB.upsert_year(spark, broken, year_rows(spark, [("01001", 9.0)]), 2024)
 
 
@@ -181,7 +182,7 @@ def test_upsert_weather_keeps_rows_of_other_variables(spark):
     upsert_weather(spark, p, spark.createDataFrame([("b", d, 2, 5.0, 1.0)],
                                                    f"{key}, precipitation_sum double, wind_speed_10m_mean double"))
     got = {r["code_insee"]: (r["precipitation_sum"], r["wind_speed_10m_mean"])
-           for r in spark.read.option("mergeSchema", True).parquet(p).collect()}
+           for r in versions.read(spark, p).collect()}
     assert got == {"a": (3.0, None), "b": (5.0, 1.0)}
 
 
@@ -205,7 +206,7 @@ def test_stored_surface_prunes_partitions_and_pushes_days(spark):
     p = shared_path(spark, "t")
     TB.upsert_year(spark, p, year_rows(spark, [("01001", 1.0), ("02001", 3.0)]), 2024)
     day = dt.date(2024, 1, 1)
-    df = stored_risk(TB.read_stored(spark, p, {"annee": "int", "dep": "string"}), day, day, ["01"])
+    df = stored_risk(TB.read_risk(spark, p), day, day, ["01"])
     scan = next(line for line in plan(df).split("\n") if "FileScan" in line)
     assert "annee" in scan.split("PartitionFilters: [")[1].split("]")[0] and "dep" in scan.split("PartitionFilters: [")[1]
     assert "date" in scan.split("PushedFilters: [")[1].split("]")[0]
