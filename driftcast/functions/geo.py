@@ -164,54 +164,78 @@ def ring_within(inner: str | Column, outer: str | Column) -> Column:
 
 def rings_within(inner: Column, outer: Column) -> Column:
     """L3: ``inner`` lies in ``outer`` (shared boundary allowed), for concave
-    outlines, parts and holes.
-
-    Every edge of ``inner`` is split where it meets the boundary of ``outer``;
-    no piece changes sides, so the midpoints of all pieces (and the vertices)
-    must be inside. A point in the interior of ``inner`` must be inside too
-    (an outline can run along a hole it covers), and no edge of ``outer`` may
-    run through the interior of ``inner``."""
-    own, other = _all_edges(inner), _all_edges(outer)
-    usable = F.filter(own, lambda s: (s["a"]["x"] != s["b"]["x"]) | (s["a"]["y"] != s["b"]["y"]))
-
-    def pieces_inside(s):
-        at = _contacts(s, other)
-        middles = F.transform(F.sequence(F.lit(1), F.size(at) - 1),
-                              lambda i: (F.element_at(at, i) + F.element_at(at, i + 1)) / 2)
-        dx, dy = s["b"]["x"] - s["a"]["x"], s["b"]["y"] - s["a"]["y"]
-        return F.forall(middles, lambda u: _inside(s["a"]["x"] + u * dx, s["a"]["y"] + u * dy, other))
-
-    corners = F.forall(F.flatten(inner), lambda p: _inside(p["x"], p["y"], other))
-    # an interior point: halfway between the first two crossings of a line
-    # between the two lowest vertex levels
-    levels = F.array_sort(F.array_distinct(F.transform(F.flatten(inner), lambda p: p["y"])))
-    y = (F.get(levels, F.lit(0)) + F.get(levels, F.lit(1))) / 2
-    xs = F.array_sort(F.filter(F.transform(own, lambda s: F.when(
-        (s["a"]["y"] > y) != (s["b"]["y"] > y),
-        s["a"]["x"] + (y - s["a"]["y"]) * (s["b"]["x"] - s["a"]["x"])
-        / F.when(s["b"]["y"] != s["a"]["y"], s["b"]["y"] - s["a"]["y"]))), lambda x: x.isNotNull()))
-    x = (F.get(xs, F.lit(0)) + F.get(xs, F.lit(1))) / 2
-    middle = F.coalesce(_inside(x, y, other), F.lit(True))
-
-    # a hole of ``outer`` inside ``inner``: one of its edges has a piece whose
-    # middle is in the interior of ``inner``
-    def enters(s):
-        at = _contacts(s, own)
-        dx, dy = s["b"]["x"] - s["a"]["x"], s["b"]["y"] - s["a"]["y"]
-        middles = F.transform(F.sequence(F.lit(1), F.size(at) - 1),
-                              lambda i: (F.element_at(at, i) + F.element_at(at, i + 1)) / 2)
-        return F.exists(middles, lambda u: _strictly_inside(s["a"]["x"] + u * dx, s["a"]["y"] + u * dy, own))
-
-    degenerate = F.filter(other, lambda s: (s["a"]["x"] != s["b"]["x"]) | (s["a"]["y"] != s["b"]["y"]))
-    return (corners & F.forall(usable, pieces_inside) & middle & ~F.exists(degenerate, enters))
-
-
-def _strictly_inside(px: Column, py: Column, e: Column) -> Column:
-    """Inside and not on an edge."""
+    outlines, parts and holes (even-odd rule), by the sides of edges.
 
-    def on_edge(s):
-        ax, ay, bx, by = s["a"]["x"], s["a"]["y"], s["b"]["x"], s["b"]["y"]
-        cross = (bx - ax) * (py - ay) - (by - ay) * (px - ax)
-        return ((cross == 0) & (px >= F.least(ax, bx)) & (px <= F.greatest(ax, bx))
-                & (py >= F.least(ay, by)) & (py <= F.greatest(ay, by)))
-    return _inside(px, py, e) & ~F.exists(e, on_edge)
+    All edges are split where they meet. Where something of ``inner`` sticks
+    out of ``outer``, that piece of plane has a border, which is a piece of an
+    edge of one of them, and beside it ``inner`` is there and ``outer`` is not.
+    So ``inner`` is within exactly if no side of any piece has the one without
+    the other: also where edges coincide (a part that fills a hole runs along
+    it, but on the wrong side), for every part, and across an edge that two
+    parts of ``outer`` share."""
+    own, other = _proper(_all_edges(inner)), _proper(_all_edges(outer))
+
+    def decide(g):
+        def sticks_out(s, u):
+            return _let(F.struct(_sides(s, u, g["own"]).alias("i"), _sides(s, u, g["other"]).alias("o")),
+                        lambda d: (d["i"]["plus"] & ~d["o"]["plus"]) | (d["i"]["minus"] & ~d["o"]["minus"]))
+
+        def piece_out(s):
+            return F.exists(_middles(s, g["both"]), lambda u: sticks_out(s, u))
+
+        def through(s):  # an edge of ``outer`` that runs through the inside of ``inner``
+            return F.exists(_middles(s, g["own"]), lambda u: _let(_sides(s, u, g["own"]), lambda d: d["plus"] & d["minus"]))
+
+        return ~F.exists(g["own"], piece_out) & ~F.exists(g["other"], lambda s: through(s) & piece_out(s))
+
+    return _let(F.struct(own.alias("own"), other.alias("other"), F.concat(own, other).alias("both")), decide)
+
+
+def _let(value: Column, body) -> Column:
+    """``body`` of a value computed once: inside lambdas an expression would
+    be computed again for every element."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def _proper(edges: Column) -> Column:
+    """Edges of some length."""
+    return F.filter(edges, lambda s: (s["a"]["x"] != s["b"]["x"]) | (s["a"]["y"] != s["b"]["y"]))
+
+
+def _middles(s: Column, edges: Column) -> Column:
+    """The middles (as parameters) of the pieces into which ``edges`` cut a
+    segment."""
+    return _let(_contacts(s, edges), lambda at: F.transform(
+        F.sequence(F.lit(1), F.size(at) - 1), lambda i: (F.element_at(at, i) + F.element_at(at, i + 1)) / 2))
+
+
+def _sides(s: Column, u: Column, edges: Column) -> Column:
+    """Whether the outline of ``edges`` lies on either side of the segment at
+    ``u``, a point where only edges along the segment pass: ``plus`` towards
+    larger x (larger y beside a flat segment), ``minus`` the other way. A ray
+    to that side crosses the edges beyond; back over the segment, it crosses
+    those along it, too."""
+    ax, ay = s["a"]["x"], s["a"]["y"]
+    dx, dy = s["b"]["x"] - ax, s["b"]["y"] - ay
+    px, py = ax + u * dx, ay + u * dy
+    steep = F.abs(dy) >= F.abs(dx)
+
+    def along(t):
+        return ((dx * (t["a"]["y"] - ay) - dy * (t["a"]["x"] - ax) == 0)
+                & (dx * (t["b"]["y"] - ay) - dy * (t["b"]["x"] - ax) == 0))
+
+    def spans(t):
+        return F.when(steep, (t["a"]["y"] > py) != (t["b"]["y"] > py)).otherwise((t["a"]["x"] > px) != (t["b"]["x"] > px))
+
+    def beyond(t):
+        tx, ty = t["b"]["x"] - t["a"]["x"], t["b"]["y"] - t["a"]["y"]
+        return F.when(steep, t["a"]["x"] + (py - t["a"]["y"]) * tx / F.when(ty != 0, ty).otherwise(1.0) > px).otherwise(
+            t["a"]["y"] + (px - t["a"]["x"]) * ty / F.when(tx != 0, tx).otherwise(1.0) > py)
+
+    def count(met):
+        ahead = F.size(F.filter(met, lambda t: ~along(t) & beyond(t)))
+        under = F.size(F.filter(met, along))
+        return _let(F.struct(ahead.alias("ahead"), under.alias("under")), lambda n: F.struct(
+            (n["ahead"] % 2 == 1).alias("plus"), ((n["ahead"] + n["under"]) % 2 == 1).alias("minus")))
+
+    return _let(F.filter(edges, spans), count)

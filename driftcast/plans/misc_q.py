@@ -45,6 +45,21 @@ def _within_sql(p: str, g: str) -> str:
             f"WHEN 4 THEN {west} - {g}.half / 2 OR {east} ELSE TRUE END")
 
 
+def parcels_in_parts(s, sf):
+    """Parcels in two parts: their square, and one around the centre of their
+    commune's outline as large as its hole (it fills the hole where there is one)."""
+    z = fixture(s, sf, "fx_communes_geo").select(F.col("code_insee").alias("code_insee_source"), "x_l93", "y_l93",
+                                                  F.col("half").alias("zhalf"))
+    p = fixture(s, sf, "fx_parcelles_geo").join(z, "code_insee_source").where("zhalf > 0")
+    return p.select(*PARCEL_COLS, F.array(G.square_ring("cx", "cy", "half"),
+                                          G.square_ring("x_l93", "y_l93", F.col("zhalf") / 8)).alias("ring"))
+
+
+PARTS_CTE = """pp AS (SELECT p.*, g.x_l93 AS b_x, g.y_l93 AS b_y, g.half / 8 AS b_half FROM fx_parcelles_geo p
+ JOIN fx_communes_geo g ON g.code_insee = p.code_insee_source WHERE g.half > 0),
+part AS (SELECT id_parcel, cx, cy, half FROM pp UNION ALL SELECT id_parcel, b_x, b_y, b_half FROM pp)"""
+
+
 _LON, _LAT = lambert93_sql("x_l93", "y_l93")
 _PC = ", ".join(f"p.{c}" for c in PARCEL_COLS)
 
@@ -67,12 +82,25 @@ SELECT code_insee, CAST(a * half * half AS DOUBLE) AS area, round({_LON}, 6) AS
             "id_parcel", rings_within(F.array("ring"), F.col("zring")).alias("within")),
         f"SELECT p.id_parcel, ({_within_sql('p', 'g')}) AS within FROM fx_parcelles_geo p "
         "JOIN fx_communes_geo g ON g.code_insee = p.code_insee_source"),
+    "l3_within_parts": (
+        lambda s, sf: parcels_in_parts(s, sf).join(zones(s, sf).withColumnsRenamed(
+            {"ring": "zring", "code_insee": "code_insee_source"}), "code_insee_source").select(
+            "id_parcel", rings_within(F.col("ring"), F.col("zring")).alias("within")),
+        f"""WITH {PARTS_CTE}
+SELECT pp.id_parcel, bool_and({_within_sql('part', 'g')}) AS within FROM pp JOIN part USING (id_parcel)
+JOIN fx_communes_geo g ON g.code_insee = pp.code_insee_source GROUP BY pp.id_parcel"""),
     "l4_drop_empty_geometry": (
         lambda s, sf: G.drop_empty_geometry(zones(s, sf)).select("code_insee"),
         "SELECT code_insee FROM fx_communes_geo WHERE half > 0"),
     "c16_parcels_within": (
         lambda s, sf: G.parcels_within(parcels(s, sf), zones(s, sf), ["code_insee"], "left").drop("ring"),
         f"SELECT {_PC}, g.code_insee FROM fx_parcelles_geo p LEFT JOIN fx_communes_geo g ON {_within_sql('p', 'g')}"),
+    "c16_parts_within": (
+        lambda s, sf: G.parcels_within(parcels_in_parts(s, sf), zones(s, sf), ["code_insee"], "left").select("id_parcel", "code_insee"),
+        f"""WITH {PARTS_CTE},
+hit AS (SELECT part.id_parcel, g.code_insee FROM part JOIN fx_communes_geo g ON {_within_sql('part', 'g')}
+ GROUP BY ALL HAVING count(*) = 2)
+SELECT pp.id_parcel, hit.code_insee FROM pp LEFT JOIN hit USING (id_parcel)"""),
     "c17_parcels_of_commune": (
         lambda s, sf: G.parcels_within(parcels(s, sf), zones(s, sf), ["code_insee"], "inner").drop("ring"),
         f"SELECT {_PC}, g.code_insee FROM fx_parcelles_geo p JOIN fx_communes_geo g ON {_within_sql('p', 'g')}"),
