@@ -56,8 +56,9 @@ def parcels_in_parts(s, sf):
 
 
 PARTS_CTE = """pp AS (SELECT p.*, g.x_l93 AS b_x, g.y_l93 AS b_y, g.half / 8 AS b_half FROM fx_parcelles_geo p
- JOIN fx_communes_geo g ON g.code_insee = p.code_insee_source WHERE g.half > 0),
-part AS (SELECT id_parcel, cx, cy, half FROM pp UNION ALL SELECT id_parcel, b_x, b_y, b_half FROM pp)"""
+ JOIN fx_communes_geo g ON g.code_insee = p.code_insee_source WHERE g.half > 0)"""
+_BOTH_PARTS = _within_sql("pp", "g") + " AND " + _within_sql("b", "g").replace("b.cx", "pp.b_x").replace(
+    "b.cy", "pp.b_y").replace("b.half", "pp.b_half")
 
 
 _LON, _LAT = lambert93_sql("x_l93", "y_l93")
@@ -87,8 +88,7 @@ SELECT code_insee, CAST(a * half * half AS DOUBLE) AS area, round({_LON}, 6) AS
             {"ring": "zring", "code_insee": "code_insee_source"}), "code_insee_source").select(
             "id_parcel", rings_within(F.col("ring"), F.col("zring")).alias("within")),
         f"""WITH {PARTS_CTE}
-SELECT pp.id_parcel, bool_and({_within_sql('part', 'g')}) AS within FROM pp JOIN part USING (id_parcel)
-JOIN fx_communes_geo g ON g.code_insee = pp.code_insee_source GROUP BY pp.id_parcel"""),
+SELECT pp.id_parcel, ({_BOTH_PARTS}) AS within FROM pp JOIN fx_communes_geo g ON g.code_insee = pp.code_insee_source"""),
     "l4_drop_empty_geometry": (
         lambda s, sf: G.drop_empty_geometry(zones(s, sf)).select("code_insee"),
         "SELECT code_insee FROM fx_communes_geo WHERE half > 0"),
@@ -97,10 +97,8 @@ JOIN fx_communes_geo g ON g.code_insee = pp.code_insee_source GROUP BY pp.id_par
         f"SELECT {_PC}, g.code_insee FROM fx_parcelles_geo p LEFT JOIN fx_communes_geo g ON {_within_sql('p', 'g')}"),
     "c16_parts_within": (
         lambda s, sf: G.parcels_within(parcels_in_parts(s, sf), zones(s, sf), ["code_insee"], "left").select("id_parcel", "code_insee"),
-        f"""WITH {PARTS_CTE},
-hit AS (SELECT part.id_parcel, g.code_insee FROM part JOIN fx_communes_geo g ON {_within_sql('part', 'g')}
- GROUP BY ALL HAVING count(*) = 2)
-SELECT pp.id_parcel, hit.code_insee FROM pp LEFT JOIN hit USING (id_parcel)"""),
+        f"""WITH {PARTS_CTE}
+SELECT pp.id_parcel, g.code_insee FROM pp LEFT JOIN fx_communes_geo g ON {_BOTH_PARTS}"""),
     "c17_parcels_of_commune": (
         lambda s, sf: G.parcels_within(parcels(s, sf), zones(s, sf), ["code_insee"], "inner").drop("ring"),
         f"SELECT {_PC}, g.code_insee FROM fx_parcelles_geo p JOIN fx_communes_geo g ON {_within_sql('p', 'g')}"),
