@@ -10,6 +10,9 @@ parcels — the reference's inputs, derived from the driver's tables) are
 first stored as Parquet in the shared folder, untimed, as the reference
 reads the tables its static ETL wrote. ``BENCH_STORED=0`` times the queries
 on the raw driver tables instead (fixture joins included).
+
+``a12_write_year`` (once, last) computes the year and writes the stored risk
+table. It is not part of the total, which stays comparable between rounds.
 """
 
 from __future__ import annotations
@@ -23,7 +26,10 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from driftcast import fixtures  # noqa: E402
 from driftcast.plans.registry import registry  # noqa: E402
+from driftcast.plans.risk_q import ANNEE, inputs  # noqa: E402
+from driftcast.operators.risk import risk_year  # noqa: E402
 from driftcast.session import get_spark, shared_path  # noqa: E402
+from driftcast.sources.tables import upsert_year  # noqa: E402
 
 HEADLINE = (
     "e8_risk_year",          # flagship: every commune x every day of 2024
@@ -57,8 +63,12 @@ def main() -> None:
             if i > 0:
                 best = dt if best is None else min(best, dt)
         times[name] = round(best, 3)
+    # the year computed and stored (A12), as the reference's figure has it
+    t0 = time.perf_counter()
+    upsert_year(spark, shared_path(spark, "bench-risk"), risk_year(inputs(spark, sf_dir)), ANNEE)
+    times["a12_write_year"] = round(time.perf_counter() - t0, 3)
     sf = sf_dir.rsplit("sf", 1)[-1]
-    print(json.dumps({"metric": "headline_total_sec", "value": round(sum(times.values()), 3),
+    print(json.dumps({"metric": "headline_total_sec", "value": round(sum(times[n] for n in HEADLINE if n in times), 3),
                       "unit": "sec", "queries": times, "sf": float(sf) if sf else None}))
 
 
