@@ -70,6 +70,39 @@ def test_exact_groups(spark, odd, none, small):
     assert exact_dedup.exact_groups(none).count() == 0
 
 
+def test_exact_groups_come_from_the_chains(spark, odd, small):
+    # four hash values: only the owners' comparison tells the texts apart
+    for docs in (odd, small):
+        rows = exact_dedup.exact_groups(docs, bucket_bytes=2000, hash_bits=2).collect()
+        assert by_id((r["doc_id"], r["keep_id"], r["group_size"], r["text_sha256"]) for r in rows) == by_id(
+            brute.exact_groups(pairs(docs)))
+        assert len({r["bucket"] for r in rows}) <= 4 < len({r["place"] for r in rows})
+
+
+def test_exact_hot_texts_are_combined_in_lanes(spark):
+    texts = [(i, "the text of all" if i % 3 else f"text {i}") for i in range(600)] + [(i, "") for i in range(600, 900)]
+    docs = spark.createDataFrame(texts, "doc_id bigint, text string").repartition(24)
+    entries = exact_dedup.write_entries(docs)
+    senders = entries.filter("plain is not null").select("hash", "sender", "n_bytes", "plain")
+    sent, followers = exact_dedup.combine_hot(senders, 4, 6)
+    of = [r["plain"] for r in sent.collect()].count(b"thetextofall")
+    files = entries.filter("n_bytes = 12").select("sender").distinct().count()
+    assert 6 < files and 1 <= of <= math.isqrt(files) + 1
+    assert sent.count() + followers.count() == senders.count()
+    rows = exact_dedup.exact_groups(docs, lane_sends=6).collect()
+    assert by_id((r["doc_id"], r["keep_id"], r["group_size"], r["text_sha256"]) for r in rows) == by_id(
+        brute.exact_groups(texts))
+    assert sum(r["kept"] for r in rows) == 202
+
+
+def test_exact_texts_beyond_a_slice(spark):
+    rows = [(i, f"{i % 4} " + "0123456789abcdef" * (560_000 + 1000 * (i % 2))) for i in range(8)] + [(8, "short")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").coalesce(2)
+    got = exact_dedup.exact_groups(docs).collect()
+    assert by_id((r["doc_id"], r["keep_id"], r["group_size"], r["text_sha256"]) for r in got) == by_id(
+        brute.exact_groups(rows))
+
+
 def test_exact_stage_keeps_one_of_each(spark, odd, none):
     out = exact_dedup.drop_copies(odd)
     assert out.columns == odd.columns
