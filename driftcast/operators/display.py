@@ -115,11 +115,18 @@ def pick_source(history: DataFrame, forecast: DataFrame | None, day: Column,
 def map_snapshot(ref: DataFrame, history: DataFrame, forecast: DataFrame | None, day: Column,
                  prefer: str = "forecast", history_days: DataFrame | None = None,
                  forecast_days: DataFrame | None = None) -> DataFrame:
-    """Communes with the day's risk (C15) and their display state."""
+    """Communes with the day's risk (C15) and their display state (E15),
+    from two risk tables. Where the risk is yet to be computed,
+    ``risk.risk_of_day`` chooses the source first (``day_map``)."""
     src = pick_source(history, forecast, day, prefer, history_days, forecast_days)
     return with_state(map_join(ref, src))
 
 
+def day_map(ref: DataFrame, risk_day: DataFrame) -> DataFrame:
+    """Communes with the given risk rows of one day and their state."""
+    return with_state(map_join(ref, risk_day))
+
+
 def state_counts(snapshot: DataFrame) -> DataFrame:
     """Communes per display state over the fixed 7-state list (zero
     counts kept), and the 'moderate' group = levels 2 and 3."""

@@ -284,6 +284,29 @@ def risk_forecast(inp: RiskInputs, forecast: DataFrame | None,
     return risk_days(inp, days, d0, d1, th, weather=fc, neutral_days=False)
 
 
+def risk_of_day(inp: RiskInputs, forecast: DataFrame | None, day: Column, prefer: str = "forecast",
+                th: Thresholds = DEFAULT_THRESHOLDS) -> DataFrame:
+    """The risk rows of one day from the preferred source, with
+    ``is_forecast``; equal to ``display.pick_source`` on E8 and E9.
+
+    The source is chosen on the weather, before any risk is computed, so one
+    day costs one risk plan and not two. "forecast": the file when it has the
+    day, else the year. "history": the year when the day is in it, else the
+    file (no rows when the file does not have the day either). A day taken
+    from the file is covered by it, so the neutral rule (E4) only bears on
+    days of the year."""
+    if forecast is None:
+        return risk_days(inp, F.array(day), day, day, th).select("*", F.lit(False).alias("is_forecast"))
+    cols = ("code_insee", "time", "wind_speed_10m_mean", "precipitation_sum")
+    in_file = forecast.where(F.col("time") == day).select(F.count(F.lit(1)) > 0).scalar()
+    from_file = in_file if prefer == "forecast" else F.coalesce(F.year(day) != F.lit(inp.annee), F.lit(True))
+    days = F.array(day) if prefer == "forecast" else F.when(~from_file | in_file, F.array(day))
+    weather = forecast.select(*cols).where((F.col("time") == day) & from_file)
+    if inp.weather is not None:
+        weather = weather.unionByName(inp.weather.select(*cols).where((F.col("time") == day) & ~from_file))
+    return risk_days(inp, days, day, day, th, weather=weather).select("*", from_file.alias("is_forecast"))
+
+
 def quartile_cuts(risk: DataFrame, col: str = "risque_brut") -> Column:
     """Exact q25/q50/q75 (linear interpolation) of the strictly
     positive values, as a scalar subquery.

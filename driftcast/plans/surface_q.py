@@ -12,7 +12,7 @@ from driftcast.fixtures import fixture
 from driftcast.functions.columns import hover_day, year_spine
 from driftcast.functions.geo import lambert93_sql
 from driftcast.operators import display as D
-from driftcast.operators.risk import risk_days, risk_forecast, risk_year
+from driftcast.operators.risk import risk_days, risk_forecast, risk_of_day, risk_year
 from driftcast.plans import surface as S
 from driftcast.plans.measures_q import SQL_CLEAN, clean
 from driftcast.plans.risk_q import ANNEE, inputs
@@ -89,10 +89,7 @@ def last_hist_day(s, sf):
 
 def snapshot(s, sf, prefer="forecast"):
     day = first_fc_day(s, sf) if prefer == "forecast" else last_hist_day(s, sf)
-    fdays = fc_days(s, sf)
-    hdays = s.range(1).select(F.explode(year_spine(ANNEE)).alias("date"))
-    inp = inputs(s, sf)
-    return D.map_snapshot(ref(s, sf), hist_day(s, sf, day, inp), fc_day(s, sf, day, inp), day, prefer, hdays, fdays)
+    return D.day_map(ref(s, sf), risk_of_day(inputs(s, sf), fixture(s, sf, "fx_meteo_prev"), day, prefer))
 
 
 _LON, _LAT = lambert93_sql("x_l93", "y_l93")
