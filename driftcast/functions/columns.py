@@ -31,8 +31,11 @@ def col_or(c: str | Column) -> Column:
 
 
 def map_literal(d: dict) -> Column:
-    """A constant map column (folded by Catalyst into one literal)."""
-    return F.create_map(*[F.lit(x) for x in chain.from_iterable(d.items())])
+    """A constant map column (folded by Catalyst into one literal), parsed
+    from one SQL text: a call per entry would cost more than the plan."""
+    def text(x):
+        return str(x) if isinstance(x, int) else "'" + str(x).replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return F.expr(f"map({', '.join(map(text, chain.from_iterable(d.items())))})")
 
 
 def map_crop(c: str | Column) -> Column:

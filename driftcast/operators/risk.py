@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from driftcast.config import DEFAULT_THRESHOLDS, REGION_CODES, Thresholds
-from driftcast.functions.columns import (days_in_year, level_0_4, map_crop, safe_divide,
+from driftcast.functions.columns import (days_in_year, level_0_4, map_crop,
                                          weather_indicator_cols, year_spine)
 from driftcast.operators.calendar import (CONFIGS, calendar_lookup, day_is_active, denominators, dep_region_bridge,
                                           lookup_by_departement, rebase_calendar)
@@ -106,38 +106,39 @@ def commune_base(inp: RiskInputs) -> DataFrame:
         F.col("code_insee_dep").alias("_dep"), F.col("reg_key").alias("_reg"), "crops")
     df = inp.ift.withColumn("reg_key", F.coalesce(F.col("code_insee_reg"), F.lit("")))
     df = df.join(lookup, (F.col("code_insee_dep") == F.col("_dep")) & (F.col("reg_key") == F.col("_reg")), "left")
-    for cfg, cul, ift_col, _ in CONFIGS:
-        found = F.try_element_at("crops", F.col(cul))
-        df = df.withColumns({f"nb_{cfg}": found[f"nb_{cfg}"], f"{cfg}_days": found[f"{cfg}_days"]})
-        nb, ift = F.col(f"nb_{cfg}"), F.col(ift_col)
-        df = df.select(
-            "*", (nb.isNull() | ift.isNull()).alias(f"{cfg}_fixed"),
-            F.when(ift.isNull() | (ift == 0), F.lit(0.0)).alias(f"{cfg}_fixval"),
-            (safe_divide(ift, nb) if inp.zero_division == "ieee"
-             else F.try_divide(ift, nb)).alias(f"{cfg}_ratio"))
-    return df.drop("_dep", "_reg", "crops").select(
-        "*",
-        F.coalesce(F.col("c_ift_hbc_cal") != F.col("c_maj_cal"), F.lit(True)).alias("hbc_different"),
-        F.coalesce(F.col("c_ift_h_cal") != F.col("c_maj_cal"), F.lit(True)).alias("h_different"))
+    # SQL text: these are some hundred calls as columns, more than planning costs
+    df = df.selectExpr("*", *[f"try_element_at(crops, {cul}) AS _{cfg}" for cfg, cul, *_ in CONFIGS])
+    return df.selectExpr(
+        *[c for c in df.columns if c not in ("_dep", "_reg", "crops", *(f"_{cfg}" for cfg, *_ in CONFIGS))],
+        *[text for cfg, _, ift, _ in CONFIGS for text in (
+            f"_{cfg}.nb_{cfg} AS nb_{cfg}", f"_{cfg}.{cfg}_days AS {cfg}_days",
+            f"_{cfg}.nb_{cfg} IS NULL OR {ift} IS NULL AS {cfg}_fixed",
+            f"CASE WHEN {ift} IS NULL OR {ift} = 0 THEN 0D END AS {cfg}_fixval",
+            (_ieee_ratio(ift, f"_{cfg}.nb_{cfg}") if inp.zero_division == "ieee"
+             else f"try_divide({ift}, _{cfg}.nb_{cfg})") + f" AS {cfg}_ratio")],
+        "coalesce(c_ift_hbc_cal != c_maj_cal, true) AS hbc_different",
+        "coalesce(c_ift_h_cal != c_maj_cal, true) AS h_different")
+
+
+def _ieee_ratio(num: str, den: str) -> str:
+    """``safe_divide`` as SQL text."""
+    return (f"CASE WHEN {den} = 0 THEN CASE WHEN {num} > 0 THEN double('Infinity') WHEN {num} < 0 THEN "
+            f"double('-Infinity') ELSE double('NaN') END ELSE {num} / {den} END")
 
 
 def daily_contributions(spine: DataFrame, annee: int) -> DataFrame:
     """Per commune-day, the three contributions (R4) and their total
     (R5); a day is looked up in the year's masks (outside it: not active)."""
-    active = {cfg: day_is_active(f"{cfg}_days", annee) for cfg, *_ in CONFIGS}
-    contrib = {cfg: (F.when(F.col(f"{cfg}_fixed"), F.col(f"{cfg}_fixval"))
-                     .when(active[cfg], F.col(f"{cfg}_ratio")).otherwise(F.lit(0.0)))
-               for cfg, *_ in CONFIGS}
+    active = [day_is_active(f"{cfg}_days", annee).alias(f"_{cfg}_active") for cfg, *_ in CONFIGS]
     kept = [c for c in spine.columns if not c.endswith("_days")]
-    df = spine.select(*kept, *[contrib[c].alias(f"ift_j_{c}") for c in contrib])
-    hd, h2 = F.col("hbc_different"), F.col("h_different")
-    has_any = (F.col("ift_j_maj").isNotNull()
-               | (hd & F.col("ift_j_hbc").isNotNull())
-               | (h2 & F.col("ift_j_h").isNotNull()))
-    total = (F.coalesce(F.col("ift_j_maj"), F.lit(0.0))
-             + F.when(hd, F.coalesce(F.col("ift_j_hbc"), F.lit(0.0))).otherwise(F.lit(0.0))
-             + F.when(h2, F.coalesce(F.col("ift_j_h"), F.lit(0.0))).otherwise(F.lit(0.0)))
-    return df.select("*", F.when(has_any, total).alias("ift_journalier_total"))
+    df = spine.select(*kept, *active).selectExpr(*kept, *[
+        f"CASE WHEN {c}_fixed THEN {c}_fixval WHEN _{c}_active THEN {c}_ratio ELSE 0D END AS ift_j_{c}"
+        for c, *_ in CONFIGS])
+    return df.selectExpr("*", """CASE WHEN ift_j_maj IS NOT NULL OR hbc_different AND ift_j_hbc IS NOT NULL
+            OR h_different AND ift_j_h IS NOT NULL
+        THEN coalesce(ift_j_maj, 0D) + CASE WHEN hbc_different THEN coalesce(ift_j_hbc, 0D) ELSE 0D END
+            + CASE WHEN h_different THEN coalesce(ift_j_h, 0D) ELSE 0D END
+        END AS ift_journalier_total""")
 
 
 def spine(base: DataFrame, days: Column, partitions: int | None = None) -> DataFrame:
