@@ -56,10 +56,13 @@ def weather_window_aggregates(windows: DataFrame, daily: DataFrame) -> DataFrame
 
     Sums of an all-null window are 0 (the reference's sum); sunshine is
     aggregated when the column exists, else null (Q10 fix).
+
+    Always a merge join: the planner takes exploded windows for as small as
+    the windows, and would broadcast them.
     """
     days = windows.select("code_insee", "start_date", "end_date",
                           F.explode(F.sequence("start_date", "end_date")).alias("time"))
-    j = days.join(daily, ["code_insee", "time"], "inner")
+    j = days.join(daily.hint("merge"), ["code_insee", "time"], "inner")
     wmax, rain = F.col("wind_speed_10m_max"), F.col("precipitation_sum")
     sun = ([(F.coalesce(F.sum("sunshine_duration"), F.lit(0.0)) / 3600).alias("ensoleillement_h_total"),
             (F.avg("sunshine_duration") / 3600).alias("ensoleillement_h_moy")]
