@@ -40,3 +40,46 @@ def test_exploded_windows_are_not_broadcast(spark):
     text = plan(out)
     assert "SortMergeJoin" in text and "BroadcastHashJoin" not in text
     assert [r["precip_totale"] for r in out.collect()] == [sum(range(1, 21))]
+
+
+def risk_inputs(spark):
+    ift = spark.createDataFrame(
+        [("01001", "1", "11", "Maïs", "Vigne", None, 8.0, 2.0, 1.0), ("01001", "1", "11", "Maïs", None, None, 4.0, None, None),
+         (None, "1", "11", "Maïs", None, None, 4.0, None, None), ("01002", "1", None, "Vigne", "Vigne", "Vigne", 3.0, 3.0, 3.0)],
+        "insee_com string, code_insee_dep string, code_insee_reg string, c_maj_cal string, c_ift_hbc_cal string, c_ift_h_cal string, "
+        "ift_maj_hbc double, ift_hh_hbc double, ift_h double").withColumns(
+        {"c_maj": F.col("c_maj_cal"), "c_ift_hbc": F.col("c_ift_hbc_cal"), "c_ift_h": F.col("c_ift_h_cal")})
+    cal = spark.createDataFrame(
+        [("1", "Maïs", D(2024, 3, 1), D(2024, 3, 9), True, False, False), ("1", "Maïs", None, D(2024, 3, 9), True, True, False),
+         ("1", "Vigne", D(2024, 3, 1), D(2024, 3, 9), False, True, False), ("1", "Vigne", D(2024, 5, 1), D(2024, 5, 1), False, True, True)],
+        "departement_code string, culture string, debut_de_periode date, fin_de_periode date, herbicides boolean, "
+        "fongicides boolean, insecticides boolean")
+    return R.RiskInputs(ift=ift, cal=cal, weather=None, annee=2024)
+
+
+def test_period_detail_takes_the_daily_ift_of_every_row_of_its_commune(spark):
+    """Repeated and null communes and periods without a start, against the
+    days' table joined on (commune, day); no commune × day rows in the plan."""
+    inp = risk_inputs(spark)
+    days = F.array(*[F.lit(D(2024, m, 2)) for m in (3, 5)])
+    daily = {}
+    for r in R.daily_contributions(R.spine(R.commune_base(inp), days), 2024).collect():
+        daily.setdefault((r["insee_com"], r["date"]), []).append(r["ift_journalier_total"])
+    want = []
+    for i in inp.ift.collect():
+        for crop in dict.fromkeys(c for c in (i["c_maj_cal"], i["c_ift_hbc_cal"], i["c_ift_h_cal"]) if c):
+            for c in inp.cal.where(F.col("culture") == crop).collect():
+                day = c["debut_de_periode"] and c["debut_de_periode"] + dt.timedelta(1)
+                found = daily.get((i["insee_com"], day), [None]) if i["insee_com"] and day else [None]
+                want += [(i["insee_com"], crop, day, x) for x in found]
+    out = R.period_detail(inp)
+    assert sorted(map(str, want)) == sorted(str((r["insee_com"], r["culture"], r["jour_test"], r["ift_journalier_total"]))
+                                            for r in out.collect())
+    assert any(x for *_, x in want)
+    assert "explode(Subquery" not in plan(out)
+
+
+def test_small_sides_keep_all_tasks(spark):
+    out = R.calendar_of_communes(risk_inputs(spark))
+    assert out.count() == 10
+    assert "AQEShuffleRead coalesced" not in plan(out) and "BroadcastHashJoin" not in plan(out)
