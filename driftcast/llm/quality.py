@@ -40,6 +40,8 @@ THRESHOLD = -0.5
 TRUSTED_ROWS = 200_000
 MIN_WORDS, MAX_REPEATED = 50, 50
 SYMBOLS = b"#*$%&|<>"
+# Text that is counted or judged at once; its n-grams take some forty times as much.
+QUALITY_SLICE = 2 << 20
 
 
 def trusted_ids(labels: DataFrame, id_col: str = "doc_id", bound: int = TRUSTED_ROWS) -> pa.Array:
@@ -59,7 +61,7 @@ def ratio(docs: DataFrame, trusted: pa.Array, id_col: str = "doc_id", text_col:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         raw, target = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
-        for batch in text_slices(batches, text_col):
+        for batch in text_slices(batches, text_col, QUALITY_SLICE):
             data, bounds = utf8(strings(batch.column(text_col)))
             bucket, at = grams(data, bounds, NGRAM)
             raw += np.bincount(bucket, minlength=BUCKETS)
@@ -166,7 +168,7 @@ def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_c
     rules = fitted(docs, labels, id_col, text_col, threshold)
 
     def passing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in text_slices(batches, text_col):
+        for batch in text_slices(batches, text_col, QUALITY_SLICE):
             yield batch.filter(pa.array(rules.value.judge(strings(batch.column(text_col)))[3]))
 
     return docs.mapInArrow(passing, docs.schema)
