@@ -221,3 +221,30 @@ def test_only_touched_months_are_written(spark):
     assert [k for k in after if after[k] != before[k]] == ["annee=2024/mois=2"]
     got = {(r["code_insee"], r["time"].month): r["precipitation_sum"] for r in versions.read(spark, p).collect()}
     assert got == {("a", 1): 1.0, ("a", 2): 9.0, ("a", 3): 3.0, ("b", 2): 8.0}
+
+
+def test_days_without_a_new_row_are_kept_without_a_join(spark, monkeypatch):
+    """Rows may repeat, and have no day: kept as they are unless replaced."""
+    days = [dt.date(2024, 1, d) for d in (1, 2, 3)]
+    schema = "insee_com string, date date, risque_brut double"
+    p = shared_path(spark, "days")
+    TB.upsert_year(spark, p, spark.createDataFrame(
+        [("01001", d, 1.0) for d in days] + [("01002", days[1], 2.0), ("01002", days[2], 3.0), ("01002", days[2], 3.0),
+                                             ("01003", None, 4.0)], schema), 2024)
+    real, written = versions.write, []
+
+    def spied(spark_, df, *rest):
+        written.append(df)
+        return real(spark_, df, *rest)
+
+    with monkeypatch.context() as m:
+        m.setattr(versions, "write", spied)
+        TB.upsert_year(spark, p, spark.createDataFrame([("01001", days[1], 9.0), ("01003", None, 8.0)], schema), 2024,
+                       key=["insee_com", "date"])
+    got = sorted(map(repr, TB.read_risk(spark, p).select("insee_com", "date", "risque_brut").collect()))
+    want = [("01001", days[0], 1.0), ("01001", days[1], 9.0), ("01001", days[2], 1.0), ("01002", days[1], 2.0),
+            ("01002", days[2], 3.0), ("01002", days[2], 3.0), ("01003", None, 4.0), ("01003", None, 8.0)]
+    assert got == sorted(map(repr, spark.createDataFrame(want, schema).collect()))
+    plan = written[1]._jdf.queryExecution().optimizedPlan().toString()
+    joined = plan[plan.index("Join LeftAnti"):]
+    assert plan.lstrip().startswith("Union") and "2024-01-02" in joined.split("\n")[1] + joined.split("\n")[2] + joined.split("\n")[3]
