@@ -248,3 +248,16 @@ def test_days_without_a_new_row_are_kept_without_a_join(spark, monkeypatch):
     plan = written[1]._jdf.queryExecution().optimizedPlan().toString()
     joined = plan[plan.index("Join LeftAnti"):]
     assert plan.lstrip().startswith("Union") and "2024-01-02" in joined.split("\n")[1] + joined.split("\n")[2] + joined.split("\n")[3]
+
+
+@pytest.mark.parametrize("before, during", [(None, str(versions.WRITE_BYTES)), ("256m", str(versions.WRITE_BYTES)), ("512k", "512k")])
+def test_a_task_sorts_few_shuffled_bytes(spark, before, during):
+    if before:
+        spark.conf.set(versions.ADVISORY, before)
+    try:
+        was = spark.conf.get(versions.ADVISORY, None)
+        with versions._small_writes(spark):
+            assert spark.conf.get(versions.ADVISORY) == during
+        assert spark.conf.get(versions.ADVISORY, None) == was
+    finally:
+        spark.conf.unset(versions.ADVISORY)
