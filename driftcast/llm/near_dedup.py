@@ -3,10 +3,14 @@
 A document is the set of its distinct word shingles (64-bit hashes). Equal
 sets are one representative. Independent trees look for similar ones: the root
 and every large node choose two minwise coordinates, and a representative goes
-to the child of its value at each; nodes with one member end, small nodes are
-compared exhaustively by their signatures, and large nodes that branching no
-longer splits (they keep half of their parent, or it is the last level) are
-taken as one candidate group. A pair of similarity 0.8 misses a
+to the child of its value at each; nodes with one member end, and small nodes
+are compared exhaustively by their signatures. In a large node all members meet
+one of them, the pivot: those similar to it (``PIVOT`` equal coordinates) are
+linked with it, and all that can be similar to a member that is not go on to the
+children, unless most of the node is near the pivot: then it is one candidate
+group. So documents that only share a passage are parted level by level, and
+near copies do not branch. What is large at the last level is one
+candidate group. A pair of similarity 0.8 misses a
 tree with probability ``miss(DEPTH)``; ``trees_for`` repeats independent trees
 until the chance to miss it in all is below ``TARGET_MISS``.
 
@@ -52,11 +56,17 @@ PERCENT = 80
 TARGET_MISS = 1e-6
 COORDINATES = 128
 CHOSEN = 2
-DEPTH = 3
-LEAF = 64
+DEPTH = 6
+LEAF = 256
 # Equal coordinates that make a candidate: a pair of similarity 0.8 falls
 # short with probability 2e-6.
 MIN_EQUAL = 82
+# Coordinates that make a member of a large node one of its pivot's group. Two
+# similar members differ in COORDINATES - MIN_EQUAL at most, and so do their
+# counts: where one is below PIVOT, the other is below PIVOT + that.
+PIVOT = 38
+# Share of a large node near its pivot from which the node is one group.
+DENSE = 0.75
 # Members and bytes of full sets that one task compares.
 BLOCK, BLOCK_BYTES = 1024, 16 << 20
 SHARED_MEMBERS = 8
@@ -218,43 +228,76 @@ def _compare_leaves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
 
+def _signatures(column: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, COORDINATES)
+
+
+def _meet_pivot(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Members with the number of coordinates they share with their node's
+    pivot, where it has one."""
+    for batch in batches:
+        large = pc.is_valid(batch.column("pivot"))
+        equal = np.full(batch.num_rows, -1, np.int32)
+        picked = np.flatnonzero(large.to_numpy(zero_copy_only=False))
+        equal[picked] = (_signatures(batch.column("signature").filter(large))
+                         == _signatures(batch.column("pivot").filter(large))).sum(axis=1)
+        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("node", "key", "signature", "least")),
+                                          pa.array(equal, mask=equal < 0)], names=["node", "key", "signature", "least", "equal"])
+
+
 def _branch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Members of large nodes to the children by two more coordinates."""
+    """Members of large nodes to their group, as links (key, least), and to the
+    children by two more coordinates."""
     for batch in batches:
-        node, raw = batch.column("node").to_numpy(), batch.column("signature")
-        sig = np.frombuffer(b"".join(raw.to_pylist()), np.uint8).reshape(-1, COORDINATES)
+        equal, group = batch.column("equal").to_numpy(), batch.column("share").to_numpy() >= DENSE
+        star = pa.array(np.flatnonzero((equal >= PIVOT) | group))
+        yield pa.RecordBatch.from_arrays(
+            [pa.nulls(len(star), pa.int64()), batch.column("key").take(star), pa.nulls(len(star), pa.binary()),
+             batch.column("least").take(star)], names=["node", "key", "signature", "least"])
+        on = pa.array(np.flatnonzero((equal < PIVOT + COORDINATES - MIN_EQUAL) & ~group))
+        node, key, raw = (batch.column(c).take(on) for c in ("node", "key", "signature"))
+        node, sig = node.to_numpy(), _signatures(raw)
         pick = mix(node.astype(np.uint64))
         first = pick % np.uint64(COORDINATES)
         second = (first + np.uint64(1) + (pick >> np.uint64(32)) % np.uint64(COORDINATES - 1)) % np.uint64(COORDINATES)
         row = np.arange(len(node))
         for c in (first, second):
-            child = _node(node, c, sig[row, c.astype(np.int64)])
-            yield pa.RecordBatch.from_arrays([pa.array(child), batch.column("key"), raw, batch.column("n")],
-                                             names=["node", "key", "signature", "parent"])
+            yield pa.RecordBatch.from_arrays([pa.array(_node(node, c, sig[row, c.astype(np.int64)])), key, raw,
+                                              pa.nulls(len(node), pa.int64())], names=["node", "key", "signature", "least"])
 
 
 def candidate_links(reps: DataFrame) -> DataFrame:
     """Links (a, b) such that similar representatives are connected."""
     spark = reps.sparkSession
-    shape = "node bigint, key bigint, signature binary, parent bigint"
-    rows = reps.select(F.explode("nodes").alias("node"), "key", F.lit(None).cast("bigint").alias("parent"))
+    rows = reps.select(F.explode("nodes").alias("node"), "key")
+    signatures = reps.select("key", "signature")
     leaves, stars = [], []
     for depth in range(1, DEPTH + 1):
-        sizes = staged(spark, rows.groupBy("node").agg(
-            F.count("*").alias("n"), F.min("key").alias("least"), F.max("parent").alias("_parent"))
-            .filter("n > 1"), "tree-nodes")
-        found = rows.join(sizes, "node")
-        if depth == 1:  # only now do the signatures travel, with members of shared nodes
-            found = found.join(reps.select("key", "signature"), "key")
-        # a large node that keeps half of its parent is one dense group
-        dense = (F.col("n") > LEAF) & (F.lit(depth == DEPTH) | F.coalesce(2 * F.col("n") >= F.col("_parent"), F.lit(False)))
-        found = staged(spark, found.select("node", "key", "signature", "n", "least", dense.alias("dense")), "tree-rows")
-        leaves.append(found.filter(F.col("n") <= LEAF).select("node", "key", "signature"))
-        stars.append(found.filter("dense").select(F.col("key").alias("a"), F.col("least").alias("b")))
-        large = found.filter((F.col("n") > LEAF) & ~F.col("dense"))
-        if large.isEmpty():
+        large = F.col("n") > LEAF
+        pivot = [] if depth == 1 else [F.min_by("signature", "key").alias("pivot")]
+        sizes = rows.groupBy("node").agg(F.count("*").alias("n"), F.min("key").alias("least"), *pivot).filter("n > 1")
+        if depth == 1:  # only now do the signatures travel, with members of shared nodes and large nodes' pivots
+            sizes = staged(spark, sizes, "tree-nodes")
+            pivots = sizes.filter(large).select("node", F.col("least").alias("key")).join(signatures, "key").groupBy("node").agg(
+                F.first("signature").alias("pivot"))
+            sizes = sizes.join(pivots, "node", "left")
+            rows = rows.join(sizes, "node").join(signatures, "key")
+        else:
+            rows = rows.join(staged(spark, sizes.withColumn("pivot", F.when(large, F.col("pivot"))), "tree-nodes"), "node")
+        met = staged(spark, rows.select("node", "key", "signature", "least", "pivot").mapInArrow(
+            _meet_pivot, "node bigint, key bigint, signature binary, least bigint, equal int"), "tree-rows")
+        leaves.append(met.filter("equal IS NULL").select("node", "key", "signature"))
+        met = met.filter("equal IS NOT NULL")
+        if depth == DEPTH:
+            stars.append(met.select(F.col("key").alias("a"), F.col("least").alias("b")))
+            break
+        share = met.groupBy("node").agg(F.avg((F.col("equal") >= PIVOT).cast("int")).alias("share"))
+        if met.isEmpty():
             break
-        rows = staged(spark, large.select("node", "key", "signature", "n").mapInArrow(_branch, shape), "tree-branches")
+        branches = staged(spark, met.join(share, "node").select("node", "key", "signature", "least", "equal", "share").mapInArrow(
+            _branch, "node bigint, key bigint, signature binary, least bigint"), "tree-branches")
+        stars.append(branches.filter("node IS NULL").select(F.col("key").alias("a"), F.col("least").alias("b")))
+        rows = branches.filter("node IS NOT NULL").select("node", "key", "signature")
     small = reduce(DataFrame.unionByName, leaves)
     links = (small.repartition("node").sortWithinPartitions("node")
              .mapInArrow(_compare_leaves, "a bigint, b bigint"))

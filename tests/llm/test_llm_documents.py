@@ -482,6 +482,21 @@ def test_trees_reach_the_target():
     assert near_dedup.miss(near_dedup.DEPTH) ** near_dedup.trees_for() <= near_dedup.TARGET_MISS
 
 
+def test_a_shared_passage_makes_no_candidate_group(spark, monkeypatch):
+    """Documents that share a passage only are parted, whatever their number;
+    the near copies among them still meet."""
+    monkeypatch.setattr(near_dedup, "LEAF", 16)
+    rng = np.random.default_rng(3)
+    passage = " ".join(f"p{i}" for i in range(25))
+    texts = [f"{passage} " + " ".join(f"r{int(x)}" for x in rng.integers(0, 10 ** 6, 60)) for _ in range(600)]
+    texts += variants(rng, texts[0].split(" "), 200, 3)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(4)
+    reps = near_dedup.sketch(docs, near_dedup.trees_for())
+    groups = near_dedup.connected(near_dedup.candidate_links(reps)).groupBy("root").count()
+    top = [r["count"] for r in groups.orderBy(F.desc("count")).limit(2).collect()]
+    assert 201 <= top[0] < 260 and sum(top[1:]) < 60
+
+
 def test_exact_links_asks():
     sets = [np.arange(10, dtype=np.uint64), np.arange(1, 11, dtype=np.uint64), np.arange(2, 12, dtype=np.uint64)]
     assert near_dedup.exact_links([7, 8, 9], sets, [0, 1, 2], [True] * 3) == [(8, 7), (9, 7)]
