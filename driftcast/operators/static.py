@@ -90,7 +90,8 @@ def build_static_from_sources(spark, out: str, outlines: DataFrame, raw_ift: Dat
     paths = build_static(spark, out, raw_ift, annexes["a"], communes, build_calendar(sheet, annee, idf))
     more = {f"nomenclature_annexe_{k}": df for k, df in annexes.items() if k != "a"}
     if parcels is not None:
-        more["communes_details"] = commune_parcel_summary(parcels_within(parcels, outlines, ["nom_commune"], "left"))
+        more["communes_details"] = commune_parcel_summary(parcels_within(
+            parcels, outlines, ["nom_commune"], "left", keep=["id_parcel", "code_cultu", "code_group", "surf_parc"]))
     for name, df in more.items():
         paths[name] = f"{out.rstrip('/')}/{name}"
         df.write.mode("overwrite").parquet(paths[name])
